@@ -45,8 +45,8 @@ def cluster(
     seed: int = 0,
     size: int = vocabulary.DICTIONARY_SIZE,
 ) -> tuple[mixture.MixtureState, DataFrame]:
-    """Mixture weights and the cluster of every post with a dictionary word."""
-    rows = mixture.document_rows(post_counts(docs, words))
+    """Mixture weights and the cluster of every post, also of posts without a dictionary word."""
+    rows = mixture.document_rows(post_counts(docs, words), docs=docs)
     return mixture.gibbs(rows, clusters, size, rounds, alpha, beta, seed)
 
 
