@@ -20,8 +20,9 @@ def percent_text(share: str | Column, digits: int = 2) -> Column:
     return F.concat(F.round(col(share), digits).cast("string"), F.lit("%"))
 
 
-def hour_of(text: str | Column, pattern: str = "yyyy-MM-dd HH:mm:ss") -> Column:
-    return F.hour(F.try_to_timestamp(col(text), F.lit(pattern)))
+def hour_of(when: str | Column) -> Column:
+    """Hour of a timestamp, or of text such as ``2013-01-01 17:05:00``; null when it does not parse."""
+    return F.hour(col(when).try_cast("timestamp"))
 
 
 def sigmoid(z: str | Column) -> Column:

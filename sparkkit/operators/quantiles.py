@@ -14,6 +14,8 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from sparkkit.session import materialize
+
 
 @dataclass(frozen=True)
 class Bracket:
@@ -24,9 +26,9 @@ class Bracket:
     below: int
 
 
-def _narrow(df: DataFrame, column: str, found: dict[int, Bracket], buckets: int) -> dict[int, float]:
+def _narrow(rows: DataFrame, found: dict[int, Bracket], buckets: int) -> dict[int, float]:
     """The value at every rank of ``found``, starting from a bracket that holds it."""
-    value = F.col(column).cast("double")
+    value = F.col("v")
     while True:
         wide = sorted({b for b in found.values() if b.low < b.high}, key=lambda b: b.low)
         if not wide:
@@ -39,7 +41,7 @@ def _narrow(df: DataFrame, column: str, found: dict[int, Bracket], buckets: int)
             which = F.when(inside, number).otherwise(which)
             at = F.when(inside, cell).otherwise(at)
         counted = (
-            df.select(which.alias("which"), at.alias("at"), value.alias("v"))
+            rows.select(which.alias("which"), at.alias("at"), value.alias("v"))
             .where("which is not null")
             .groupBy("which", "at")
             .agg(F.count(F.lit(1)).alias("n"), F.min("v").alias("low"), F.max("v").alias("high"))
@@ -58,17 +60,16 @@ def _narrow(df: DataFrame, column: str, found: dict[int, Bracket], buckets: int)
                     below += row.n
 
 
-def percentiles(df: DataFrame, column: str, probabilities: Sequence[float], buckets: int = 1024) -> list[float]:
+def percentiles(df: DataFrame, column: str, probabilities: Sequence[float], buckets: int = 4096) -> list[float]:
     """Exact percentiles with linear interpolation between neighbouring ranks."""
-    rows = df.where(F.col(column).isNotNull() & ~F.isnan(F.col(column).cast("double"))).select(column)
-    n, low, high = rows.agg(
-        F.count(F.lit(1)), F.min(column).cast("double"), F.max(column).cast("double")
-    ).first()
+    value = F.col(column).cast("double")
+    rows = materialize(df.select(value.alias("v")).where(F.col("v").isNotNull() & ~F.isnan("v")), "values")
+    n, low, high = rows.agg(F.count(F.lit(1)), F.min("v"), F.max("v")).first()
     if not n:
         raise ValueError("no values")
     spots = [(n - 1) * p for p in probabilities]
     ranks = {edge for spot in spots for edge in (math.floor(spot), math.ceil(spot))}
-    at = _narrow(rows, column, {rank: Bracket(low, high, 0) for rank in ranks}, buckets)
+    at = _narrow(rows, {rank: Bracket(low, high, 0) for rank in ranks}, buckets)
     return [
         at[math.floor(spot)] + (at[math.ceil(spot)] - at[math.floor(spot)]) * (spot - math.floor(spot))
         for spot in spots

@@ -17,7 +17,7 @@ from sparkkit.functions.scalars import ratio
 from sparkkit.operators.ranking import top_k
 from sparkkit.session import materialize
 
-SIGNATURES = 8
+SIGNATURES = 4
 SEED_PAIRS = 1000
 
 
@@ -77,9 +77,9 @@ def _bar(sets: DataFrame, described: DataFrame, k: int) -> float:
     return best[-1].j if len(best) == k else 0.0
 
 
-def _probes(sets: DataFrame, sizes: DataFrame, bar: float) -> tuple[DataFrame, DataFrame]:
-    """Rows (x, item, class) with items ordered from rare to common, and per set the
-    class where its probes end (``cut``), its size and how many items lie beyond."""
+def _probes(sets: DataFrame, sizes: DataFrame, bar: float) -> DataFrame:
+    """``x, item, class`` with items ordered from rare to common by class, and per set its
+    size ``n``, the last class it probes (``cut``) and how many of its items lie ``beyond``."""
     spread = F.pmod(F.xxhash64("item"), F.lit(16))
     held = sets.groupBy("item").agg(F.count(F.lit(1)).alias("df"))
     classes = held.select("item", (F.floor(F.log2("df") * 4) * 16 + spread).alias("class"))
@@ -87,14 +87,13 @@ def _probes(sets: DataFrame, sizes: DataFrame, bar: float) -> tuple[DataFrame, D
     per_class = classed.groupBy("x", "class").agg(F.count(F.lit(1)).alias("m"))
     earlier = Window.partitionBy("x").orderBy("class").rowsBetween(Window.unboundedPreceding, -1)
     ranked = per_class.withColumn("before", F.coalesce(F.sum("m").over(earlier), F.lit(0))).join(sizes, "x")
-    needed = F.col("n") - F.ceil(F.col("n") * bar - 1e-9) + 1
-    kept = F.col("before") < needed
+    kept = F.col("before") < F.col("n") - F.ceil(F.col("n") * bar - 1e-9) + 1
     limits = ranked.groupBy("x").agg(
-        F.max(F.when(kept, F.col("class"))).alias("cut"),
         F.first("n").alias("n"),
+        F.max(F.when(kept, F.col("class"))).alias("cut"),
         F.coalesce(F.sum(F.when(~kept, F.col("m"))), F.lit(0)).alias("beyond"),
     )
-    return classed, limits
+    return classed.join(limits, "x")
 
 
 def similar_pairs(rows: DataFrame, owner: str, item: str, k: int = 10, min_items: int = 10) -> DataFrame:
@@ -103,49 +102,54 @@ def similar_pairs(rows: DataFrame, owner: str, item: str, k: int = 10, min_items
     Every returned pair shares an item: when fewer than ``k`` pairs do, the result is
     shorter than ``k``. Ties go by ``a``, then ``b``.
     """
-    all_sets = item_sets(rows, owner, item)
-    described = _first_copies(_described(all_sets).where(F.col("n") >= min_items), k)
-    described = materialize(described, "set-prints")
-    sets = materialize(all_sets.join(described.select("x"), "x"), "item-sets")
+    all_sets = materialize(item_sets(rows, owner, item), "item-sets")
+    described = materialize(_first_copies(_described(all_sets).where(F.col("n") >= min_items), k), "set-prints")
+    sets = all_sets.join(described.select("x"), "x")
     bar = _bar(sets, described, k)
-    classed, limits = _probes(sets, described.select("x", "n"), bar)
-    classed = materialize(classed.join(limits, "x"), "probes")
-
-    probes = classed.where("class <= cut")
-    left = probes.select("item", *(F.col(c).alias(f"{c}_a") for c in ("x", "n", "cut", "beyond")))
-    right = probes.select("item", *(F.col(c).alias(f"{c}_b") for c in ("x", "n", "cut", "beyond")))
-    close = F.least("n_a", "n_b") >= F.greatest("n_a", "n_b") * bar - 1e-9
-    met = left.join(right, "item").where((F.col("x_a") < F.col("x_b")) & close)
-    shared = met.groupBy("x_a", "x_b").agg(
+    probes = materialize(_probes(sets, described.select("x", "n"), bar), "probes")
+
+    met = materialize(_met(probes, bar), "met-pairs")
+    # The probed items alone already prove a similarity; the k-th best of these is a
+    # higher bar, and what lies beyond the cuts is counted only for pairs able to reach it.
+    proven = top_k(met.select("a", "b", _jaccard(F.col("probed")).alias("j")), k, "j", ["a", "b"]).collect()
+    bar = max(bar, proven[-1].j if len(proven) == k else 0.0)
+    candidates = met.where(F.col("reach") * (1 + bar) >= (F.col("na") + F.col("nb")) * bar - 1e-9)
+    return top_k(_completed(candidates, probes), k, "jaccard", ["a", "b"])
+
+
+def _met(probes: DataFrame, bar: float) -> DataFrame:
+    """Pairs that share a probe item: ``a, b, na, nb, probed``, the most items they can
+    share (``reach``), and ``x``, the member whose probes end first, with its partner ``y``."""
+    described = ("x", "n", "cut", "beyond")
+    probe = probes.where("class <= cut").select("item", F.struct(*described).alias("p"))
+    met = probe.withColumnRenamed("p", "a").join(probe.withColumnRenamed("p", "b"), "item")
+    close = F.least("a.n", "b.n") >= F.greatest("a.n", "b.n") * bar - 1e-9
+    shared = met.where((F.col("a.x") < F.col("b.x")) & close).groupBy(
+        F.col("a.x").alias("a"), F.col("b.x").alias("b")
+    ).agg(
         F.count(F.lit(1)).alias("probed"),
-        *(F.first(c).alias(c) for c in ("n_a", "n_b", "cut_a", "cut_b", "beyond_a", "beyond_b")),
+        *(F.first(f"{side}.{name}").alias(f"{name}{side}") for side in "ab" for name in described[1:]),
     )
-    unseen = F.when(F.col("cut_a") <= F.col("cut_b"), F.col("beyond_a")).otherwise(F.col("beyond_b"))
-    reach = F.least(F.col("probed") + unseen, F.least("n_a", "n_b"))
-    able = reach * (1 + bar) >= (F.col("n_a") + F.col("n_b")) * bar - 1e-9
-    candidates = shared.where(able)
-
-    # What lies beyond the earlier cut is counted for the surviving pairs only.
-    early_a = F.col("cut_a") <= F.col("cut_b")
-    oriented = candidates.select(
-        F.col("x_a").alias("a"),
-        F.col("x_b").alias("b"),
-        F.col("n_a").alias("na"),
-        F.col("n_b").alias("nb"),
-        "probed",
-        F.when(early_a, F.col("x_a")).otherwise(F.col("x_b")).alias("x"),
-        F.when(early_a, F.col("x_b")).otherwise(F.col("x_a")).alias("y"),
+    a_first = F.col("cuta") <= F.col("cutb")
+    beyond = F.when(a_first, F.col("beyonda")).otherwise(F.col("beyondb"))
+    reach = F.least(F.col("probed") + beyond, "na", "nb")
+    return shared.where(reach * (1 + bar) >= (F.col("na") + F.col("nb")) * bar - 1e-9).select(
+        "a", "b", "na", "nb", "probed", reach.alias("reach"),
+        F.when(a_first, F.col("a")).otherwise(F.col("b")).alias("x"),
+        F.when(a_first, F.col("b")).otherwise(F.col("a")).alias("y"),
     )
-    oriented = materialize(oriented, "similar-candidates")
-    rest = classed.where("class > cut").select("x", "item")
-    others = classed.select(F.col("x").alias("y"), "item")
+
+
+def _completed(candidates: DataFrame, probes: DataFrame) -> DataFrame:
+    """``a, b, jaccard`` with the items beyond the earlier cut added to the probed ones."""
+    rest = probes.where("class > cut").select("x", "item")
+    others = probes.select(F.col("x").alias("y"), "item")
     later = (
-        oriented.select("a", "b", "x", "y")
+        candidates.select("a", "b", "x", "y")
         .join(rest, "x")
         .join(others, ["y", "item"])
         .groupBy("a", "b")
         .agg(F.count(F.lit(1)).alias("later"))
     )
     total = F.col("probed") + F.coalesce("later", F.lit(0))
-    scored = oriented.join(later, ["a", "b"], "left").select("a", "b", _jaccard(total).alias("jaccard"))
-    return top_k(scored, k, "jaccard", ["a", "b"])
+    return candidates.join(later, ["a", "b"], "left").select("a", "b", _jaccard(total).alias("jaccard"))

@@ -16,13 +16,14 @@ from sparkkit.functions.scalars import ratio
 from sparkkit.functions.tokens import explode_letters, letter_words
 from sparkkit.operators.grouping import count_by
 from sparkkit.operators.ranking import positions, top_k
+from sparkkit.session import spread
 
 DICTIONARY_SIZE = 20_000
 Tokeniser = Callable[[DataFrame, str], DataFrame]
 
 
 def word_count(docs: DataFrame, text: str = "text", tokeniser: Tokeniser = explode_letters) -> DataFrame:
-    return count_by(tokeniser(docs.select(text), text), ["word"], "cnt")
+    return count_by(tokeniser(spread(docs.select(text)), text), ["word"], "cnt")
 
 
 def dictionary(
@@ -64,7 +65,7 @@ def document_frequency(docs: DataFrame, words: DataFrame, text: str = "text") ->
 
     Repeats are removed inside the row, so only partial counts are shuffled.
     """
-    once = docs.select(F.explode(F.array_distinct(letter_words(text))).alias("word"))
+    once = spread(docs.select(text)).select(F.explode(F.array_distinct(letter_words(text))).alias("word"))
     counted = count_by(once.where("word <> ''"), ["word"], "df")
     return counted.join(F.broadcast(words.select("word", "pos")), "word").select("pos", "df")
 

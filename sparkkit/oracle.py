@@ -14,8 +14,8 @@ raw AS (
          CASE WHEN l_discount = 0 THEN 0 WHEN l_discount = 0.01 THEN NULL ELSE l_quantity + 0.5 END AS miles,
          CASE l_returnflag WHEN 'A' THEN 'CSH' WHEN 'R' THEN 'CRD' ELSE 'UNK' END AS payment_type,
          l_extendedprice / 1000 AS fare, l_tax * 10 AS surcharge, l_tax = 0.08 AS incomplete,
-         round(l_extendedprice * l_tax / 100, 2) AS tip, round(l_discount * 100, 0) AS tolls,
-         round(l_extendedprice / 900, 2) AS total
+         l_extendedprice * l_tax / 100 AS tip, l_discount * 100 AS tolls,
+         l_extendedprice / 900 AS total
   FROM lineitem JOIN orders ON l_orderkey = o_orderkey
 ),
 valid AS (SELECT * FROM raw WHERE miles <> 0 AND fare <> 0 AND NOT incomplete),
@@ -167,11 +167,11 @@ GROUP BY hack_license ORDER BY sum(total) / sum(miles) DESC, 1 LIMIT 10""", TRIP
 add("tip_quartiles", """
 SELECT round(quantile_cont(tip, 0.25), 6) AS q1, round(quantile_cont(tip, 0.75), 6) AS q3 FROM timed""", TRIPS)
 add("tip_outliers", """
-SELECT tip, round(CASE WHEN tip < low THEN low - tip ELSE tip - high END, 6) AS gap
+SELECT round(tip, 6) AS tip, round(CASE WHEN tip < low THEN low - tip ELSE tip - high END, 6) AS gap
 FROM timed CROSS JOIN (
   SELECT q1 - 1.5 * (q3 - q1) AS low, q3 + 1.5 * (q3 - q1) AS high
   FROM (SELECT quantile_cont(tip, 0.25) AS q1, quantile_cont(tip, 0.75) AS q3 FROM timed))
-WHERE tip < low OR tip > high ORDER BY gap DESC, tip LIMIT 10""", TRIPS)
+WHERE timed.tip < low OR timed.tip > high ORDER BY CASE WHEN timed.tip < low THEN low - timed.tip ELSE timed.tip - high END DESC, timed.tip LIMIT 10""", TRIPS)
 add("value_centre", """
 SELECT round(avg(value), 6) AS mean, round(median(value), 6) AS median FROM events""")
 add("value_quartiles", """

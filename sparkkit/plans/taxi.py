@@ -1,4 +1,4 @@
-"""Questions over taxi trips read by ``read_trips`` (strings under their field names)."""
+"""Questions over taxi trips as read by ``read_trips``; measures may be text or already typed."""
 
 from __future__ import annotations
 
@@ -20,7 +20,7 @@ CASH, CARD = "CSH", "CRD"
 def valid_trips(trips: DataFrame, timed: bool = False) -> DataFrame:
     """Complete trips with non-zero distance and fare, and with ``timed`` a non-zero time."""
     measures = ["trip_distance", "fare_amount"] + (["trip_time_in_secs"] if timed else [])
-    return trips.where(non_zero(measures) & complete(TRIP.names))
+    return trips.where(non_zero(measures) & complete(trips, TRIP.names))
 
 
 def regression_trips(trips: DataFrame) -> DataFrame:

@@ -75,32 +75,28 @@ def order_lines(spark, folder):
 
 
 def trips(spark: SparkSession, folder: str) -> DataFrame:
-    """Line items as raw trips: strings, with zero, unparsable and empty fields among them."""
+    """Line items as trips, with zero, unparsable and empty fields among them."""
     line = F.col("l_linenumber")
     quantity, price = F.col("l_quantity"), F.col("l_extendedprice")
-    hours = (line * 5 + quantity.cast("int")) % 24
-    pickup = F.timestamp_add("HOUR", hours, F.col("o_orderdate"))
-    text = {
-        "medallion": F.col("l_suppkey"),
-        "hack_license": F.col("o_custkey"),
-        "pickup_datetime": F.date_format(pickup, "yyyy-MM-dd HH:mm:ss"),
+    pickup = F.timestamp_add("HOUR", (line * 5 + quantity.cast("int")) % 24, F.col("o_orderdate"))
+    discount = F.col("l_discount")
+    fields = {
+        "medallion": F.col("l_suppkey").cast("string"),
+        "hack_license": F.col("o_custkey").cast("string"),
+        "pickup_datetime": pickup,
         "trip_time_in_secs": F.when(line == 7, 0.0).otherwise(quantity * 60),
-        "trip_distance": F.when(F.col("l_discount") == 0, "0").when(F.col("l_discount") == 0.01, "nan").otherwise(
-            (quantity + 0.5).cast("string")
-        ),
+        "trip_distance": F.when(discount == 0, 0.0).when(discount == 0.01, float("nan")).otherwise(quantity + 0.5),
         "payment_type": F.when(F.col("l_returnflag") == "A", "CSH").when(F.col("l_returnflag") == "R", "CRD").otherwise(
             "UNK"
         ),
         "fare_amount": price / 1000,
         "surcharge": F.col("l_tax") * 10,
         "field_13": F.when(F.col("l_tax") == 0.08, "").otherwise("x"),
-        "tip": F.round(price * F.col("l_tax") / 100, 2),
-        "tolls": F.round(F.col("l_discount") * 100, 0),
-        "total_amount": F.round(price / 900, 2),
+        "tip": price * F.col("l_tax") / 100,
+        "tolls": discount * 100,
+        "total_amount": price / 900,
     }
-    return order_lines(spark, folder).select(
-        *(text.get(name, F.lit("x")).cast("string").alias(name) for name in schemas.TRIP.names)
-    )
+    return order_lines(spark, folder).select(*(fields.get(n, F.lit("x")).alias(n) for n in schemas.TRIP.names))
 
 
 def flight_rows(spark: SparkSession, folder: str) -> DataFrame:
@@ -220,7 +216,7 @@ def trip_lines(spark, folder):
     return read.agg(
         F.count(F.lit(1)).alias("lines"),
         F.count_if(number("trip_distance").isNotNull()).alias("numeric"),
-        F.count_if(F.col("field_13") == "").alias("incomplete"),
+        F.count_if(F.coalesce("field_13", F.lit("")) == "").alias("incomplete"),
     )
 
 

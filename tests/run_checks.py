@@ -28,7 +28,7 @@ def main() -> None:
         try:
             df = QUERIES[name](spark, folder)
             if name in ORACLE:
-                note = compare(df, ORACLE[name], connection) or "same"
+                note = compare(df, ORACLE[name], connection)
             else:
                 note = f"{len(df.collect())} rows, no SQL"
         except Exception as error:  # noqa: BLE001
