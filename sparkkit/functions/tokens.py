@@ -26,7 +26,8 @@ def trimmed_words(text: str | Column) -> Column:
 
 def explode_letters(docs: DataFrame, text: str = "text") -> DataFrame:
     """``word`` rows of the letter tokeniser, next to the other columns."""
-    return _explode(docs, text, letter_words(text)).where("word <> ''")
+    words = _explode(docs, text, F.split(col(text), "[^a-zA-Z]+")).where("word <> ''")
+    return words.withColumn("word", F.lower("word"))
 
 
 def explode_trimmed(docs: DataFrame, text: str = "text") -> DataFrame:

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sparkkit.operators import logistic, neighbors, vocabulary
+from sparkkit.session import materialize
 
 # Fixed values.
 COURT_PREFIX = "AU"
@@ -33,9 +34,9 @@ def vote(
     text: str = "text",
 ) -> DataFrame:
     """Categories of the documents nearest to the query text."""
-    words = vocabulary.dictionary(docs, text, size)
-    total = docs.count()
-    idf = vocabulary.inverse_frequency(vocabulary.document_frequency(docs, words, text), total)
+    words = materialize(vocabulary.dictionary(docs, text, size), "dictionary")
+    frequency = vocabulary.document_frequency(docs, words, text)
+    idf = materialize(vocabulary.inverse_frequency(frequency, docs.count()), "idf")
     counts = vocabulary.term_counts(docs, words, doc, text)
     vectors = vocabulary.weigh(vocabulary.term_frequency(counts, doc), idf)
     scores = neighbors.score(vectors, neighbors.query_weights(query, words, idf), doc, metric)
@@ -68,8 +69,9 @@ def classify(
     """Fit on the training split, predict the test split; the dictionary covers both."""
     columns = [doc, text, label]
     corpus = both_splits(train.select(*columns), test.select(*columns))
-    words = vocabulary.dictionary(corpus, text, size)
+    words = materialize(vocabulary.dictionary(corpus, text, size), "dictionary")
     vectors = vocabulary.tfidf(corpus, words, corpus.count(), doc, text, keep=[label, "split"])
+    vectors = materialize(vectors.select(doc, label, "split", "pos", "tfidf"), "vectors")
     rows = logistic.sparse_rows(vectors.where("split = 'train'"), label, doc)
     model = logistic.fit(rows, size, **fit_options)
     scores = logistic.linear_scores(

@@ -15,7 +15,7 @@ from sparkkit.functions import tokens
 from sparkkit.functions.cleaning import number
 from sparkkit.operators import grouping, logistic, mixture, quantiles, ranking, regression, vocabulary
 from sparkkit.plans import customers, documents, flights, posts, taxi
-from sparkkit.session import new_path
+from sparkkit.session import materialize, new_path, spread
 from sparkkit.sources import delimited, schemas, sinks, tagged
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -129,13 +129,15 @@ def docs(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def tagged_lines(spark: SparkSession, folder: str) -> DataFrame:
-    """Documents as tagged lines whose id is a path ``corpus/language/number``."""
+    """Documents as text files of tagged lines whose id is a path ``corpus/language/number``."""
     value = F.concat(
         F.lit('<doc id="corpus/'), "lang", F.lit("/"), F.col("doc_id").cast("string"),
         F.lit('" url="http://e/'), F.col("doc_id").cast("string"), F.lit('" title="'), "source", F.lit('">'),
         F.regexp_replace("text", "[\\r\\n]", " "), F.lit("</doc>"),
     )
-    return table(spark, folder, "documents").select(value.alias("value"))
+    path = new_path(spark, "tagged")
+    spread(table(spark, folder, "documents").select("doc_id", "text", "lang", "source")).select(value).write.text(path)
+    return delimited.read_lines(spark, path)
 
 
 def links(spark: SparkSession, folder: str) -> DataFrame:
@@ -198,9 +200,7 @@ def category_links(spark, folder):
 @query
 def tagged_header(spark, folder):
     """Tagged lines written as text and parsed back."""
-    path = new_path(spark, "tagged")
-    tagged_lines(spark, folder).write.text(path)
-    parsed = tagged.read_tagged(spark, path)
+    parsed = tagged.parse_tagged(tagged_lines(spark, folder))
     return parsed.select(
         "doc_id", "url", "title", tagged.group_of("doc_id").alias("category"),
         F.length("text").cast("bigint").alias("chars"),
@@ -518,7 +518,8 @@ def worst_state(spark, folder):
 
 
 def _words(spark, folder) -> DataFrame:
-    return vocabulary.dictionary(docs(spark, folder))
+    """The dictionary, stored because a query reads it more than once."""
+    return materialize(vocabulary.dictionary(docs(spark, folder)), "dictionary")
 
 
 @query
@@ -528,7 +529,7 @@ def word_count(spark, folder):
 
 @query
 def dictionary(spark, folder):
-    return long_ints(_words(spark, folder), "pos")
+    return long_ints(vocabulary.dictionary(docs(spark, folder)), "pos")
 
 
 @query
@@ -606,7 +607,7 @@ def tokens_strict(spark, folder):
 
 def _post_frames(spark, folder):
     lines = posts.posts(tagged_lines(spark, folder))
-    return lines, posts.post_dictionary(lines)
+    return lines, materialize(posts.post_dictionary(lines), "dictionary")
 
 
 @query

@@ -56,10 +56,7 @@ def group_of(column: str | Column) -> Column:
 def tagged_span(column: str | Column) -> Column:
     """Text after the first ``>`` up to the end tag, or to the end where there is none."""
     value = _col(column)
-    start = F.instr(value, ">") + 1
-    end = F.instr(value, END_TAG)
-    stop = F.when(end >= start, end).otherwise(F.length(value) + 1)
-    return F.substr(value, start, stop - start)
+    return F.substring_index(F.substr(value, F.instr(value, ">") + 1), END_TAG, 1)
 
 
 def is_document(column: str | Column) -> Column:
