@@ -73,8 +73,8 @@ def document_rows(counts: DataFrame, doc: str = "doc_id", docs: DataFrame | None
 
 def uniform(seed: int, number: int, doc: str = "doc_id") -> Column:
     """A number in [0, 1) that depends on seed, round and document, never on partitioning."""
-    hashed = F.xxhash64(F.lit(seed), F.lit(number), F.col(doc))
-    return F.pmod(hashed, F.lit(1 << 53)).cast("double") / float(1 << 53)
+    address = F.concat_ws(":", F.lit(str(seed)), F.lit(str(number)), F.col(doc).cast("string"))
+    return F.conv(F.substr(F.md5(address), F.lit(1), F.lit(13)), 16, 10).cast("double") / float(1 << 52)
 
 
 def posterior(counts: DataFrame, word_weights: DataFrame, class_weights: DataFrame, doc: str = "doc_id") -> DataFrame:
@@ -146,6 +146,17 @@ def assignments(rows: DataFrame, state: MixtureState, doc: str = "doc_id") -> Da
     return _sampled(rows, state, doc, shared, True).withColumnRenamed("doc", doc)
 
 
+def sweep(rows: DataFrame, state: MixtureState, doc: str = "doc_id") -> DataFrame:
+    """``cluster, pos, n`` after drawing every document's cluster: word counts per
+    cluster, and at position -1 its number of documents."""
+    return _counted(rows, state, doc, rows.sparkSession.sparkContext.broadcast(state.logs()))
+
+
+def _counted(rows: DataFrame, state: MixtureState, doc: str, shared) -> DataFrame:
+    parts = _sampled(rows, state, doc, shared, False)
+    return parts.groupBy("cluster", "pos").agg(F.sum("n").alias("n"))
+
+
 def gibbs(
     rows: DataFrame,
     clusters: int,
@@ -160,7 +171,6 @@ def gibbs(
 
     A cluster that drew no document takes its next weights from the prior.
     """
-    spark = rows.sparkSession
     rows = materialize(rows, "mixture-documents")
     held = rows.persist()
     state = initial_state(clusters, size, alpha, beta, seed)
@@ -168,9 +178,8 @@ def gibbs(
     try:
         for number in range(1, rounds + 1):
             before = state
-            shared = spark.sparkContext.broadcast(state.logs())
-            parts = _sampled(held, state, doc, shared, False)
-            sums = parts.groupBy("cluster", "pos").agg(F.sum("n").alias("n")).toPandas()
+            shared = rows.sparkSession.sparkContext.broadcast(state.logs())
+            sums = _counted(held, state, doc, shared).toPandas()
             shared.destroy()
             sizes, words = np.zeros(clusters), np.zeros((clusters, size))
             whole, body = sums[sums.pos == -1], sums[sums.pos >= 0]

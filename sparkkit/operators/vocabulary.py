@@ -124,10 +124,18 @@ def average_frequency(
     return listed.select(label, F.col("e.word").alias("word"), ratio("e.tf", "n_docs").alias("avg_tf"))
 
 
-def count_map(counts: DataFrame, doc: str = "doc_id", below: int | None = None) -> DataFrame:
-    """``doc, counts``: a map from position to count, at most one entry per dictionary word."""
+def count_map(
+    counts: DataFrame, doc: str = "doc_id", below: int | None = None, docs: DataFrame | None = None
+) -> DataFrame:
+    """``doc, counts``: a map from position to count, at most one entry per dictionary word.
+
+    With ``docs`` the documents without any dictionary word stay, with an empty map.
+    """
     pairs = F.map_from_entries(F.collect_list(F.struct("pos", "cnt")))
     maps = counts.groupBy(doc).agg(pairs.alias("counts"))
+    if docs is not None:
+        empty = F.map_from_arrays(F.array().cast("array<int>"), F.array().cast("array<bigint>"))
+        maps = docs.select(doc).distinct().join(maps, doc, "left").withColumn("counts", F.coalesce("counts", empty))
     if below is None:
         return maps
     return maps.withColumn("counts", F.map_filter("counts", lambda pos, cnt: pos < below))

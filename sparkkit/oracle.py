@@ -360,10 +360,9 @@ add("tokens_strict", "SELECT word, count(*) AS cnt FROM strict GROUP BY word", P
 add("sparse_counts", """
 SELECT doc_id, coalesce(string_agg(CAST(pos AS VARCHAR) || ':' || CAST(cnt AS VARCHAR), ',' ORDER BY pos)
                         FILTER (pos < 100), '') AS counts
-FROM (SELECT doc_id, pos, count(*) AS cnt FROM strict JOIN post_dict USING (word) GROUP BY 1, 2) GROUP BY doc_id""", POSTS)
-add("mixture_posterior", """
-SELECT doc_id, cluster, round(exp(l - biggest) / sum(exp(l - biggest)) OVER (PARTITION BY doc_id), 6) AS p
-FROM (SELECT *, max(l) OVER (PARTITION BY doc_id) AS biggest FROM logs)""", WORDS, """
+FROM posts LEFT JOIN (SELECT doc_id, pos, count(*) AS cnt FROM strict JOIN post_dict USING (word) GROUP BY 1, 2) USING (doc_id)
+GROUP BY doc_id""", POSTS)
+LANGUAGES = """
 per_word AS (SELECT lang, pos, sum(cnt) AS n FROM terms GROUP BY 1, 2),
 totals AS (SELECT lang, sum(n) AS total FROM per_word GROUP BY 1),
 priors AS (SELECT lang, ln(count(*)::DOUBLE / (SELECT count(*) FROM docs)) AS log_pi FROM docs GROUP BY 1),
@@ -373,7 +372,24 @@ log_mu AS (
   FROM totals t CROSS JOIN dict d LEFT JOIN per_word p ON p.lang = t.lang AND p.pos = d.pos),
 logs AS (
   SELECT doc_id, cluster, sum(cnt * log_mu) + any_value(log_pi) AS l
-  FROM terms JOIN log_mu USING (pos) JOIN priors ON priors.lang = cluster GROUP BY doc_id, cluster)""")
+  FROM terms JOIN log_mu USING (pos) JOIN priors ON priors.lang = cluster GROUP BY doc_id, cluster),
+posteriors AS (
+  SELECT doc_id, cluster, exp(l - biggest) / sum(exp(l - biggest)) OVER (PARTITION BY doc_id) AS p
+  FROM (SELECT *, max(l) OVER (PARTITION BY doc_id) AS biggest FROM logs))
+"""
+DRAWN = """
+edges AS (
+  SELECT doc_id, sum(p) OVER (PARTITION BY doc_id ORDER BY cluster ROWS UNBOUNDED PRECEDING) AS edge,
+         row_number() OVER (PARTITION BY doc_id ORDER BY cluster DESC) AS from_last,
+         CAST('0x' || substr(md5('7:1:' || CAST(doc_id AS VARCHAR)), 1, 13) AS BIGINT) / 4503599627370496.0::DOUBLE AS u
+  FROM posteriors),
+drawn AS (SELECT doc_id, count(*) FILTER (from_last > 1 AND u >= edge) AS cluster FROM edges GROUP BY doc_id)
+"""
+add("mixture_posterior", "SELECT doc_id, cluster, round(p, 6) AS p FROM posteriors", WORDS, LANGUAGES)
+add("mixture_draw", "SELECT doc_id, cluster FROM drawn", WORDS, LANGUAGES, DRAWN)
+add("mixture_sweep", """
+SELECT cluster, pos, CAST(sum(cnt) AS BIGINT) AS n FROM terms JOIN drawn USING (doc_id) GROUP BY 1, 2
+UNION ALL SELECT cluster, -1, count(*) FROM drawn GROUP BY 1""", WORDS, LANGUAGES, DRAWN)
 
 # --- classification --------------------------------------------------------
 
@@ -391,15 +407,52 @@ FROM (
         FROM predicted))""", SCORES)
 add("logit_false_positives", """
 SELECT doc_id, 'http://e/' || CAST(doc_id AS VARCHAR) AS url FROM predicted WHERE label = 0 AND predicted = 1""", SCORES)
-add("logit_two_rounds", """
-SELECT word, round(w1 - 0.1 * coalesce(g, 0), 9) AS coefficient
-FROM first LEFT JOIN (
-  SELECT pos, sum(tfidf * (1 / (1 + exp(-z)) - label)) AS g
-  FROM vectors JOIN (
-    SELECT doc_id, sum(tfidf * w1) AS z FROM vectors JOIN first USING (pos) GROUP BY doc_id) USING (doc_id)
-  GROUP BY pos) USING (pos)
-JOIN dict USING (pos)""", WORDS, """
-first AS (
-  SELECT pos, 0.01 - 0.1 * sum(tfidf * (1 / (1 + exp(-z)) - label)) AS w1
-  FROM vectors JOIN (SELECT doc_id, sum(tfidf * 0.01) AS z FROM vectors GROUP BY doc_id) USING (doc_id)
-  GROUP BY pos)""")
+
+
+def fit_parts(rounds: int, where: str) -> str:
+    """Gradient descent unrolled: ``w{r}``, ``rate{r}`` and ``loss{r}`` after every round."""
+    rows = f"train AS MATERIALIZED (SELECT doc_id, label, pos, tfidf FROM vectors WHERE {where})"
+    parts = [rows, "w0 AS MATERIALIZED (SELECT pos, 0.01::DOUBLE AS w FROM (SELECT DISTINCT pos FROM dict))"]
+    for r in range(1, rounds + 1):
+        parts.append(
+            f"z{r} AS MATERIALIZED (SELECT doc_id, any_value(label) AS label, sum(tfidf * w) AS z "
+            f"FROM train JOIN w{r - 1} USING (pos) GROUP BY doc_id)"
+        )
+        weights = f"(SELECT sqrt(sum(w * w) + (20000 - count(*)) * 0.0001) FROM w{r - 1})"
+        parts.append(
+            f"loss{r} AS MATERIALIZED (SELECT sum(greatest(z, 0) + ln(1 + exp(-abs(z))) - label * z) + {weights} AS loss FROM z{r})"
+        )
+        before = "SELECT 0.1::DOUBLE AS rate" if r == 1 else (
+            f"SELECT rate * CASE WHEN {r - 1} = 1 THEN 1 "
+            f"WHEN (SELECT loss FROM loss{r - 1}) < (SELECT loss FROM loss{max(r - 2, 1)}) THEN 1.05 ELSE 0.5 END AS rate "
+            f"FROM rate{r - 1}"
+        )
+        parts.append(f"rate{r} AS MATERIALIZED ({before})")
+        parts.append(
+            f"w{r} AS MATERIALIZED (SELECT pos, w - (SELECT rate FROM rate{r}) * coalesce(g, 0) AS w FROM w{r - 1} "
+            f"LEFT JOIN (SELECT pos, sum(tfidf * (1 / (1 + exp(-z)) - train.label)) AS g "
+            f"FROM train JOIN z{r} USING (doc_id) GROUP BY pos) USING (pos))"
+        )
+    return ",\n".join(parts)
+
+
+ROUNDS = 8
+FITTED = fit_parts(ROUNDS, "TRUE")
+add("logit_two_rounds", "SELECT word, round(w, 9) AS coefficient FROM w2 JOIN dict USING (pos)", WORDS,
+    fit_parts(2, "TRUE"))
+add("logit_trace", " UNION ALL ".join(
+    f"SELECT {r}::BIGINT AS round, round((SELECT loss FROM loss{r}), 6) AS loss, round((SELECT rate FROM rate{r + 1}), 6) AS rate, "
+    f"round(sqrt(sum((a.w - b.w) * (a.w - b.w))), 6) AS step FROM w{r} a JOIN w{r - 1} b USING (pos)"
+    for r in range(1, ROUNDS + 1)), WORDS, fit_parts(ROUNDS + 1, "TRUE"))
+add("logit_top_words", f"""
+SELECT word, round(w, 6) AS coefficient FROM w{ROUNDS} JOIN dict USING (pos) ORDER BY w DESC, pos LIMIT 5""", WORDS, FITTED)
+add("logit_split_eval", f"""
+SELECT tp, tn, fp, fn, round(precision, 9) AS precision, round(recall, 9) AS recall,
+       round(2 * precision * recall / (precision + recall), 9) AS f1
+FROM (
+  SELECT *, tp::DOUBLE / nullif(tp + fp, 0) AS precision, tp::DOUBLE / nullif(tp + fn, 0) AS recall
+  FROM (SELECT count_if(label = 1 AND z >= 0)::BIGINT AS tp, count_if(label = 0 AND z < 0)::BIGINT AS tn,
+               count_if(label = 0 AND z >= 0)::BIGINT AS fp, count_if(label = 1 AND z < 0)::BIGINT AS fn
+        FROM (SELECT doc_id, any_value(label) AS label, sum(tfidf * w) AS z FROM vectors JOIN w{ROUNDS} USING (pos)
+              WHERE doc_id NOT IN (SELECT doc_id FROM labels) GROUP BY doc_id)))""", WORDS,
+    fit_parts(ROUNDS, "doc_id IN (SELECT doc_id FROM labels)"))

@@ -32,7 +32,8 @@ def post_counts(docs: DataFrame, words: DataFrame) -> DataFrame:
 
 def post_map(docs: DataFrame, words: DataFrame, doc_id: str, below: int = 100) -> DataFrame:
     """Count map of one post, positions under ``below``."""
-    return vocabulary.count_map(post_counts(docs.where(F.col("doc_id") == doc_id), words), below=below)
+    post = docs.where(F.col("doc_id") == doc_id)
+    return vocabulary.count_map(post_counts(post, words), below=below, docs=post)
 
 
 def cluster(

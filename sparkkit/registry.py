@@ -8,7 +8,8 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+import numpy as np
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sparkkit.functions import tokens
@@ -614,18 +615,17 @@ def _post_frames(spark, folder):
 def sparse_counts(spark, folder):
     """Count maps of all posts, positions under 100, as text."""
     lines, words = _post_frames(spark, folder)
-    maps = vocabulary.count_map(posts.post_counts(lines, words), below=100)
+    maps = vocabulary.count_map(posts.post_counts(lines, words), below=100, docs=lines)
     entry = F.transform(
         F.array_sort(F.map_entries("counts")), lambda e: F.concat_ws(":", e["key"].cast("string"), e["value"].cast("string"))
     )
     return maps.select("doc_id", F.concat_ws(",", entry).alias("counts"))
 
 
-@query
-def mixture_posterior(spark, folder):
-    """Posterior over languages under smoothed word weights of each language."""
+def _language_model(spark, folder):
+    """Counts of the documents, and class and word weights with one smoothed class per language."""
     corpus, words = docs(spark, folder), _words(spark, folder)
-    counts = vocabulary.term_counts(corpus, words, keep=["lang"])
+    counts = materialize(vocabulary.term_counts(corpus, words, keep=["lang"]), "term-counts")
     per_word = counts.groupBy("lang", "pos").agg(F.sum("cnt").alias("n"))
     totals = {row.lang: row.n for row in per_word.groupBy("lang").agg(F.sum("n").alias("n")).collect()}
     sizes = {row.lang: row.num for row in grouping.count_by(corpus, ["lang"]).collect()}
@@ -634,11 +634,45 @@ def mixture_posterior(spark, folder):
     grid = words.select("pos", F.explode(F.array(*(F.lit(name) for name in totals))).alias("lang"))
     seen = F.coalesce("n", F.lit(0)) + 0.1
     weights = grid.join(per_word, ["lang", "pos"], "left").select(
-        F.col("lang").alias("cluster"), "pos", F.ln(seen / (F.element_at(total, F.col("lang")) + 0.1 * size)).alias("log_mu")
+        F.col("lang").alias("cluster"), "pos", (seen / (F.element_at(total, F.col("lang")) + 0.1 * size)).alias("mu")
     )
-    shares = spark.createDataFrame([(name, n / every) for name, n in sizes.items()], "cluster string, share double")
-    priors = shares.select("cluster", F.ln("share").alias("log_pi"))
-    return rounded(mixture.posterior(counts.drop("lang"), weights, priors), 6, "p")
+    shares = {name: n / every for name, n in sorted(sizes.items())}
+    return counts, words, weights, shares
+
+
+@query
+def mixture_posterior(spark, folder):
+    """Posterior over languages under smoothed word weights of each language."""
+    counts, _, weights, shares = _language_model(spark, folder)
+    frame = spark.createDataFrame(list(shares.items()), "cluster string, share double")
+    priors = frame.select("cluster", F.ln("share").alias("log_pi"))
+    logs = weights.select("cluster", "pos", F.ln("mu").alias("log_mu"))
+    return rounded(mixture.posterior(counts.drop("lang"), logs, priors), 6, "p")
+
+
+def _language_state(weights, shares, size) -> mixture.MixtureState:
+    """The language model as sampler state: one row of word weights per language, in name order."""
+    order = {name: i for i, name in enumerate(shares)}
+    mu = np.zeros((len(shares), size))
+    table = weights.toPandas()
+    mu[table.cluster.map(order).to_numpy(), table.pos.to_numpy()] = table.mu.to_numpy()
+    return mixture.MixtureState(np.array(list(shares.values())), mu, seed=7)
+
+
+@query
+def mixture_draw(spark, folder):
+    """One draw of a cluster per document under the language model."""
+    counts, words, weights, shares = _language_model(spark, folder)
+    state = _language_state(weights, shares, words.count())
+    return long_ints(mixture.assignments(mixture.document_rows(counts), state), "cluster")
+
+
+@query
+def mixture_sweep(spark, folder):
+    """Word counts and sizes of the clusters after one draw."""
+    counts, words, weights, shares = _language_model(spark, folder)
+    state = _language_state(weights, shares, words.count())
+    return long_ints(mixture.sweep(mixture.document_rows(counts), state), "cluster", "pos", "n")
 
 
 def _clusters(spark, folder, rounds=5):
@@ -721,18 +755,19 @@ def logit_two_rounds(spark, folder):
 
 @query
 def logit_trace(spark, folder):
-    """Loss, rate and step length of the first ten rounds."""
-    return long_ints(_fit(spark, folder, rounds=10)[0].trace_frame(spark), "round")
+    """Loss, rate and step length of the first rounds."""
+    trace = _fit(spark, folder, rounds=8)[0].trace_frame(spark)
+    return long_ints(rounded(trace, 6, "loss", "rate", "step"), "round")
 
 
 @query
 def logit_top_words(spark, folder):
-    model, words = _fit(spark, folder, rounds=20)
-    return documents.strongest_words(model, words)
+    model, words = _fit(spark, folder, rounds=8)
+    return rounded(documents.strongest_words(model, words), 6, "coefficient")
 
 
 @query
 def logit_split_eval(spark, folder):
     """Fit on the labelled documents, evaluate on all others."""
-    _, predicted = documents.classify(labelled(spark, folder), unlabelled(spark, folder), rounds=20)
-    return logistic.f1(logistic.confusion(predicted, "label"))
+    _, predicted = documents.classify(labelled(spark, folder), unlabelled(spark, folder), rounds=8)
+    return rounded(logistic.f1(logistic.confusion(predicted, "label")), 9, "precision", "recall", "f1")

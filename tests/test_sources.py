@@ -1,0 +1,115 @@
+import bz2
+
+import pytest
+from pyspark.sql import functions as F
+
+from sparkkit.sources import delimited, schemas, sinks, tagged
+
+TRIPS = """M1,D1,2013-01-01 17:05:00,x,600,2.0,x,x,x,x,CRD,10.0,1.0,x,2.0,0.0,13.0
+M1,D2,2013-01-01 18:05:00,x,0,2.0,x,x,x,x,CSH,10.0,1.0,x,0.0,0.0,11.0
+M2,D1,2013-01-01 17:30:00,x,300,1.5,x,x,x,x,,5.0,1.0,x,0.0,0.0,6.0
+M2,D1,2013-01-01 17:30:00,x,300,1.5
+M2,"D1,2013-01-01 17:30:00,x,300,1.5,x,x,x,x,CSH,5.0,1.0,x,0.0,0.0,6.0
+M2,D1,2013-01-01 17:30:00,x,300,1.5,x,x,x,x,CSH,5.0,1.0,x,0.0,0.0,6.0,extra
+"""
+
+DOCS = """<doc id="1" url="http://e/1" title="A">Cat cat dog.</doc>
+<doc id="2" url="http://e/2" title="B">Dog; it's 3 birds</doc>
+<doc id="AU7" url="http://e/7" title="C">The applicant v court</doc>
+<doc id="20_newsgroups/comp.graphics/37261" url="http://e/8" title="D">Image file (GIF).</doc>
+a line with no tag
+"""
+
+
+def test_lines_skip_per_file_and_compressed(spark, tmp_path):
+    for name in ("a.txt", "b.txt"):
+        (tmp_path / name).write_text("".join(f"{name}{i}\n" for i in range(6)))
+    (tmp_path / "c.txt.bz2").write_bytes(bz2.compress(b"c0\nc1\nc2\nc3\n"))
+    got = {r.value for r in delimited.read_lines(spark, str(tmp_path), skip_lines=3).collect()}
+    assert got == {f"{n}{i}" for n in ("a.txt", "b.txt") for i in (3, 4, 5)} | {"c3"}
+    assert delimited.read_lines(spark, str(tmp_path)).count() == 16
+
+
+def test_trip_lines_need_seventeen_fields(spark, tmp_path):
+    (tmp_path / "t.csv").write_text(TRIPS)
+    trips = delimited.read_trips(spark, str(tmp_path / "t.csv"))
+    assert trips.columns == schemas.TRIP.names
+    assert trips.count() == 4
+    assert {r.hack_license for r in trips.collect()} == {"D1", "D2", '"D1'}
+
+
+def test_header_and_casts(spark, tmp_path):
+    (tmp_path / "o.psv").write_text("orderkey|custkey\n1|7\n2|bad\n")
+    schema = schemas.text_schema("orderkey", "custkey")
+    df = delimited.read_delimited(spark, str(tmp_path / "o.psv"), schema, "|", header=True)
+    typed = delimited.cast_columns(df, {"orderkey": "int", "custkey": "int"})
+    assert sorted(tuple(r) for r in typed.collect()) == [(1, 7), (2, None)]
+
+
+def test_no_row_is_lost_without_header(spark, tmp_path):
+    (tmp_path / "n.psv").write_text("0|A\n1|B\n2|C\n3|D\n")
+    df = delimited.read_delimited(spark, str(tmp_path / "n.psv"), schemas.text_schema("k", "v"), "|")
+    assert df.count() == 4
+
+
+def test_links_keep_commas_inside_quotes(spark, tmp_path, rows):
+    (tmp_path / "l.csv").write_text('"1","animals"\n"1","pets"\n"2","cats, dogs"\n')
+    assert rows(delimited.read_links(spark, str(tmp_path / "l.csv"))) == [
+        ("1", "animals"), ("1", "pets"), ("2", "cats, dogs"),
+    ]
+
+
+def test_flights_pick_positions_and_fill_delay(spark, tmp_path):
+    def line(delay, cancelled):
+        fields = ["2015", "1", "3", "6", "AA", "1", "N1", "JFK", "LAX", "5", "6", delay] + ["z"] * 12 + [cancelled, "q"]
+        return ",".join(fields)
+
+    (tmp_path / "f.csv").write_text("head\n" + line("12", "0") + "\n" + line("", "1") + "\n")
+    got = delimited.read_flights(spark, str(tmp_path / "f.csv"))
+    assert got.columns == schemas.FLIGHT.names
+    assert sorted((r.departure_delay, r.cancelled, r.month) for r in got.collect()) == [(0, "1", 1), (12, "0", 1)]
+
+
+def test_airport_with_quoted_comma(spark, tmp_path):
+    (tmp_path / "a.csv").write_text('iata,airport,city,state,country,lat,lon\nXYZ,"Field, North",C,ST,US,1,2\n')
+    row = delimited.read_delimited(spark, str(tmp_path / "a.csv"), schemas.AIRPORT, header=True).first()
+    assert (row.airport, row.state) == ("Field, North", "ST")
+
+
+def test_tagged_documents(spark, tmp_path, rows):
+    (tmp_path / "d.txt").write_text(DOCS)
+    docs = tagged.read_tagged(spark, str(tmp_path / "d.txt"))
+    assert rows(docs.select("doc_id", "url", "title", "text")) == [
+        ("1", "http://e/1", "A", "Cat cat dog."),
+        ("2", "http://e/2", "B", "Dog; it's 3 birds"),
+        ("20_newsgroups/comp.graphics/37261", "http://e/8", "D", "Image file (GIF)."),
+        ("AU7", "http://e/7", "C", "The applicant v court"),
+    ]
+    assert docs.select(tagged.group_of("doc_id").alias("g")).where("g <> ''").first().g == "comp.graphics"
+
+
+def test_span_without_end_tag_runs_to_the_end(spark):
+    df = spark.createDataFrame([("<doc id='1'>some text",), ("<p>a</doc>b",), ("plain",)], "value string")
+    got = [r.s for r in df.select(tagged.tagged_span("value").alias("s")).collect()]
+    assert got == ["some text", "a", "plain"]
+    head = df.select(tagged.header_tag("value").alias("h")).collect()
+    assert [r.h for r in head] == ["<doc id='1'>", "<p>", ""]
+
+
+def test_report_is_one_file_and_bounded(spark, tmp_path):
+    df = spark.range(50).repartition(4)
+    sinks.write_report(df, str(tmp_path / "r"))
+    assert len(list((tmp_path / "r").glob("part-*"))) == 1
+    with pytest.raises(ValueError):
+        sinks.write_report(df, str(tmp_path / "s"), max_rows=10)
+
+
+def test_parts_open_with_top_lines(spark, tmp_path):
+    df = spark.range(40).repartition(4).withColumn("none", F.lit(None).cast("string"))
+    sinks.write_parts(df, str(tmp_path / "p"), "|", top_lines=("one", "two"))
+    files = list((tmp_path / "p").glob("part-*"))
+    assert len(files) == 4
+    assert all(f.read_text().startswith("one\ntwo\n") for f in files)
+    back = delimited.read_delimited(spark, str(tmp_path / "p"), schemas.text_schema("id", "none"), "|", skip_lines=2)
+    assert sorted(int(r.id) for r in back.collect()) == list(range(40))
+    assert back.where("none is not null").count() == 0
