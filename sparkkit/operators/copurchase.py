@@ -24,17 +24,33 @@ def owner_items(rows: DataFrame, owner: str, item: str, distinct: bool = False)
     return counts.withColumn("n", F.lit(1).cast("bigint")) if distinct else counts
 
 
+def _pairs(left: DataFrame, right: DataFrame) -> DataFrame:
+    """``a, b, na, nb``: an item of ``left`` next to a larger item of ``right`` held by the same owner."""
+    one = left.select("owner", F.col("item").alias("a"), F.col("n").alias("na"))
+    other = right.select("owner", F.col("item").alias("b"), F.col("n").alias("nb"))
+    return one.join(other, "owner").where("a < b")
+
+
+def _summed(pairs: DataFrame) -> DataFrame:
+    return pairs.groupBy("a", "b").agg(F.sum(F.col("na") * F.col("nb")).alias("num"))
+
+
 def _pair_sums(held: DataFrame) -> DataFrame:
     """``a, b, num`` over all item pairs a < b of each owner."""
-    left = held.select("owner", F.col("item").alias("a"), F.col("n").alias("na"))
-    right = held.select("owner", F.col("item").alias("b"), F.col("n").alias("nb"))
-    met = left.join(right, "owner").where("a < b")
-    return met.groupBy("a", "b").agg(F.sum(F.col("na") * F.col("nb")).alias("num"))
+    held = held.select("owner", "item", "n")
+    return _summed(_pairs(held, held))
 
 
-def _kth(pairs: DataFrame, k: int) -> int:
-    best = top_k(pairs, k, "num", ["a", "b"]).collect()
-    return best[-1].num if len(best) == k else 0
+def _bar(k: int, *known: DataFrame) -> tuple[int, object]:
+    """Count and first item of the k-th best of known pairs; no other pair that only
+    equals the count and starts later can be among the k best."""
+    bars = []
+    for pairs in known:
+        best = top_k(pairs, k, "num", ["a", "b"]).collect()
+        if len(best) == k:
+            bars.append((best[-1].num, best[-1].a))
+    highest = max((num for num, _ in bars), default=0)
+    return highest, min((first for num, first in bars if num == highest), default=None)
 
 
 def pair_counts(
@@ -54,26 +70,34 @@ def pair_counts(
     # k real counts are known from below: those of the small owners alone, and those
     # of the leading items of the large owners.
     heads = top_k_per_group(big_held, ["owner"], k + 1, "n", ["item"])
-    bar = max(_kth(small_pairs, k), _kth(_pair_sums(heads.select("owner", "item", "n")), k))
-
-    # ``lift`` bounds what large owners can add to any pair with the item.
-    lifts = big_held.groupBy("item").agg(F.sum(F.col("n") * F.col("most")).alias("lift"))
-    heavy = lifts.where(F.col("lift") >= bar).select("item")
-    heavy_pairs = _pair_sums(big_held.join(heavy, "item").select("owner", "item", "n"))
+    bar, first = _bar(k, small_pairs, _pair_sums(heads))
+
+    # ``lift`` bounds what large owners can add to any pair with the item. They alone
+    # can place a pair only if both lifts pass the bar, or equal it with an early item.
+    lifts = materialize(big_held.groupBy("item").agg(F.sum(F.col("n") * F.col("most")).alias("lift")), "lifts")
+    above = big_held.join(lifts.where(F.col("lift") > bar), "item").select("owner", "item", "n")
+    level = big_held.join(lifts.where(F.col("lift") >= bar), "item").select("owner", "item", "n", "lift")
+    early = F.lit(True) if first is None else F.col("item") <= F.lit(first)
+    partner = level.select("owner", "item", "n").join(
+        lifts.select("item", (F.col("lift") > bar).alias("over")), "item"
+    ).select("owner", F.col("item").alias("b"), F.col("n").alias("nb"), "over")
+    tied = (
+        level.where(early).select("owner", F.col("item").alias("a"), F.col("n").alias("na"), "lift")
+        .join(partner, "owner").where(F.col("a") < F.col("b")).where(~((F.col("lift") > bar) & F.col("over")))
+    )
+    heavy_pairs = _pair_sums(above).unionByName(_summed(tied))
 
     lift_a = lifts.select(F.col("item").alias("a"), F.col("lift").alias("lift_a"))
     lift_b = lifts.select(F.col("item").alias("b"), F.col("lift").alias("lift_b"))
-    added = F.coalesce(F.least("lift_a", "lift_b"), F.lit(0))
     lifted = small_pairs.join(lift_a, "a", "left").join(lift_b, "b", "left")
+    least = F.least("lift_a", "lift_b")
     both = F.col("lift_a").isNotNull() & F.col("lift_b").isNotNull()
-    hopeful = lifted.where(F.col("num") + F.when(both, added).otherwise(0) >= bar)
-    hopeful = materialize(hopeful.select("a", "b", "num", (both & (added < bar)).alias("open")), "hopeful-pairs")
+    hopeful = lifted.where(F.col("num") + F.when(both, least).otherwise(0) >= bar)
+    formed = (least > bar) | ((least >= bar) & (F.lit(True) if first is None else F.col("a") <= F.lit(first)))
+    hopeful = materialize(hopeful.select("a", "b", "num", (both & ~formed).alias("open")), "hopeful-pairs")
 
     of_a = big_held.select("owner", F.col("item").alias("a"), F.col("n").alias("na"))
     of_b = big_held.select("owner", F.col("item").alias("b"), F.col("n").alias("nb"))
-    completed = (
-        hopeful.where("open").select("a", "b").join(of_a, "a").join(of_b, ["owner", "b"])
-        .groupBy("a", "b").agg(F.sum(F.col("na") * F.col("nb")).alias("num"))
-    )
+    completed = _summed(hopeful.where("open").select("a", "b").join(of_a, "a").join(of_b, ["owner", "b"]))
     parts = hopeful.select("a", "b", "num").unionByName(heavy_pairs).unionByName(completed)
     return top_k(parts.groupBy("a", "b").agg(F.sum("num").alias("num")), k, "num", ["a", "b"])

@@ -391,6 +391,19 @@ add("mixture_sweep", """
 SELECT cluster, pos, CAST(sum(cnt) AS BIGINT) AS n FROM terms JOIN drawn USING (doc_id) GROUP BY 1, 2
 UNION ALL SELECT cluster, -1, count(*) FROM drawn GROUP BY 1""", WORDS, LANGUAGES, DRAWN)
 
+add("language_words", """
+SELECT cluster, word, round(exp(log_mu), 9) AS mu, CAST(rank AS INTEGER) AS rank
+FROM (SELECT cluster, word, log_mu,
+             row_number() OVER (PARTITION BY cluster ORDER BY coalesce(n, 0) DESC, word) AS rank
+      FROM log_mu JOIN dict USING (pos) LEFT JOIN per_word p ON p.lang = cluster AND p.pos = log_mu.pos)
+WHERE rank <= 50""", WORDS, LANGUAGES)
+add("drawn_categories", """
+SELECT cluster, lang, share, CAST(rank AS INTEGER) AS rank
+FROM (SELECT cluster, lang, n::DOUBLE / sum(n) OVER (PARTITION BY cluster) AS share,
+             row_number() OVER (PARTITION BY cluster ORDER BY n DESC, lang) AS rank
+      FROM (SELECT cluster, lang, count(*) AS n FROM drawn JOIN docs USING (doc_id) GROUP BY 1, 2))
+WHERE rank <= 3""", WORDS, LANGUAGES, DRAWN)
+
 # --- classification --------------------------------------------------------
 
 add("logit_predict", "SELECT doc_id, round(chance, 9) AS chance, CAST(predicted AS BIGINT) AS predicted FROM predicted",

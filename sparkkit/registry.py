@@ -675,6 +675,24 @@ def mixture_sweep(spark, folder):
     return long_ints(mixture.sweep(mixture.document_rows(counts), state), "cluster", "pos", "n")
 
 
+@query
+def language_words(spark, folder):
+    """Heaviest words of every language under its smoothed weights."""
+    _, words, weights, _ = _language_model(spark, folder)
+    named = weights.join(F.broadcast(words.select("word", "pos")), "pos").select("cluster", "word", "mu")
+    return rounded(ranking.top_k_per_group(named, ["cluster"], 50, "mu", ["word"]), 9, "mu")
+
+
+@query
+def drawn_categories(spark, folder):
+    """Commonest languages of every drawn cluster with their shares."""
+    counts, words, weights, shares = _language_model(spark, folder)
+    state = _language_state(weights, shares, words.count())
+    drawn = mixture.assignments(mixture.document_rows(counts), state)
+    named = drawn.join(docs(spark, folder).select("doc_id", "lang"), "doc_id")
+    return long_ints(mixture.top_categories(named, "lang"), "cluster")
+
+
 def _clusters(spark, folder, rounds=5):
     lines, words = _post_frames(spark, folder)
     state, assigned = posts.cluster(lines, words, clusters=4, rounds=rounds, seed=7)

@@ -86,9 +86,16 @@ def read_trips(spark: SparkSession, path: str | list[str]) -> DataFrame:
 
 
 def read_flights(spark: SparkSession, path: str | list[str], skip_lines: int = 1) -> DataFrame:
-    """Flight lines reduced to 13 columns; an empty delay counts as 0."""
-    fields = split_fields(read_lines(spark, path, skip_lines), min_fields=max(schemas.FLIGHT_POSITIONS) + 1)
-    flights = pick_fields(fields, schemas.FLIGHT_POSITIONS, schemas.FLIGHT.names)
+    """Flight lines reduced to 13 columns; an empty delay counts as 0.
+
+    Fields after the last one needed are never parsed.
+    """
+    wide = schemas.text_schema(*(f"f{at}" for at in range(max(schemas.FLIGHT_POSITIONS) + 1)))
+    top = {"header": True} if skip_lines == 1 else {"skip_lines": skip_lines}
+    lines = read_delimited(spark, path, wide, quote="", **top)
+    flights = lines.select(
+        *(F.col(f"f{at}").alias(n) for at, n in zip(schemas.FLIGHT_POSITIONS, schemas.FLIGHT.names, strict=True))
+    )
     flights = flights.withColumn("departure_delay", or_default("departure_delay", "0"))
     return cast_columns(
         flights, {"year": "int", "month": "int", "day": "int", "day_of_week": "int", "departure_delay": "int"}

@@ -55,10 +55,14 @@ def baskets(kind, seed):
         pairs = [(o, i) for o, i in pairs if o < 3]
     if kind == "nested":
         pairs += [(700 + c, 300 + i) for c in range(12) for i in range(10 + c)]
+
+    if kind == "level owner":
+        pairs += [(910, item) for item in range(140) for _ in range(3)]
+        pairs += [(911, item) for item in range(0, 150, 7) for _ in range(2)]
     return pairs
 
 
-KINDS = ["plain", "hot item", "copies", "large owner", "few", "nested"]
+KINDS = ["plain", "hot item", "copies", "large owner", "few", "nested", "level owner"]
 
 
 @pytest.mark.parametrize("kind", KINDS)
