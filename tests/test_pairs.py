@@ -6,6 +6,7 @@ from itertools import combinations
 import numpy as np
 import pytest
 
+from sparkkit.operators import similarity
 from sparkkit.operators.copurchase import pair_counts
 from sparkkit.operators.similarity import similar_pairs
 
@@ -65,8 +66,10 @@ def baskets(kind, seed):
 KINDS = ["plain", "hot item", "copies", "large owner", "few", "nested", "level owner"]
 
 
+@pytest.mark.parametrize("rare", [256, 8, 1])
 @pytest.mark.parametrize("kind", KINDS)
-def test_similar_pairs_are_exact(spark, kind):
+def test_similar_pairs_are_exact(spark, kind, rare, monkeypatch):
+    monkeypatch.setattr(similarity, "RARE", rare)
     pairs = baskets(kind, KINDS.index(kind))
     got = [(r.a, r.b, r.jaccard) for r in similar_pairs(frame(spark, pairs), "owner", "item", 10, 10).collect()]
     want = brute_jaccard(pairs, 10, 10)
