@@ -10,13 +10,16 @@ from pyspark.sql.types import StructType
 
 from sparkkit.sources import schemas
 
+MOST_BROADCAST_FILES = 100_000
+
 
 def read_lines(spark: SparkSession, path: str | list[str], skip_lines: int = 0) -> DataFrame:
     """Lines of text files (bz2 and gz by extension) as ``value``.
 
     ``skip_lines`` drops that many lines at the top of every file. A line's place
     is known from its file, the start of its split and its row id in the task, so
-    nothing but one number per file is aggregated.
+    one number per file is all that is aggregated and, for a checked number of files,
+    broadcast back.
     """
     lines = spark.read.text(path)
     if not skip_lines:
@@ -32,6 +35,8 @@ def read_lines(spark: SparkSession, path: str | list[str], skip_lines: int = 0)
         .groupBy(F.col("file").alias("first_file"))
         .agg(F.min("row").alias("first_row"))
     )
+    if len(lines.inputFiles()) <= MOST_BROADCAST_FILES:
+        first = F.broadcast(first)
     on_top = (F.col("start") == 0) & (F.col("row") - F.col("first_row") < skip_lines)
     return placed.join(first, F.col("file") == F.col("first_file")).where(~on_top).select("value")
 
