@@ -44,7 +44,7 @@ def main() -> None:
         print(name, seconds[name], file=sys.stderr, flush=True)
     print(json.dumps({
         "metric": "total_query_time", "value": round(sum(seconds.values()), 3), "unit": "sec", "queries": seconds,
-        "sf": os.path.basename(folder).removeprefix("sf"),
+        "sf": float(os.path.basename(folder).removeprefix("sf")),
     }))
     spark.stop()
 

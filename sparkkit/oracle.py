@@ -136,7 +136,7 @@ SELECT count(*) AS lines, count(miles) AS numeric, count_if(incomplete)::BIGINT
 add("flight_lines", """
 SELECT airline, count(*) AS flights, CAST(sum(CASE WHEN cancelled THEN 0 ELSE delay END) AS BIGINT) AS delay,
        CAST(count_if(cancelled) AS BIGINT) AS cancelled FROM flights GROUP BY airline""", FLIGHTS)
-add("percent_lines", """
+add("report_lines", """
 SELECT l_returnflag AS flag, l_linestatus AS status, count(*) AS num FROM lineitem GROUP BY ALL""")
 
 # --- trips -----------------------------------------------------------------
@@ -270,6 +270,11 @@ SELECT coalesce(o_orderkey, l_orderkey) AS orderkey, CASE WHEN o_orderkey IS NUL
        coalesce(n, 0)::BIGINT AS lines
 FROM orders FULL JOIN (SELECT l_orderkey, count(*) AS n FROM lineitem GROUP BY 1) ON o_orderkey = l_orderkey""")
 
+add("status_share", """
+SELECT l_returnflag, l_linestatus, count(*) AS num,
+       count(*)::DOUBLE / sum(count(*)) OVER (PARTITION BY l_returnflag) AS share
+FROM lineitem GROUP BY 1, 2""")
+
 # --- flights ---------------------------------------------------------------
 
 add("origins", "SELECT DISTINCT origin_airport FROM flights", FLIGHTS)

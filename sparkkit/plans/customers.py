@@ -19,7 +19,8 @@ from sparkkit.operators.similarity import similar_pairs
 
 def _bought(orders: DataFrame, lineitem: DataFrame, *columns: str) -> DataFrame:
     """Customer next to the chosen columns of each of their line items."""
-    return orders.select("orderkey", "custkey").join(lineitem.select("orderkey", *columns), "orderkey")
+    lines = lineitem.select("orderkey", *columns)
+    return orders.select("orderkey", "custkey").join(lines, "orderkey").drop("orderkey")
 
 
 def top_parts(lineitem: DataFrame, k: int = 10) -> DataFrame:

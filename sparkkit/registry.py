@@ -240,16 +240,12 @@ def flight_lines(spark, folder):
 
 
 @query
-def percent_lines(spark, folder):
+def report_lines(spark, folder):
     """A small report written as one text file and read back."""
     path = new_path(spark, "report")
-    report = ranking.share_in_group(
-        grouping.count_by(table(spark, folder, "lineitem"), ["l_returnflag", "l_linestatus"]), ["l_returnflag"], "num"
-    )
-    sinks.write_report(report.select("l_returnflag", "l_linestatus", "num"), path)
-    return delimited.read_delimited(spark, path, schemas.text_schema("flag", "status", "num")).select(
-        "flag", "status", F.col("num").cast("bigint").alias("num")
-    )
+    sinks.write_report(grouping.count_by(table(spark, folder, "lineitem"), ["l_returnflag", "l_linestatus"]), path)
+    read = delimited.read_delimited(spark, path, schemas.text_schema("flag", "status", "num"))
+    return delimited.cast_columns(read, {"num": "bigint"})
 
 
 # --- trips -----------------------------------------------------------------
@@ -434,6 +430,13 @@ def full_order_lines(spark, folder):
     return long_ints(lines, "known", "lines")
 
 
+@query
+def status_share(spark, folder):
+    """Part of each line status among the line items of a return flag."""
+    counts = grouping.count_by(table(spark, folder, "lineitem"), ["l_returnflag", "l_linestatus"])
+    return ranking.share_in_group(counts, ["l_returnflag"], "num")
+
+
 # --- flights ---------------------------------------------------------------
 
 
