@@ -14,7 +14,9 @@ from pyspark.sql import functions as F
 SPACE = r"[\x20\x09-\x0D]"
 WORD = r"[^\x20\x09-\x0D]+"
 #: Bytes of text handled at once inside a task.
-BLOCK_BYTES = 8 << 20
+BLOCK_BYTES = 2 << 20
+#: Rows that Spark hands to Python at once; its own default of 10,000 long texts would take much memory in each task.
+BATCH_ROWS = 1000
 
 
 def fold(doc_id: Column | str, folds: int = 5) -> Column:
@@ -22,8 +24,16 @@ def fold(doc_id: Column | str, folds: int = 5) -> Column:
     return F.crc32(F.coalesce(F.col(doc_id) if isinstance(doc_id, str) else doc_id, F.lit("")).cast("string").cast("binary")) % folds
 
 
+def small_batches(df: DataFrame) -> None:
+    """Makes the session hand at most ``BATCH_ROWS`` rows at once to Python, unless it is set to fewer."""
+    conf, key = df.sparkSession.conf, "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(conf.get(key)) <= BATCH_ROWS:
+        conf.set(key, str(BATCH_ROWS))
+
+
 def texts_of(df: DataFrame, *more: str) -> DataFrame:
-    """The columns doc_id, text (null: empty) and ``more`` of ``df``; other columns are left out."""
+    """The columns doc_id, text (null: empty) and ``more`` of ``df``, for use in Python; other columns are left out."""
+    small_batches(df)
     return df.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.coalesce(F.col("text"), F.lit("")).alias("text"), *more)
 
 
@@ -66,7 +76,7 @@ class ChunkTable:
     bounds memory and never changes a result.
     """
 
-    def __init__(self, encode: Callable[[list[str]], list[list[int]]], most: int = 600_000):
+    def __init__(self, encode: Callable[[list[str]], list[list[int]]], most: int = 500_000):
         self.encode, self.most = encode, most
         self.clear()
 

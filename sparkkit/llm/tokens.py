@@ -41,7 +41,7 @@ class WordEncoder:
     def _core(self, word: str) -> list[int]:
         word = word.lower()
         if (ids := self.known.get(word)) is None:
-            if len(self.known) > 300_000:
+            if len(self.known) > 100_000:
                 self.known.clear()
             written = word if word.isascii() else "".join(map(self.letters.__getitem__, word.encode()))
             ids = self.known[word] = [t.id for t in self.model.tokenize(written)]
