@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sparkkit.llm import packing, pieces, planes
+from sparkkit.llm import exact, packing, pieces, planes, quality
 from sparkkit.session import new_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -58,6 +58,25 @@ def _doc_crc(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
+@query
+def op6_exact_dedup(spark, folder):
+    digest = F.sha2(exact.normalised("text").cast("binary"), 256)
+    return exact.groups(table(spark, folder, "documents"), {"text_sha256": digest})
+
+
+ORACLE["op6_exact_dedup"] = r"""
+    WITH t AS (SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS x FROM documents)
+    SELECT doc_id, min(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
+           doc_id = min(doc_id) OVER same AS kept, sha256(x) AS text_sha256
+    FROM t WINDOW same AS (PARTITION BY x)"""
+
+
+@query
+def op9_quality(spark, folder):
+    found = quality.assess(table(spark, folder, "documents"))
+    return found.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", F.round("posterior", 9).alias("posterior"))
+
+
 @query
 def op10_packing(spark, folder):
     return piece_digests(packing.pack(table(spark, folder, "documents"), public_tokenizers.path("word_bpe_49k.json")))
