@@ -11,7 +11,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sparkkit.llm import exact, packing, pieces, planes, quality
+from sparkkit.llm import chat, exact, language, packing, pieces, planes, quality
+from sparkkit.llm.common import fold
 from sparkkit.session import new_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -39,6 +40,14 @@ def op1_sentencepiece(spark, folder):
     )
 
 
+@query
+def op2_chat(spark, folder):
+    said = "</s>[INST] ok [/INST]"
+    own = spark.createDataFrame([(-1, 0, "user", said), (-1, 1, "assistant", said)], "conv_id bigint, turn bigint, role string, text string")
+    given = table(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
+    return chat.digests(chat.format_turns(given.unionByName(own)))
+
+
 @query
 def op5_token_planes(spark, folder):
     path = new_path(spark, "planes")
@@ -71,6 +80,14 @@ ORACLE["op6_exact_dedup"] = r"""
     FROM t WINDOW same AS (PARTITION BY x)"""
 
 
+@query
+def op8_language(spark, folder):
+    docs = table(spark, folder, "documents")
+    held_out = fold("doc_id") == 0
+    found = language.identify(docs, language.fit(docs.filter(~held_out)))
+    return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
 @query
 def op9_quality(spark, folder):
     found = quality.assess(table(spark, folder, "documents"))
