@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sparkkit.llm import chat, exact, language, packing, pieces, planes, quality
+from sparkkit.llm import chat, exact, language, packing, pieces, planes, quality, toxicity
 from sparkkit.llm.common import fold
 from sparkkit.session import new_path
 
@@ -48,6 +48,19 @@ def op2_chat(spark, folder):
     return chat.digests(chat.format_turns(given.unionByName(own)))
 
 
+def toxic_lexicon(spark, docs, folder):
+    """The lexicon learned from the labelled rows whose fold is not 0."""
+    labels = table(spark, folder, "labels").filter(fold("doc_id") != 0)
+    return toxicity.fit(toxicity.sample_labelled(docs, labels))
+
+
+@query
+def op4_toxicity(spark, folder):
+    docs = table(spark, folder, "documents")
+    found = toxicity.score(docs, toxic_lexicon(spark, docs, folder))
+    return found.select("doc_id", (fold("doc_id") == 0).alias("held_out"), "score", "predicted")
+
+
 @query
 def op5_token_planes(spark, folder):
     path = new_path(spark, "planes")
