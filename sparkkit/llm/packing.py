@@ -15,7 +15,7 @@ from sparkkit.llm.tokens import encode_texts
 
 Piece = tuple[int, int, np.ndarray, int]  # doc_id, start, ids, doc_tokens
 SCHEMA = (
-    "sequence_id bigint, length int, ids array<int>, "
+    "sequence_id bigint, length int, ids binary, "
     "pieces array<struct<doc_id bigint, start bigint, length bigint, offset bigint, doc_tokens bigint>>"
 )
 
@@ -116,7 +116,8 @@ class SquarePacker:
 def pack(docs: DataFrame, tokenizer: str, end_id: int = 1, size: int = 2048, most_open: int = 4096) -> DataFrame:
     """Windows of at most ``size`` ids over all documents, each followed by ``end_id``.
 
-    One row per window: its id, its ids, and its pieces in order; a piece names its document,
+    One row per window: its id, its length, its ids (binary: unsigned 32-bit numbers, lowest
+    byte first), and its pieces in order; a piece names its document,
     how many ids of the document come before it, its length, its place in the window and the
     document's ids in all. Each partition packs its own documents as they come, without a
     shuffle; ``sequence_id`` is the partition's number times 2^40 plus a running number, so the
@@ -162,12 +163,12 @@ def _rows(windows: list[list[Piece]], first: int) -> pa.RecordBatch:
         ],
         ["doc_id", "start", "length", "offset", "doc_tokens"],
     )
-    ids = np.concatenate([p[2] for p in pieces]).astype(np.int32)
+    ids = np.concatenate([p[2] for p in pieces]).astype("<u4")
     return pa.RecordBatch.from_arrays(
         [
             pa.array(np.arange(first, first + len(windows), dtype=np.int64)),
             pa.array(np.diff(window_ends).astype(np.int32)),
-            pa.ListArray.from_arrays(pa.array(window_ends.astype(np.int32)), pa.array(ids)),
+            pa.Array.from_buffers(pa.binary(), len(windows), [None, pa.py_buffer((window_ends * 4).astype(np.int32)), pa.py_buffer(ids)]),
             pa.ListArray.from_arrays(pa.array(per_window.astype(np.int32)), fields),
         ],
         ["sequence_id", "length", "ids", "pieces"],

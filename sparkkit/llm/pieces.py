@@ -11,7 +11,7 @@ import pyarrow.compute as pc
 import sentencepiece
 from pyspark.sql import DataFrame
 
-from sparkkit.llm.common import ChunkTable, list_array, lists_to_codes, slices, texts_of
+from sparkkit.llm.common import ChunkTable, list_array, lists_to_codes, slices, small_batches, texts_of
 
 MARK = "▁"
 _MODELS: dict[str, tuple[sentencepiece.SentencePieceProcessor, ChunkTable | None]] = {}
@@ -58,15 +58,17 @@ def load(path: str) -> tuple[sentencepiece.SentencePieceProcessor, ChunkTable |
     return _MODELS[path]
 
 
-def encode(docs: DataFrame, model_file: str) -> DataFrame:
+def encode(docs: DataFrame, model_file: str, decoded: bool = False) -> DataFrame:
     """doc_id and ``ids`` (array of int) of every whole text, as the library's encode gives them.
 
     Each block of texts becomes a table of its distinct chunks; chunks that the worker has not
     met are segmented once, and ids are joined back by position. The table stays with the
     Python worker from task to task, so nothing is shuffled. If the model has pieces across
-    markers, or normalises texts, whole texts are encoded.
+    markers, or normalises texts, whole texts are encoded. ``decoded`` adds ``text``, the
+    library's decode of the ids, in the same pass.
 
-    Null and empty texts have no ids. Repeated rows are encoded each. Other columns are left out.
+    Null and empty texts have no ids. Repeated rows are encoded each, an empty table stays
+    empty. Other columns are left out.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -77,20 +79,24 @@ def encode(docs: DataFrame, model_file: str) -> DataFrame:
             else:
                 values, offsets = table.ids(*lists_to_codes(chunk_lists(block.column("text"))))
                 ids = list_array(values, offsets, pa.int32())
-            yield pa.RecordBatch.from_arrays([block.column("doc_id"), ids], ["doc_id", "ids"])
+            texts = {"text": _decoded(ids, model)} if decoded else {}
+            columns = {"doc_id": block.column("doc_id"), "ids": ids} | texts
+            yield pa.RecordBatch.from_arrays(list(columns.values()), list(columns))
 
-    return texts_of(docs).mapInArrow(run, "doc_id bigint, ids array<int>")
+    return texts_of(docs).mapInArrow(run, "doc_id bigint, ids array<int>" + ", text string" * decoded)
+
+
+def _decoded(ids: pa.ListArray, model: sentencepiece.SentencePieceProcessor) -> pa.Array:
+    return pa.array([model.decode(x or []) for x in ids.to_pylist()], pa.string())
 
 
 def decode(ids: DataFrame, model_file: str) -> DataFrame:
     """doc_id, ids and ``text``, the library's decode of each id list (null: empty)."""
+    small_batches(ids)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model, _ = load(model_file)
         for batch in batches:
-            for a in range(0, len(batch), 500):
-                block = batch.slice(a, 500)
-                texts = model.decode([x or [] for x in block.column("ids").to_pylist()], num_threads=1) if len(block) else []
-                yield pa.RecordBatch.from_arrays([block.column("doc_id"), block.column("ids"), pa.array(texts, pa.string())], ["doc_id", "ids", "text"])
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("ids"), _decoded(batch.column("ids"), model)], ["doc_id", "ids", "text"])
 
     return ids.select("doc_id", "ids").mapInArrow(run, "doc_id bigint, ids array<int>, text string")

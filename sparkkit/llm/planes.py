@@ -30,7 +30,6 @@ from sparkkit.llm.tokens import encode_texts
 MAGIC = b"TKPLANE1"
 BLOCK = 65_536
 SECTION = "part binary"
-DOCS = "file_no bigint, doc_id bigint, ids array<int>"
 
 
 def shuffle_planes(ids: np.ndarray, kind: str = "bit") -> list[bytes]:
@@ -162,7 +161,7 @@ def write_planes(docs: DataFrame, path: str, tokenizer: str, end_id: int = 2, fi
 def read_planes(spark: SparkSession, path: str) -> DataFrame:
     """file_no, doc_id, start (ids of all documents before it) and ids of every document in the files below ``path``.
 
-    A file's number is its place in the order of names. Only the totals of the files, one row
+    ``ids`` is binary: unsigned 32-bit numbers, lowest byte first. A file's number is its place in the order of names. Only the totals of the files, one row
     each, are summed up and sent to all tasks.
     """
     files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(path).select("path", "content")
@@ -182,7 +181,7 @@ def read_planes(spark: SparkSession, path: str) -> DataFrame:
     firsts = files.mapInArrow(totals, "path string, n_ids bigint").select(
         "path", (F.row_number().over(Window.orderBy("path")) - 1).cast("bigint").alias("file_no"), F.coalesce(F.sum("n_ids").over(before), F.lit(0)).alias("first"),
     )
-    found = files.mapInArrow(docs, "path string, doc_id bigint, within bigint, ids array<int>")
+    found = files.mapInArrow(docs, "path string, doc_id bigint, within bigint, ids binary")
     return found.join(F.broadcast(firsts), "path").select("file_no", "doc_id", (F.col("first") + F.col("within")).alias("start"), "ids")
 
 
@@ -206,7 +205,7 @@ def _documents(name: pa.Scalar, data: bytes, at_once: int = 1 << 20) -> Iterator
                 [
                     pa.array([name.as_py()] * (done - first), pa.string()), pa.array(doc_ids[first:done]),
                     pa.array(ends[first:done] - lengths[first:done]),
-                    pa.ListArray.from_arrays(pa.array(stops.astype(np.int32)), pa.array(ids[: stops[-1]].astype(np.int32))),
+                    pa.Array.from_buffers(pa.binary(), done - first, [None, pa.py_buffer((stops * 4).astype(np.int32)), pa.py_buffer(ids[: stops[-1]].astype("<u4"))]),
                 ],
                 ["path", "doc_id", "within", "ids"],
             )

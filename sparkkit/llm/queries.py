@@ -2,12 +2,9 @@
 
 from __future__ import annotations
 
-import zlib
-from collections.abc import Callable, Iterator
+from collections.abc import Callable
 
-import numpy as np
 import public_tokenizers
-import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -32,7 +29,7 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 @query
 def op1_sentencepiece(spark, folder):
     model = public_tokenizers.path("piece_bpe_32k.model")
-    both = pieces.decode(pieces.encode(table(spark, folder, "documents"), model), model)
+    both = pieces.encode(table(spark, folder, "documents"), model, decoded=True)
     return both.select(
         "doc_id", F.size("ids").cast("bigint").alias("n_tokens"),
         F.sha2(F.concat_ws(",", F.col("ids").cast("array<string>")).cast("binary"), 256).alias("ids_sha256"),
@@ -65,19 +62,9 @@ def op4_toxicity(spark, folder):
 def op5_token_planes(spark, folder):
     path = new_path(spark, "planes")
     planes.write_planes(table(spark, folder, "documents"), path, public_tokenizers.path("word_bpe_49k.json"))
-    found = planes.read_planes(spark, path)
-    return found.mapInArrow(_doc_crc, "doc_id bigint, start bigint, n_tokens bigint, ids_crc32 bigint")
-
-
-def _doc_crc(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        lists = batch.column("ids")
-        ids, offsets = lists.values.to_numpy().astype("<u4"), lists.offsets.to_numpy()
-        crcs = [zlib.crc32(ids[a:b]) for a, b in zip(offsets, offsets[1:])]
-        yield pa.RecordBatch.from_arrays(
-            [batch.column("doc_id"), batch.column("start"), pa.array(np.diff(offsets).astype(np.int64)), pa.array(crcs, pa.int64())],
-            ["doc_id", "start", "n_tokens", "ids_crc32"],
-        )
+    return planes.read_planes(spark, path).select(
+        "doc_id", "start", (F.octet_length("ids") / 4).cast("bigint").alias("n_tokens"), F.crc32("ids").alias("ids_crc32")
+    )
 
 
 @query
@@ -114,17 +101,7 @@ def op10_packing(spark, folder):
 
 def piece_digests(windows: DataFrame) -> DataFrame:
     """One row per piece of packed windows, with the crc32 of its ids."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            lists, held = batch.column("ids"), batch.column("pieces")
-            ids, starts = lists.values.to_numpy().astype("<u4"), lists.offsets.to_numpy().astype(np.int64)
-            per_window = np.diff(held.offsets.to_numpy())
-            fields = {k: held.values.field(k) for k in ("doc_id", "start", "length", "doc_tokens", "offset")}
-            at = np.repeat(starts[:-1], per_window) + fields["offset"].to_numpy()
-            crcs = [zlib.crc32(ids[a:b]) for a, b in zip(at, at + fields["length"].to_numpy())]
-            fields |= {"ids_crc32": pa.array(crcs, pa.int64()), "sequence_id": pa.array(np.repeat(batch.column("sequence_id").to_numpy(), per_window))}
-            order = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]
-            yield pa.RecordBatch.from_arrays([fields[k] for k in order], order)
-
-    return windows.mapInArrow(run, "doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, sequence_id bigint, offset bigint")
+    part = F.expr("substring(ids, cast(4 * piece.offset + 1 AS int), cast(4 * piece.length AS int))")
+    return windows.select("sequence_id", "ids", F.explode("pieces").alias("piece")).select(
+        "piece.doc_id", "piece.start", "piece.length", F.crc32(part).alias("ids_crc32"), "piece.doc_tokens", "sequence_id", "piece.offset"
+    )

@@ -30,6 +30,10 @@ def tokenizer():
     return Tokenizer.from_file(WORDS)
 
 
+def numbers(ids):
+    return np.frombuffer(ids, "<u4").tolist()
+
+
 @pytest.mark.parametrize("name", ["odd_docs", "small"])
 def test_pieces_equal_the_library(request, model, name):
     docs = request.getfixturevalue(name)
@@ -39,6 +43,7 @@ def test_pieces_equal_the_library(request, model, name):
         ids = model.encode(r.text or "")
         expected.append((r.doc_id, ids, model.decode(ids)))
     assert found == sorted(expected, key=repr)
+    assert sorted(((r.doc_id, r.ids, r.text) for r in pieces.encode(docs, PIECES, decoded=True).collect()), key=repr) == found
 
 
 @settings(max_examples=300, deadline=None)
@@ -75,7 +80,7 @@ def test_planes_round_trip(request, spark, tokenizer, tmp_path, kind, name):
     docs = request.getfixturevalue(name)
     path = str(tmp_path / "planes")
     planes.write_planes(docs, path, WORDS, end_id=2, files=3, kind=kind, block=1000)
-    found = sorted(((r.doc_id, r.start, r.ids) for r in planes.read_planes(spark, path).collect()), key=lambda r: r[1])
+    found = sorted(((r.doc_id, r.start, numbers(r.ids)) for r in planes.read_planes(spark, path).collect()), key=lambda r: r[1])
     expected, start = [], 0
     for r in sorted(docs.collect(), key=lambda r: (r.doc_id is not None, r.doc_id or 0)):
         ids = tokenizer.encode(r.text or "", add_special_tokens=False).ids + [2]
@@ -94,7 +99,7 @@ def test_one_block_of_a_file_can_be_read_alone(spark, small, tmp_path):
     (file,) = [f for f in (tmp_path / "p").iterdir() if f.name.startswith("part-")]
     data = file.read_bytes()
     index = planes.read_index(data)
-    ids = [i for r in planes.read_planes(spark, str(tmp_path / "p")).orderBy("start").collect() for i in r.ids]
+    ids = [i for r in planes.read_planes(spark, str(tmp_path / "p")).orderBy("start").collect() for i in numbers(r.ids)]
     assert all(b[1] == 512 for b in index["blocks"][:-1])
     assert planes.read_block(data, index, 3).tolist() == ids[3 * 512 : 4 * 512]
 
@@ -119,11 +124,12 @@ def test_plane_query(spark, tokenizer, small):
 def documents_of(windows, size):
     pieces_of = defaultdict(list)
     for w in windows:
-        assert len(w.ids) == w.length == sum(p.length for p in w.pieces) <= size
+        ids = numbers(w.ids)
+        assert len(ids) == w.length == sum(p.length for p in w.pieces) <= size
         at = 0
         for p in w.pieces:
             assert p.offset == at and p.length > 0
-            pieces_of[p.doc_id].append((p.start, w.ids[at : at + p.length], p.doc_tokens))
+            pieces_of[p.doc_id].append((p.start, ids[at : at + p.length], p.doc_tokens))
             at += p.length
     return pieces_of
 
