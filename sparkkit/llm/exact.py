@@ -39,16 +39,17 @@ def groups(docs: DataFrame, carry: dict[str, Column] | None = None) -> DataFrame
 
     Round by round, rows that still share all bytes so far with another row are split by the
     next bytes: 64, 256, 1024, ... of them. A row leaves when it is alone or its text has ended.
-    The first round reads only the first bytes. The bytes that later rounds need are laid out
+    The first round reads only the first bytes. To find the texts of what is left, texts are
+    always dealt out by row: what is left may be most of the table. The bytes that later rounds need are laid out
     once, by round, for the rows that have not left by then, so a long text takes few rounds and
     each round moves only its own bytes. No digest takes part in a decision.
     """
     carried = {f"carry_{k}": c for k, c in enumerate((carry or {}).values())}
     norm = normalised("text")
-    stored = materialize(docs.select(
+    stored = _stored(docs.select(
         F.monotonically_increasing_id().alias("row"), "doc_id", norm.cast("binary").alias("bytes"),
         *[c.alias(name) for name, c in carried.items()],
-    ).withColumn("chunk", F.substring("bytes", 1, FIRST)), "texts")
+    ).withColumn("chunk", F.substring("bytes", 1, FIRST)))
 
     done = []
     alive = materialize(_split(stored.select("row", "doc_id", "chunk"), ["chunk"], F.lit(FIRST)), "alive")
@@ -59,7 +60,7 @@ def groups(docs: DataFrame, carry: dict[str, Column] | None = None) -> DataFrame
         last = F.ceil(F.log(F.octet_length("bytes") * (GROWTH - 1.0) / FIRST + 1.0) / F.log(F.lit(float(GROWTH)))).cast("int") + 1
         start = f"cast({FIRST} * (power({GROWTH}, round) - 1) / {GROWTH - 1} as int)"
         chunks = (
-            stored.select("row", "bytes").join(alive.select("row"), "row", "left_semi")
+            stored.select("row", "bytes").join(alive.select("row").hint("merge"), "row", "left_semi")
             .select("row", "bytes", F.explode(F.sequence(F.lit(1), last)).alias("round"))
             .filter(f"{start} <= octet_length(bytes)")
             .select("row", "round", F.expr(f"substring(bytes, {start} + 1, cast({FIRST} * power({GROWTH}, round) as int))").alias("chunk"))
@@ -87,10 +88,17 @@ def groups(docs: DataFrame, carry: dict[str, Column] | None = None) -> DataFrame
     )
 
 
+def _stored(texts: DataFrame) -> DataFrame:
+    """The texts as a tightly packed table in the shared folder."""
+    path = new_path(texts.sparkSession, "texts")
+    texts.write.option("compression", "zstd").parquet(path)
+    return texts.sparkSession.read.schema(texts.schema).parquet(path)
+
+
 def _by_round(chunks: DataFrame) -> DataFrame:
     """The chunks as a table in the shared folder with a part for each round."""
     path = new_path(chunks.sparkSession, "chunks")
-    chunks.write.partitionBy("round").parquet(path)
+    chunks.write.partitionBy("round").option("compression", "zstd").parquet(path)
     return chunks.sparkSession.read.schema("row bigint, chunk binary, round int").parquet(path)
 
 
