@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sparkkit.llm import chat, exact, language, packing, pieces, planes, quality, toxicity
+from sparkkit.llm import chat, exact, language, near, packing, pieces, planes, quality, toxicity
 from sparkkit.llm.common import fold
 from sparkkit.session import new_path
 
@@ -80,6 +80,11 @@ ORACLE["op6_exact_dedup"] = r"""
     FROM t WINDOW same AS (PARTITION BY x)"""
 
 
+@query
+def op7_near_dedup(spark, folder):
+    return near.link(table(spark, folder, "documents"), words=2)
+
+
 @query
 def op8_language(spark, folder):
     docs = table(spark, folder, "documents")
