@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sparkkit.llm import chat, exact, language, near, packing, pieces, planes, quality, toxicity
+from sparkkit.llm import chat, exact, language, lm, near, packing, pieces, planes, quality, toxicity
 from sparkkit.llm.common import fold
 from sparkkit.session import new_path
 
@@ -45,6 +45,16 @@ def op2_chat(spark, folder):
     return chat.digests(chat.format_turns(given.unionByName(own)))
 
 
+@query
+def op3_lm_scoring(spark, folder):
+    docs = table(spark, folder, "documents")
+    held_out = fold("doc_id") == 1
+    deleted = fold("doc_id", 25) < 5  # a fifth of the documents of each of the five folds
+    model = lm.fit(docs.filter(~held_out), deleted)
+    found = lm.score(docs, model)
+    return found.select("doc_id", held_out.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 def toxic_lexicon(spark, docs, folder):
     """The lexicon learned from the labelled rows whose fold is not 0."""
     labels = table(spark, folder, "labels").filter(fold("doc_id") != 0)
