@@ -10,6 +10,8 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from sparkkit.session import new_path
+
 #: The white space of the contracts, as a Java and DuckDB character class.
 SPACE = r"[\x20\x09-\x0D]"
 WORD = r"[^\x20\x09-\x0D]+"
@@ -37,6 +39,13 @@ def texts_of(df: DataFrame, *more: str) -> DataFrame:
     return df.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.coalesce(F.col("text"), F.lit("")).alias("text"), *more)
 
 
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """``materialize`` for tables that hold whole texts: packed tightly."""
+    path = new_path(df.sparkSession, name)
+    df.write.option("compression", "zstd").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def slices(batches: Iterable[pa.RecordBatch], column: str = "text", size: int = BLOCK_BYTES) -> Iterator[pa.RecordBatch]:
     """The batches cut so that each piece holds about ``size`` bytes of ``column`` (one row at least)."""
     for batch in batches:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sparkkit.llm.common import SPACE
+from sparkkit.llm.common import SPACE, stored
 from sparkkit.session import materialize, new_path
 
 #: Bytes compared in the first round; each later round compares GROWTH times as many.
@@ -46,13 +46,13 @@ def groups(docs: DataFrame, carry: dict[str, Column] | None = None) -> DataFrame
     """
     carried = {f"carry_{k}": c for k, c in enumerate((carry or {}).values())}
     norm = normalised("text")
-    stored = _stored(docs.select(
+    texts = stored(docs.select(
         F.monotonically_increasing_id().alias("row"), "doc_id", norm.cast("binary").alias("bytes"),
         *[c.alias(name) for name, c in carried.items()],
-    ).withColumn("chunk", F.substring("bytes", 1, FIRST)))
+    ).withColumn("chunk", F.substring("bytes", 1, FIRST)), "texts")
 
     done = []
-    alive = materialize(_split(stored.select("row", "doc_id", "chunk"), ["chunk"], F.lit(FIRST)), "alive")
+    alive = materialize(_split(texts.select("row", "doc_id", "chunk"), ["chunk"], F.lit(FIRST)), "alive")
     done.append(alive.filter("ended"))
     alive = alive.filter("NOT ended")
     if not alive.isEmpty():
@@ -60,7 +60,7 @@ def groups(docs: DataFrame, carry: dict[str, Column] | None = None) -> DataFrame
         last = F.ceil(F.log(F.octet_length("bytes") * (GROWTH - 1.0) / FIRST + 1.0) / F.log(F.lit(float(GROWTH)))).cast("int") + 1
         start = f"cast({FIRST} * (power({GROWTH}, round) - 1) / {GROWTH - 1} as int)"
         chunks = (
-            stored.select("row", "bytes").join(alive.select("row").hint("merge"), "row", "left_semi")
+            texts.select("row", "bytes").join(alive.select("row").hint("merge"), "row", "left_semi")
             .select("row", "bytes", F.explode(F.sequence(F.lit(1), last)).alias("round"))
             .filter(f"{start} <= octet_length(bytes)")
             .select("row", "round", F.expr(f"substring(bytes, {start} + 1, cast({FIRST} * power({GROWTH}, round) as int))").alias("chunk"))
@@ -80,7 +80,7 @@ def groups(docs: DataFrame, carry: dict[str, Column] | None = None) -> DataFrame
         ended = ended.unionByName(more)
     ended = ended.select("row", F.col("first").alias("leader"), "size")
     alone = F.col("leader").isNull()
-    return stored.select("row", "doc_id", *carried).join(ended, "row", "left").select(
+    return texts.select("row", "doc_id", *carried).join(ended, "row", "left").select(
         "doc_id", F.when(alone, F.col("doc_id")).otherwise(F.col("leader.doc_id")).alias("keep_id"),
         F.coalesce("size", F.lit(1)).cast("bigint").alias("group_size"),
         (alone | (F.col("leader.row") == F.col("row"))).alias("kept"),
@@ -88,13 +88,6 @@ def groups(docs: DataFrame, carry: dict[str, Column] | None = None) -> DataFrame
     )
 
 
-def _stored(texts: DataFrame) -> DataFrame:
-    """The texts as a tightly packed table in the shared folder."""
-    path = new_path(texts.sparkSession, "texts")
-    texts.write.option("compression", "zstd").parquet(path)
-    return texts.sparkSession.read.schema(texts.schema).parquet(path)
-
-
 def _by_round(chunks: DataFrame) -> DataFrame:
     """The chunks as a table in the shared folder with a part for each round."""
     path = new_path(chunks.sparkSession, "chunks")

@@ -11,7 +11,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sparkkit.llm.common import slices, small_batches, texts_of
+from sparkkit.llm.common import slices, small_batches, stored
 from sparkkit.session import materialize
 
 BANDS, ROWS = 40, 5
@@ -26,13 +26,13 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def shingle_sets(texts: list[str], words: int) -> list[np.ndarray]:
+def shingle_sets(texts: list[str | None], words: int) -> list[np.ndarray]:
     """The set of each text, as sorted 64-bit hashes of its runs of ``words`` words.
 
     A-Z are lower-cased; words stand between white space. A text with fewer words, but one at
     least, has its whole sequence as its one shingle; one without words has none.
     """
-    parts = [text.encode().lower().split() for text in texts]
+    parts = [(text or "").encode().lower().split() for text in texts]
     known: dict[bytes, int] = {}
     number = xxhash.xxh3_64_intdigest
     for part in parts:
@@ -161,19 +161,15 @@ def components(edges: DataFrame) -> DataFrame:
     return now.select(F.col("a").alias("node"), F.col("b").alias("component")).unionByName(now.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct())
 
 
-def _numbered(docs: DataFrame, columns: list[str]) -> DataFrame:
-    """Rows with a number of their own, stored so that the number stays."""
-    return materialize(docs.select(F.monotonically_increasing_id().alias("row"), *columns), "rows")
-
-
-def link(docs: DataFrame, words: int = 5, percent: int = 80, block: int = 512) -> DataFrame:
+def link(docs: DataFrame, words: int = 5, percent: int = 80, block: int = 512, carry: tuple[str, ...] = ()) -> DataFrame:
     """One row per row of ``docs`` (doc_id, text): doc_id, n_shingles, component_id, kept.
 
     Rows are linked when 100 times the shingles that both sets hold is at least ``percent``
     times those that either holds; a component is what can be reached over links, named by its
     smallest doc_id, and ``kept`` marks the row that bears it (one row, if rows are
     repeated). Null and blank texts have an empty set and are linked with nothing; a null doc_id
-    sorts first. Other columns are left out.
+    sorts first. ``carry`` names columns to be kept as well, others are left out; rows get a number
+    of their own and are stored once, so that the number stays.
 
     1. Each text gives its set's digest and 40 band keys of a 200-slot signature. At a similarity
        of 0.8, all 40 bands miss with a chance of about 1e-7.
@@ -187,8 +183,11 @@ def link(docs: DataFrame, words: int = 5, percent: int = 80, block: int = 512) -
        shares a bucket and is similar ends up in one component.
     """
     small_batches(docs)
-    rows = _numbered(texts_of(docs), ["doc_id", "text"])
-    seen = materialize(describe(rows, words), "signatures")
+    held = {f"carry_{k}": c for k, c in enumerate(carry) if c not in ("doc_id", "text")}
+    rows = stored(docs.select(
+        F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("bigint").alias("doc_id"), "text", *[F.col(c).alias(k) for k, c in held.items()],
+    ), "rows")
+    seen = materialize(describe(rows.select("row", "doc_id", "text"), words), "signatures")
     filled = seen.filter("n_shingles > 0")
     classes = filled.groupBy("n_shingles", "high", "low").agg(F.min(F.struct("doc_id", "row")).alias("first"), F.count(F.lit(1)).alias("copies"))
     members = filled.join(classes, ["n_shingles", "high", "low"]).select("row", F.col("first.row").alias("node"))
@@ -229,7 +228,21 @@ def link(docs: DataFrame, words: int = 5, percent: int = 80, block: int = 512) -
     named = seen.select("row", "doc_id", "n_shingles").join(tied, "row", "left").withColumn("root", F.coalesce("root", "row"))
     named = materialize(named, "named")
     least = named.groupBy("root").agg(F.min(F.struct("doc_id", "row")).alias("least"))
-    return named.join(least, "root").select("doc_id", "n_shingles", F.col("least.doc_id").alias("component_id"), (F.col("least.row") == F.col("row")).alias("kept"))
+    found = named.join(least, "root").select("row", "doc_id", "n_shingles", F.col("least.doc_id").alias("component_id"), (F.col("least.row") == F.col("row")).alias("kept"))
+    if not carry:
+        return found.drop("row")
+    names = {c: k for k, c in held.items()}
+    more = rows.select("row", *[F.col(names.get(c, c)).alias(f"own_{k}") for k, c in enumerate(carry)])
+    return found.select("row", "n_shingles", "component_id", "kept").join(more, "row").drop("row").withColumnsRenamed({f"own_{k}": c for k, c in enumerate(carry)})
+
+
+def dedup(docs: DataFrame, columns: tuple[str, ...], words: int = 5, percent: int = 80) -> DataFrame:
+    """``columns`` of one row of each component of near duplicates, the one with the smallest doc_id."""
+    own = {f"own_{k}": c for k, c in enumerate(columns)}
+    rows = docs.select("doc_id", "text", *[F.col(c).alias(k) for k, c in own.items() if c not in ("doc_id", "text")])
+    held = {c: c if c in ("doc_id", "text") else k for k, c in own.items()}
+    found = link(rows, words, percent, carry=tuple(held.values())).filter("kept")
+    return found.select(*[F.col(held[c]).alias(c) for c in columns])
 
 
 def _left_over_pairs(left_over: DataFrame, sets: DataFrame, percent: int, block: int) -> DataFrame:

@@ -9,6 +9,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from sparkkit.llm.common import slices, texts_of
 from sparkkit.llm.tokens import encode_texts
@@ -173,3 +174,11 @@ def _rows(windows: list[list[Piece]], first: int) -> pa.RecordBatch:
         ],
         ["sequence_id", "length", "ids", "pieces"],
     )
+
+
+def piece_rows(windows: DataFrame) -> DataFrame:
+    """One row per piece of packed windows, with the crc32 of its ids."""
+    part = F.expr("substring(ids, cast(4 * piece.offset + 1 AS int), cast(4 * piece.length AS int))")
+    return windows.select("sequence_id", "ids", F.explode("pieces").alias("piece")).select(
+        "piece.doc_id", "piece.start", "piece.length", F.crc32(part).alias("ids_crc32"), "piece.doc_tokens", "sequence_id", "piece.offset"
+    )

@@ -111,12 +111,4 @@ def op9_quality(spark, folder):
 
 @query
 def op10_packing(spark, folder):
-    return piece_digests(packing.pack(table(spark, folder, "documents"), public_tokenizers.path("word_bpe_49k.json")))
-
-
-def piece_digests(windows: DataFrame) -> DataFrame:
-    """One row per piece of packed windows, with the crc32 of its ids."""
-    part = F.expr("substring(ids, cast(4 * piece.offset + 1 AS int), cast(4 * piece.length AS int))")
-    return windows.select("sequence_id", "ids", F.explode("pieces").alias("piece")).select(
-        "piece.doc_id", "piece.start", "piece.length", F.crc32(part).alias("ids_crc32"), "piece.doc_tokens", "sequence_id", "piece.offset"
-    )
+    return packing.piece_rows(packing.pack(table(spark, folder, "documents"), public_tokenizers.path("word_bpe_49k.json")))
