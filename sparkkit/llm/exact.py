@@ -21,12 +21,13 @@ def _split(rows: DataFrame, keys: list[str], width: Column) -> DataFrame:
     """One radix step: rows (row, doc_id, keys with chunk last) that share all keys with another row.
 
     Groups are counted with partial sums, so a group that holds a third of all rows is one row
-    per task when it is dealt out; the join back splits its large partitions by itself. The new
+    per task when it is dealt out; the join back splits its large partitions by itself. Groups may
+    be as many as half the rows, so they are never broadcast, however few they are. The new
     group is named by its smallest row. ``ended``: the chunk is shorter than the round's width, so
     the texts end in it and are equal.
     """
     groups = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("size"), F.min(F.struct("doc_id", "row")).alias("first")).filter("size > 1")
-    return rows.join(groups, keys).select("row", "doc_id", "first", "size", (F.octet_length("chunk") < width).alias("ended"))
+    return rows.join(groups.hint("merge"), keys).select("row", "doc_id", "first", "size", (F.octet_length("chunk") < width).alias("ended"))
 
 
 def groups(docs: DataFrame, carry: dict[str, Column] | None = None) -> DataFrame:
@@ -69,7 +70,7 @@ def groups(docs: DataFrame, carry: dict[str, Column] | None = None) -> DataFrame
         k = 1
         while not alive.isEmpty():
             step = chunks.filter(F.col("round") == k).select("row", "chunk").join(
-                alive.select("row", "doc_id", F.col("first.row").alias("group")), "row"
+                alive.select("row", "doc_id", F.col("first.row").alias("group")).hint("merge"), "row"
             )
             alive = materialize(_split(step, ["group", "chunk"], F.lit(FIRST * GROWTH**k)), "alive")
             done.append(alive.filter("ended"))
@@ -80,7 +81,7 @@ def groups(docs: DataFrame, carry: dict[str, Column] | None = None) -> DataFrame
         ended = ended.unionByName(more)
     ended = ended.select("row", F.col("first").alias("leader"), "size")
     alone = F.col("leader").isNull()
-    return texts.select("row", "doc_id", *carried).join(ended, "row", "left").select(
+    return texts.select("row", "doc_id", *carried).join(ended.hint("merge"), "row", "left").select(
         "doc_id", F.when(alone, F.col("doc_id")).otherwise(F.col("leader.doc_id")).alias("keep_id"),
         F.coalesce("size", F.lit(1)).cast("bigint").alias("group_size"),
         (alone | (F.col("leader.row") == F.col("row"))).alias("kept"),
