@@ -149,9 +149,9 @@ def components(edges: DataFrame) -> DataFrame:
     while True:
         both = now.unionByName(now.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("least"))
-        large = ordered(both.filter("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("least").alias("b")))
+        large = ordered(both.filter("b > a").join(least.hint("merge"), "a").select(F.col("b").alias("a"), F.col("least").alias("b")))
         smallest = large.groupBy("a").agg(F.min("b").alias("least"))
-        joined = large.join(smallest, "a")
+        joined = large.join(smallest.hint("merge"), "a")
         small = joined.select(F.col("b").alias("a"), F.col("least").alias("b")).unionByName(smallest.select("a", F.col("least").alias("b")))
         after = materialize(ordered(small), "stars")
         same = after.count() == now.count() and after.join(now, ["a", "b"], "left_anti").isEmpty()
@@ -181,6 +181,9 @@ def link(docs: DataFrame, words: int = 5, percent: int = 80, block: int = 512, c
        signature, in squares of ``block`` rows, and pairs that agree in at least half of the
        slots are confirmed on whole sets like the others. Nothing is capped, so every pair that
        shares a bucket and is similar ends up in one component.
+
+    Any side of a join may be a large part of the rows, so all are joined by sorting, with large
+    partitions split; none is broadcast because it happens to be small.
     """
     small_batches(docs)
     held = {f"carry_{k}": c for k, c in enumerate(carry) if c not in ("doc_id", "text")}
@@ -190,19 +193,19 @@ def link(docs: DataFrame, words: int = 5, percent: int = 80, block: int = 512, c
     seen = materialize(describe(rows.select("row", "doc_id", "text"), words), "signatures")
     filled = seen.filter("n_shingles > 0")
     classes = filled.groupBy("n_shingles", "high", "low").agg(F.min(F.struct("doc_id", "row")).alias("first"), F.count(F.lit(1)).alias("copies"))
-    members = filled.join(classes, ["n_shingles", "high", "low"]).select("row", F.col("first.row").alias("node"))
+    members = filled.join(classes.hint("merge"), ["n_shingles", "high", "low"]).select("row", F.col("first.row").alias("node"))
     members = materialize(members, "classes")
     heads = members.filter("row = node").select("row")
-    places = seen.select("row", "n_shingles", F.explode("keys").alias("key")).join(heads, "row", "left_semi")
+    places = seen.select("row", "n_shingles", F.explode("keys").alias("key")).join(heads.hint("merge"), "row", "left_semi")
     sizes = places.groupBy("key").agg(F.count(F.lit(1)).alias("size")).filter("size > 1")
     places = materialize(places.join(sizes.hint("merge"), "key"), "buckets")
 
     central = places.groupBy("row").agg(F.sum("size").alias("weight"))
-    weighed = places.join(central, "row")
+    weighed = places.join(central.hint("merge"), "row")
     hubs = weighed.groupBy("key").agg(F.max(F.struct("weight", (-F.col("row")).alias("minus"), "n_shingles")).alias("hub"))
     hubs = hubs.select("key", (-F.col("hub.minus")).alias("hub"), F.col("hub.n_shingles").alias("hub_size"))
     edges = materialize(
-        places.join(hubs, "key").filter(F.col("row") != F.col("hub"))
+        places.join(hubs.hint("merge"), "key").filter(F.col("row") != F.col("hub"))
         .filter(F.expr(f"100 * least(n_shingles, hub_size) >= {percent} * greatest(n_shingles, hub_size)"))
         .select(F.col("hub").alias("a"), F.col("row").alias("b")).distinct(), "candidates",
     )
@@ -212,9 +215,9 @@ def link(docs: DataFrame, words: int = 5, percent: int = 80, block: int = 512, c
     links = materialize(_confirmed(edges, sets, percent), "links")
     found = materialize(components(links), "components")
 
-    labelled = places.join(found.select(F.col("node").alias("row"), "component"), "row", "left").withColumn("component", F.coalesce("component", "row"))
+    labelled = places.join(found.select(F.col("node").alias("row"), "component").hint("merge"), "row", "left").withColumn("component", F.coalesce("component", "row"))
     open_keys = labelled.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter("low != high").select("key")
-    left_over = materialize(labelled.join(open_keys, "key").select("key", "row", "n_shingles", "component"), "open")
+    left_over = materialize(labelled.join(open_keys.hint("merge"), "key").select("key", "row", "n_shingles", "component"), "open")
     more = _left_over_pairs(left_over, sets, percent, block)
     more = materialize(more.join(edges, ["a", "b"], "left_anti").join(edges.select(F.col("a").alias("b"), F.col("b").alias("a")), ["a", "b"], "left_anti"), "candidates")
     if not more.isEmpty():
@@ -224,16 +227,16 @@ def link(docs: DataFrame, words: int = 5, percent: int = 80, block: int = 512, c
             found = materialize(components(star.unionByName(second)), "components")
 
     # components are named by rows; the name asked for is the smallest doc_id in them
-    tied = members.join(found.withColumnRenamed("component", "root"), "node", "left").select("row", F.coalesce("root", "node").alias("root"))
-    named = seen.select("row", "doc_id", "n_shingles").join(tied, "row", "left").withColumn("root", F.coalesce("root", "row"))
+    tied = members.join(found.withColumnRenamed("component", "root").hint("merge"), "node", "left").select("row", F.coalesce("root", "node").alias("root"))
+    named = seen.select("row", "doc_id", "n_shingles").join(tied.hint("merge"), "row", "left").withColumn("root", F.coalesce("root", "row"))
     named = materialize(named, "named")
     least = named.groupBy("root").agg(F.min(F.struct("doc_id", "row")).alias("least"))
-    found = named.join(least, "root").select("row", "doc_id", "n_shingles", F.col("least.doc_id").alias("component_id"), (F.col("least.row") == F.col("row")).alias("kept"))
+    found = named.join(least.hint("merge"), "root").select("row", "doc_id", "n_shingles", F.col("least.doc_id").alias("component_id"), (F.col("least.row") == F.col("row")).alias("kept"))
     if not carry:
         return found.drop("row")
     names = {c: k for k, c in held.items()}
     more = rows.select("row", *[F.col(names.get(c, c)).alias(f"own_{k}") for k, c in enumerate(carry)])
-    return found.select("row", "n_shingles", "component_id", "kept").join(more, "row").drop("row").withColumnsRenamed({f"own_{k}": c for k, c in enumerate(carry)})
+    return found.select("row", "n_shingles", "component_id", "kept").join(more.hint("merge"), "row").drop("row").withColumnsRenamed({f"own_{k}": c for k, c in enumerate(carry)})
 
 
 def dedup(docs: DataFrame, columns: tuple[str, ...], words: int = 5, percent: int = 80) -> DataFrame:
@@ -253,7 +256,7 @@ def _left_over_pairs(left_over: DataFrame, sets: DataFrame, percent: int, block:
     """
     n_blocks = left_over.groupBy("key").agg(F.ceil(F.count(F.lit(1)) / block).cast("int").alias("blocks"))
     signed = sets.join(left_over.select("row").distinct().hint("merge"), "row", "left_semi").mapInArrow(_signatures, "row bigint, slots binary")
-    placed = left_over.join(n_blocks, "key").join(signed.hint("merge"), "row").withColumn("mine", F.pmod(F.xxhash64("row", "key"), F.col("blocks")).cast("int"))
+    placed = left_over.join(n_blocks.hint("merge"), "key").join(signed.hint("merge"), "row").withColumn("mine", F.pmod(F.xxhash64("row", "key"), F.col("blocks")).cast("int"))
     spread = placed.withColumn("other", F.explode(F.expr("sequence(0, blocks - 1)"))).select(
         "key", F.least("mine", "other").alias("x"), F.greatest("mine", "other").alias("y"), "mine", "row", "n_shingles", "component", "slots",
     )
