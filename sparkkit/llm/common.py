@@ -23,7 +23,8 @@ BATCH_ROWS = 1000
 
 def fold(doc_id: Column | str, folds: int = 5) -> Column:
     """crc32 of the id written in decimal, modulo ``folds`` (null ids count as empty text)."""
-    return F.crc32(F.coalesce(F.col(doc_id) if isinstance(doc_id, str) else doc_id, F.lit("")).cast("string").cast("binary")) % folds
+    written = (F.col(doc_id) if isinstance(doc_id, str) else doc_id).cast("string")
+    return F.crc32(F.coalesce(written, F.lit("")).cast("binary")) % folds
 
 
 def small_batches(df: DataFrame) -> None:
