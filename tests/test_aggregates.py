@@ -1,3 +1,5 @@
+import math
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -68,3 +70,32 @@ def test_outliers_and_centre(spark, rows):
     assert quantiles.centre(df, "v").first() == (np.mean(values), np.median(values))
     with pytest.raises(ValueError):
         quantiles.percentiles(df.where("false"), "v", [0.5])
+
+
+@pytest.mark.parametrize("values", [
+    [-1.7e308, 1.7e308, 0.0, 1.0], [5e-324, 1e-323, 1.5e-323, 2e-323, 4e-320], [float("inf"), 1.0, 2.0], [float("-inf"), float("inf")],
+    [float("inf")] * 3, [float("nan"), 3.0, 1.0], [-0.0, 0.0], [10.0**k for k in range(-300, 300, 3)] + [-(10.0**k) for k in range(-300, 300, 7)],
+    [1.0 + k * 2.0**-52 for k in range(50)],
+])
+def test_percentiles_end_on_any_values(spark, monkeypatch, values):
+    df = spark.createDataFrame([(v,) for v in values] + [(None,)], "v double")
+    known = sorted(v for v in values if v == v)
+    passes = []
+    monkeypatch.setattr(quantiles, "_cell", lambda *a, f=quantiles._cell: passes.append(a[1]) or f(*a))
+    for p in (0.0, 0.25, 0.5, 0.75, 1.0):
+        passes.clear()
+        (got,) = quantiles.percentiles(df, "v", [p])
+        spot = (len(known) - 1) * p
+        low, high = known[math.floor(spot)], known[math.ceil(spot)]
+        if low == high or spot == math.floor(spot):
+            assert got == low
+        elif math.isinf(low) or math.isinf(high):
+            assert got == low + high or (math.isnan(got) and math.isnan(low + high))
+        else:
+            assert low <= got <= high
+        assert len(passes) <= 10  # two ranks, five passes each after the first
+
+
+def test_centre_leaves_out_what_the_median_leaves_out(spark):
+    df = spark.createDataFrame([(1.0,), (float("nan"),), (None,), (3.0,)], "v double")
+    assert tuple(quantiles.centre(df, "v").first()) == (2.0, 2.0)
