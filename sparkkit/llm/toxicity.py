@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sparkkit.llm.common import slices, small_batches, texts_of
+from sparkkit.llm.common import slices, small_batches, stored, texts_of
 
 #: Letters of other scripts that look like Latin ones, and digits or signs written for letters.
 LOOKALIKES = "аa еe оo рp сc уy хx іi ѕs јj ԁd һh ѵv ԛq αa εe οo ρp τt υu νv ιi κk ıi"
@@ -87,8 +87,8 @@ def _features(folded: str) -> set[str]:
 def fit(labelled: DataFrame, max_docs: int = 10_000, max_entries: int = 2000, least_docs: int = 4) -> Lexicon:
     """Learns the lexicon from rows (doc_id, text, toxic); null texts are empty, null labels left out.
 
-    ``labelled`` should hold about ``max_docs`` rows (see ``sample_labelled``); it is read three
-    times. Entries seen in at least ``least_docs`` toxic rows and far more often there than in others are
+    ``labelled`` should hold about ``max_docs`` rows (see ``sample_labelled``); it is stored
+    once and read several times. Entries seen in at least ``least_docs`` toxic rows and far more often there than in others are
     candidates, the ``max_entries`` commonest of them are kept; then the fewest that together
     occur in the toxic rows are chosen one by one, so words that merely stand in copies of a
     toxic text don't enter. A phrase of an entry and a neighbouring word that occurs only in
@@ -98,6 +98,7 @@ def fit(labelled: DataFrame, max_docs: int = 10_000, max_entries: int = 2000, le
     """
     small_batches(labelled)
     rows = labelled.filter("toxic IS NOT NULL").select(F.col("doc_id").cast("bigint").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"), F.col("toxic").cast("int").alias("toxic"))
+    rows = stored(rows, "labelled")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block in slices(batches):
@@ -209,7 +210,7 @@ def sample_labelled(docs: DataFrame, labels: DataFrame, max_docs: int = 10_000)
     def drawn(df):
         return df.filter(F.pmod(F.xxhash64(F.col("doc_id").cast("string")), F.lit(1 << 30)) < int(share * (1 << 30)) + 1)
 
-    return drawn(docs.select("doc_id", "text")).join(drawn(labels.select("doc_id", "toxic")), "doc_id")
+    return drawn(docs.select("doc_id", "text")).join(drawn(labels.select("doc_id", "toxic")).hint("merge"), "doc_id")
 
 
 def score(docs: DataFrame, lexicon: Lexicon, threshold: float = 0.5, more: tuple[str, ...] = ()) -> DataFrame:
