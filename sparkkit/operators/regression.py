@@ -107,16 +107,23 @@ def descend(matrix: np.ndarray, start: float | Sequence[float] = 0.1, rate: floa
     Each round reports the cost of the weights it started from, then updates all
     weights at once and lets the driver set the next rate.
     """
-    n = matrix[0, 0]
-    size = matrix.shape[0] - 1
-    weights = np.broadcast_to(np.asarray(start, dtype=float), (size,)).copy()
+    sums = [[float(x) for x in row] for row in matrix]
+    n, size = sums[0][0], len(sums) - 1
+    weights = [float(w) for w in np.broadcast_to(np.asarray(start, dtype=float), (size,))]
     driver = BoldDriver(rate)
     trace = []
     for number in range(1, rounds + 1):
-        residual = np.append(-weights, 1.0)
-        pull = matrix @ residual
-        cost = float(residual @ pull)
-        weights = weights + driver.rate * 2.0 / n * pull[:-1]
+        # plain loops: the order of the operations is fixed, so equal sums give an equal trace anywhere
+        pulls = []
+        for row in sums:
+            pull = row[size]
+            for w, x in zip(weights, row):
+                pull -= w * x
+            pulls.append(pull)
+        cost = pulls.pop()
+        for w, pull in zip(weights, pulls):
+            cost -= w * pull
+        weights = [w + driver.rate * 2.0 / n * pull for w, pull in zip(weights, pulls)]
         driver.observe(cost)
-        trace.append((number, cost, float(driver.rate), [float(w) for w in weights]))
-    return Descent(weights, driver.rate, trace)
+        trace.append((number, cost, float(driver.rate), list(weights)))
+    return Descent(np.array(weights), driver.rate, trace)

@@ -203,7 +203,7 @@ def descent_sql(features: list[str], target: str, start: float, rate: float, rou
     columns = ["1.0::DOUBLE", *features, target]
     size = len(columns) - 1
     sums = ", ".join(
-        f"sum({columns[i]} * {columns[j]}) AS s{i}_{j}" for i in range(size + 1) for j in range(i, size + 1)
+        f"round(sum({columns[i]} * {columns[j]}), 2) AS s{i}_{j}" for i in range(size + 1) for j in range(i, size + 1)
     )
 
     def s(i: int, j: int) -> str:
@@ -229,8 +229,8 @@ SELECT round, round(cost, 2) AS cost, round(rate, 8) AS rate,
 FROM steps WHERE round > 0"""
 
 
-ORACLE["gd_simple"] = descent_sql(["miles"], "fare", 0.1, 1e-4, 40)
-ORACLE["gd_multi"] = descent_sql(["(secs / 60)", "miles", "fare", "surcharge"], "total", 0.1, 1e-5, 20)
+ORACLE["gd_simple"] = descent_sql(["miles"], "fare", 0.1, 1e-4, 100)
+ORACLE["gd_multi"] = descent_sql(["(secs / 60)", "miles", "fare", "surcharge"], "total", 0.1, 1e-3, 100)
 
 # --- orders ----------------------------------------------------------------
 

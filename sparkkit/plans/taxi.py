@@ -82,14 +82,15 @@ def fare_line(trips: DataFrame) -> DataFrame:
     return fit_line(regression_trips(trips), number("trip_distance"), number("fare_amount"))
 
 
-def fare_descent(trips: DataFrame, start: float = 0.1, rate: float = 1e-4, rounds: int = 100) -> Descent:
+def fare_descent(trips: DataFrame, start: float = 0.1, rate: float = 1e-4, rounds: int = 100, digits: int = 2) -> Descent:
+    """Fare on the distance. The sums are rounded, as their last digits depend on the order of rows."""
     sums = gram(regression_trips(trips), [number("trip_distance")], number("fare_amount"))
-    return descend(sums, start, rate, rounds)
+    return descend(sums.round(digits), start, rate, rounds)
 
 
-def total_descent(trips: DataFrame, start: float = 0.1, rate: float = 1e-3, rounds: int = 100) -> Descent:
-    """Total amount on minutes, miles, fare and surcharge."""
+def total_descent(trips: DataFrame, start: float = 0.1, rate: float = 1e-3, rounds: int = 100, digits: int = 2) -> Descent:
+    """Total amount on minutes, miles, fare and surcharge; sums are rounded as in ``fare_descent``."""
     features = [
         number("trip_time_in_secs") / 60, number("trip_distance"), number("fare_amount"), number("surcharge"),
     ]
-    return descend(gram(regression_trips(trips), features, number("total_amount")), start, rate, rounds)
+    return descend(gram(regression_trips(trips), features, number("total_amount")).round(digits), start, rate, rounds)

@@ -361,12 +361,12 @@ def _trace(descent: regression.Descent, spark: SparkSession) -> DataFrame:
 
 @query
 def gd_simple(spark, folder):
-    return _trace(taxi.fare_descent(trips(spark, folder), rounds=40), spark)
+    return _trace(taxi.fare_descent(trips(spark, folder)), spark)
 
 
 @query
 def gd_multi(spark, folder):
-    return _trace(taxi.total_descent(trips(spark, folder), rate=1e-5, rounds=20), spark)
+    return _trace(taxi.total_descent(trips(spark, folder)), spark)
 
 
 @query
