@@ -110,10 +110,18 @@ def fit(
     return LogisticModel(weights, trace)
 
 
-def linear_scores(vectors: DataFrame, coefficients: DataFrame, label: str, doc: str = "doc_id") -> DataFrame:
-    """``doc, label, z``; the coefficients have at most one row per dictionary word."""
+def linear_scores(
+    vectors: DataFrame, coefficients: DataFrame, label: str, doc: str = "doc_id", docs: DataFrame | None = None
+) -> DataFrame:
+    """``doc, label, z``; the coefficients have at most one row per dictionary word.
+
+    With ``docs`` the documents without any dictionary word stay, with z = 0.
+    """
     joined = vectors.join(F.broadcast(coefficients), "pos")
-    return joined.groupBy(doc, label).agg(F.sum(F.col("tfidf") * F.col("coefficient")).alias("z"))
+    scores = joined.groupBy(doc, label).agg(F.sum(F.col("tfidf") * F.col("coefficient")).alias("z"))
+    if docs is None:
+        return scores
+    return docs.select(doc, label).join(scores.drop(label), doc, "left").withColumn("z", F.coalesce("z", F.lit(0.0)))
 
 
 def log_loss(scores: DataFrame, label: str, z: str = "z") -> DataFrame:

@@ -77,19 +77,30 @@ def uniform(seed: int, number: int, doc: str = "doc_id") -> Column:
     return F.conv(F.substr(F.md5(address), F.lit(1), F.lit(13)), 16, 10).cast("double") / float(1 << 52)
 
 
-def posterior(counts: DataFrame, word_weights: DataFrame, class_weights: DataFrame, doc: str = "doc_id") -> DataFrame:
+def posterior(
+    counts: DataFrame, word_weights: DataFrame, class_weights: DataFrame, doc: str = "doc_id", docs: DataFrame | None = None
+) -> DataFrame:
     """``doc, cluster, p`` with built-in operators, for weights held in frames.
 
     ``word_weights`` (``cluster, pos, log_mu``) has at most K × V rows and
-    ``class_weights`` (``cluster, log_pi``) K rows. The largest log weight of a
-    document is subtracted before the exponential.
+    ``class_weights`` (``cluster, log_pi``) K rows. The K weights of a word stand in one array,
+    and a document sums K columns, so its rows are not multiplied. The largest log weight of a
+    document is subtracted before the exponential. With ``docs`` the documents without any
+    dictionary word stay, with the class weights as their posterior.
     """
-    joined = counts.join(F.broadcast(word_weights), "pos")
-    sums = joined.groupBy(doc, "cluster").agg(F.sum(F.col("cnt") * F.col("log_mu")).alias("l"))
-    logs = sums.join(F.broadcast(class_weights), "cluster").withColumn("l", F.col("l") + F.col("log_pi"))
-    own = Window.partitionBy(doc)
-    scaled = logs.withColumn("e", F.exp(F.col("l") - F.max("l").over(own)))
-    return scaled.select(doc, "cluster", (F.col("e") / F.sum("e").over(own)).alias("p"))
+    classes = [(row["cluster"], row["log_pi"]) for row in class_weights.orderBy("cluster").collect()]
+    of = {name: i for i, (name, _) in enumerate(classes)}
+    logs = [F.max(F.when(F.col("cluster") == F.lit(name), F.col("log_mu"))).alias(f"l{i}") for name, i in of.items()]
+    joined = counts.join(F.broadcast(word_weights.groupBy("pos").agg(*logs)), "pos")
+    sums = joined.groupBy(doc).agg(*(F.sum(F.col("cnt") * F.col(f"l{i}")).alias(f"l{i}") for i in range(len(classes))))
+    if docs is not None:
+        sums = docs.select(doc).distinct().join(sums, doc, "left")
+    sums = sums.select(doc, *((F.coalesce(f"l{i}", F.lit(0.0)) + F.lit(weight)).alias(f"l{i}") for i, (_, weight) in enumerate(classes)))
+    most = F.greatest(*(f"l{i}" for i in range(len(classes)))) if len(classes) > 1 else F.col("l0")
+    powers = sums.select(doc, *(F.exp(F.col(f"l{i}") - most).alias(f"l{i}") for i in range(len(classes))))
+    total = sum((F.col(f"l{i}") for i in range(len(classes))), F.lit(0.0))
+    entries = F.array(*(F.struct(F.lit(name).alias("cluster"), (F.col(f"l{i}") / total).alias("p")) for name, i in of.items()))
+    return powers.select(doc, F.explode(entries).alias("e")).select(doc, "e.cluster", "e.p")
 
 
 def _sampler(shared, assign: bool):

@@ -6,24 +6,25 @@ no row, which leaves every sum and dot product unchanged.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from sparkkit.functions.scalars import ratio
-from sparkkit.functions.tokens import explode_letters, letter_words
+from sparkkit.functions.tokens import explode_letters
 from sparkkit.operators.grouping import count_by
 from sparkkit.operators.ranking import positions, top_k
-from sparkkit.session import spread
 
 DICTIONARY_SIZE = 20_000
 Tokeniser = Callable[[DataFrame, str], DataFrame]
 
 
 def word_count(docs: DataFrame, text: str = "text", tokeniser: Tokeniser = explode_letters) -> DataFrame:
-    return count_by(tokeniser(spread(docs.select(text)), text), ["word"], "cnt")
+    return count_by(tokeniser(docs.select(text), text), ["word"], "cnt")
 
 
 def dictionary(
@@ -36,7 +37,34 @@ def dictionary(
     return positions(top_k(word_count(docs, text, tokeniser), size, "cnt", ["word"]), "cnt", ["word"])
 
 
-def term_counts(
+def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Counts equal positions in each run of rows of one document; only an unfinished run is kept for the next batch."""
+
+    def counted(rows: pa.Table) -> pa.RecordBatch:
+        row, pos = rows.column("row").to_numpy(), rows.column("pos").to_numpy().astype(np.int64)
+        run = np.cumsum(np.concatenate([[0], row[1:] != row[:-1]]))
+        _, first, cnt = np.unique(run << 32 | pos, return_index=True, return_counts=True)
+        total = np.bincount(run)[run[first]]
+        out = rows.take(pa.array(first)).append_column("cnt", pa.array(cnt.astype(np.int64))).append_column("total", pa.array(total.astype(np.int64)))
+        return out.drop_columns(["row"]).combine_chunks().to_batches()[0]
+
+    waiting = None
+    for batch in batches:
+        if not len(batch):
+            continue
+        rows = pa.Table.from_batches([batch])
+        if waiting is not None:
+            rows = pa.concat_tables([waiting, rows]).combine_chunks()
+        row = rows.column("row").to_numpy()
+        cut = int(np.flatnonzero(row == row[-1])[0]) if row[0] != row[-1] else 0
+        if cut:
+            yield counted(rows.slice(0, cut))
+        waiting = rows.slice(cut)
+    if waiting is not None and len(waiting):
+        yield counted(waiting)
+
+
+def counted_terms(
     docs: DataFrame,
     words: DataFrame,
     doc: str = "doc_id",
@@ -44,30 +72,48 @@ def term_counts(
     tokeniser: Tokeniser = explode_letters,
     keep: Sequence[str] = (),
 ) -> DataFrame:
-    """``doc, *keep, pos, cnt`` of the dictionary words of each document.
+    """``doc, *keep, pos, cnt, total`` of the dictionary words of each row; ``total`` sums up the row's ``cnt``.
 
-    The texts are shuffled once, by document, before they are split into words; the
-    counting and any later step per document then stay in place.
+    A row's words follow each other through the tokeniser and the look-up in the dictionary, so
+    they are counted where the text is read; nothing is shuffled.
     """
-    placed = docs.select(doc, *keep, text).repartition(doc)
-    found = tokeniser(placed, text).join(F.broadcast(words.select("word", "pos")), "word")
-    return count_by(found, [doc, *keep, "pos"], "cnt")
+    named = {f"keep_{i}": name for i, name in enumerate((doc, *keep))}
+    rows = docs.select(F.monotonically_increasing_id().alias("row"), *(F.col(n).alias(k) for k, n in named.items()), F.col(text).alias("text"))
+    found = tokeniser(rows, "text").join(F.broadcast(words.select("word", F.col("pos").cast("int").alias("pos"))), "word")
+    found = found.select("row", *named, "pos")
+    schema = ", ".join(f"{k} {kind}" for k, kind in found.dtypes if k != "row") + ", cnt bigint, total bigint"
+    return found.mapInArrow(_runs, schema).withColumnsRenamed(named)
+
+
+def term_counts(
+    docs: DataFrame,
+    words: DataFrame,
+    doc: str = "doc_id",
+    text: str = "text",
+    tokeniser: Tokeniser = explode_letters,
+    keep: Sequence[str] = (),
+) -> DataFrame:
+    """``doc, *keep, pos, cnt`` of the dictionary words of each document (one row of ``docs``)."""
+    return counted_terms(docs, words, doc, text, tokeniser, keep).drop("total")
 
 
 def term_frequency(counts: DataFrame, doc: str = "doc_id") -> DataFrame:
-    """Adds ``tf``, the count relative to all dictionary words of the document."""
+    """Adds ``tf``, the count relative to all dictionary words of the document; ``total`` spares a shuffle if it is there."""
+    if "total" in counts.columns:
+        return counts.withColumn("tf", ratio("cnt", "total")).drop("total")
     total = F.sum("cnt").over(Window.partitionBy(doc))
     return counts.withColumn("tf", ratio("cnt", total))
 
 
-def document_frequency(docs: DataFrame, words: DataFrame, text: str = "text") -> DataFrame:
+def document_frequency(
+    docs: DataFrame, words: DataFrame, text: str = "text", tokeniser: Tokeniser = explode_letters
+) -> DataFrame:
     """``pos, df``: documents holding each dictionary word.
 
-    Repeats are removed inside the row, so only partial counts are shuffled.
+    Repeats are removed where the text is read, so only partial counts are shuffled.
     """
-    once = spread(docs.select(text)).select(F.explode(F.array_distinct(letter_words(text))).alias("word"))
-    counted = count_by(once.where("word <> ''"), ["word"], "df")
-    return counted.join(F.broadcast(words.select("word", "pos")), "word").select("pos", "df")
+    one = docs.select(text).withColumn("nothing", F.lit(None).cast("int"))
+    return frequency_from_counts(term_counts(one, words, "nothing", text, tokeniser))
 
 
 def frequency_from_counts(counts: DataFrame) -> DataFrame:
@@ -93,10 +139,11 @@ def tfidf(
     doc: str = "doc_id",
     text: str = "text",
     keep: Sequence[str] = (),
+    tokeniser: Tokeniser = explode_letters,
 ) -> DataFrame:
     """``doc, *keep, pos, cnt, tf, idf, tfidf`` of every document with a dictionary word."""
-    frequencies = term_frequency(term_counts(docs, words, doc, text, keep=keep), doc)
-    return weigh(frequencies, inverse_frequency(document_frequency(docs, words, text), documents))
+    frequencies = term_frequency(counted_terms(docs, words, doc, text, tokeniser, keep), doc)
+    return weigh(frequencies, inverse_frequency(document_frequency(docs, words, text, tokeniser), documents))
 
 
 def average_frequency(
@@ -109,7 +156,7 @@ def average_frequency(
 ) -> DataFrame:
     """``label, word, avg_tf`` over the documents of a class that hold any dictionary word;
     0 where a class lacks the word."""
-    frequencies = term_frequency(term_counts(docs, words, doc, text, keep=[label]), doc)
+    frequencies = term_frequency(counted_terms(docs, words, doc, text, keep=[label]), doc)
     wanted = words.where(F.col("word").isin(*chosen)).select("word", "pos")
     marked = frequencies.join(F.broadcast(wanted), "pos", "left")
     names = [f"tf_{i}" for i in range(len(chosen))]

@@ -106,7 +106,8 @@ post_dict AS (
 SCORES = f"""{WORDS},
 coefs AS (SELECT pos, ((pos * 7919 % 101) - 50) / 50.0::DOUBLE AS coefficient FROM dict),
 scores AS (
-  SELECT doc_id, label, sum(tfidf * coefficient) AS z FROM vectors JOIN coefs USING (pos) GROUP BY doc_id, label
+  SELECT doc_id, label, coalesce(z, 0) AS z
+  FROM docs LEFT JOIN (SELECT doc_id, sum(tfidf * coefficient) AS z FROM vectors JOIN coefs USING (pos) GROUP BY doc_id) USING (doc_id)
 ),
 predicted AS (SELECT *, 1 / (1 + exp(-z)) AS chance, CASE WHEN z >= 0 THEN 1 ELSE 0 END AS predicted FROM scores)
 """
@@ -376,8 +377,10 @@ log_mu AS (
          ln((coalesce(n, 0) + 0.1::DOUBLE) / (total + 0.1::DOUBLE * (SELECT count(*) FROM dict))) AS log_mu
   FROM totals t CROSS JOIN dict d LEFT JOIN per_word p ON p.lang = t.lang AND p.pos = d.pos),
 logs AS (
-  SELECT doc_id, cluster, sum(cnt * log_mu) + any_value(log_pi) AS l
-  FROM terms JOIN log_mu USING (pos) JOIN priors ON priors.lang = cluster GROUP BY doc_id, cluster),
+  SELECT docs.doc_id, priors.lang AS cluster, coalesce(s, 0) + log_pi AS l
+  FROM docs CROSS JOIN priors LEFT JOIN (
+    SELECT doc_id, cluster, sum(cnt * log_mu) AS s FROM terms JOIN log_mu USING (pos) GROUP BY ALL
+  ) w ON w.doc_id = docs.doc_id AND w.cluster = priors.lang),
 posteriors AS (
   SELECT doc_id, cluster, exp(l - biggest) / sum(exp(l - biggest)) OVER (PARTITION BY doc_id) AS p
   FROM (SELECT *, max(l) OVER (PARTITION BY doc_id) AS biggest FROM logs))
@@ -471,6 +474,7 @@ FROM (
   SELECT *, tp::DOUBLE / nullif(tp + fp, 0) AS precision, tp::DOUBLE / nullif(tp + fn, 0) AS recall
   FROM (SELECT count_if(label = 1 AND z >= 0)::BIGINT AS tp, count_if(label = 0 AND z < 0)::BIGINT AS tn,
                count_if(label = 0 AND z >= 0)::BIGINT AS fp, count_if(label = 1 AND z < 0)::BIGINT AS fn
-        FROM (SELECT doc_id, any_value(label) AS label, sum(tfidf * w) AS z FROM vectors JOIN w{ROUNDS} USING (pos)
-              WHERE doc_id NOT IN (SELECT doc_id FROM labels) GROUP BY doc_id)))""", WORDS,
+        FROM (SELECT label, coalesce(z, 0) AS z
+              FROM docs LEFT JOIN (SELECT doc_id, sum(tfidf * w) AS z FROM vectors JOIN w{ROUNDS} USING (pos) GROUP BY doc_id) USING (doc_id)
+              WHERE doc_id NOT IN (SELECT doc_id FROM labels))))""", WORDS,
     fit_parts(ROUNDS, "doc_id IN (SELECT doc_id FROM labels)"))

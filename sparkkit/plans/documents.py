@@ -66,7 +66,7 @@ def classify(
     text: str = "text",
     **fit_options: float,
 ) -> tuple[logistic.LogisticModel, DataFrame]:
-    """Fit on the training split, predict the test split; the dictionary covers both."""
+    """Fit on the training split, predict every document of the test split; the dictionary covers both."""
     columns = [doc, text, label]
     corpus = both_splits(train.select(*columns), test.select(*columns))
     words = materialize(vocabulary.dictionary(corpus, text, size), "dictionary")
@@ -75,6 +75,6 @@ def classify(
     rows = logistic.sparse_rows(vectors.where("split = 'train'"), label, doc)
     model = logistic.fit(rows, size, **fit_options)
     scores = logistic.linear_scores(
-        vectors.where("split = 'test'"), model.frame(train.sparkSession), label, doc
+        vectors.where("split = 'test'"), model.frame(train.sparkSession), label, doc, test
     )
     return model, logistic.predict(scores, threshold)

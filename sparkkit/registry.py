@@ -16,7 +16,7 @@ from sparkkit.functions import tokens
 from sparkkit.functions.cleaning import number
 from sparkkit.operators import grouping, logistic, mixture, quantiles, ranking, regression, vocabulary
 from sparkkit.plans import customers, documents, flights, posts, taxi
-from sparkkit.session import materialize, new_path, spread
+from sparkkit.session import materialize, new_path
 from sparkkit.sources import delimited, schemas, sinks, tagged
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -137,7 +137,7 @@ def tagged_lines(spark: SparkSession, folder: str) -> DataFrame:
         F.regexp_replace("text", "[\\r\\n]", " "), F.lit("</doc>"),
     )
     path = new_path(spark, "tagged")
-    spread(table(spark, folder, "documents").select("doc_id", "text", "lang", "source")).select(value).write.text(path)
+    table(spark, folder, "documents").select(value).write.text(path)
     return delimited.read_lines(spark, path)
 
 
@@ -650,7 +650,7 @@ def mixture_posterior(spark, folder):
     frame = spark.createDataFrame(list(shares.items()), "cluster string, share double")
     priors = frame.select("cluster", F.ln("share").alias("log_pi"))
     logs = weights.select("cluster", "pos", F.ln("mu").alias("log_mu"))
-    return rounded(mixture.posterior(counts.drop("lang"), logs, priors), 6, "p")
+    return rounded(mixture.posterior(counts.drop("lang"), logs, priors, docs=docs(spark, folder)), 6, "p")
 
 
 def _language_state(weights, shares, size) -> mixture.MixtureState:
@@ -667,7 +667,7 @@ def mixture_draw(spark, folder):
     """One draw of a cluster per document under the language model."""
     counts, words, weights, shares = _language_model(spark, folder)
     state = _language_state(weights, shares, words.count())
-    return long_ints(mixture.assignments(mixture.document_rows(counts), state), "cluster")
+    return long_ints(mixture.assignments(mixture.document_rows(counts, docs=docs(spark, folder)), state), "cluster")
 
 
 @query
@@ -675,7 +675,7 @@ def mixture_sweep(spark, folder):
     """Word counts and sizes of the clusters after one draw."""
     counts, words, weights, shares = _language_model(spark, folder)
     state = _language_state(weights, shares, words.count())
-    return long_ints(mixture.sweep(mixture.document_rows(counts), state), "cluster", "pos", "n")
+    return long_ints(mixture.sweep(mixture.document_rows(counts, docs=docs(spark, folder)), state), "cluster", "pos", "n")
 
 
 @query
@@ -691,7 +691,7 @@ def drawn_categories(spark, folder):
     """Commonest languages of every drawn cluster with their shares."""
     counts, words, weights, shares = _language_model(spark, folder)
     state = _language_state(weights, shares, words.count())
-    drawn = mixture.assignments(mixture.document_rows(counts), state)
+    drawn = mixture.assignments(mixture.document_rows(counts, docs=docs(spark, folder)), state)
     named = drawn.join(docs(spark, folder).select("doc_id", "lang"), "doc_id")
     return long_ints(mixture.top_categories(named, "lang"), "cluster")
 
@@ -730,7 +730,7 @@ def _fixed_coefficients(words: DataFrame) -> DataFrame:
 def _fixed_scores(spark, folder) -> DataFrame:
     corpus, words = docs(spark, folder), _words(spark, folder)
     vectors = vocabulary.tfidf(corpus, words, corpus.count(), keep=["label"])
-    return logistic.linear_scores(vectors, _fixed_coefficients(words), "label")
+    return logistic.linear_scores(vectors, _fixed_coefficients(words), "label", docs=corpus)
 
 
 @query

@@ -59,13 +59,3 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     path = new_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
-def spread(df: DataFrame, *keys: str) -> DataFrame:
-    """Use all cores when a scan has fewer splits than the cluster has cores.
-
-    One unsplittable file would otherwise keep the work up to the next shuffle in
-    one task. A scan with enough splits is returned as it is.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, *keys) if df.rdd.getNumPartitions() < cores else df

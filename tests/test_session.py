@@ -25,11 +25,3 @@ def test_materialize_cuts_lineage(spark):
     plan = table._jdf.queryExecution().executedPlan().toString()
     assert "FileScan parquet" in plan and "Range" not in plan
     assert session.shared_folder(spark) in table.inputFiles()[0]
-
-
-def test_spread_only_under_parallel_scans(spark, tmp_path):
-    spark.range(1000).coalesce(1).write.parquet(str(tmp_path / "one"))
-    narrow = spark.read.parquet(str(tmp_path / "one"))
-    assert session.spread(narrow).rdd.getNumPartitions() == 4
-    wide = narrow.repartition(9)
-    assert session.spread(wide) is wide
