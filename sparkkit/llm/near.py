@@ -177,10 +177,12 @@ def link(docs: DataFrame, words: int = 5, percent: int = 80, block: int = 512, c
     3. In each bucket the class with the largest sum of bucket sizes is the hub, and only the
        pairs (hub, other) are candidates, at most one per bucket row.
     4. Candidates are confirmed on whole sets, and components are formed.
-    5. Bucket rows that are not yet in one component are left over. Their pairs are compared by
-       signature, in squares of ``block`` rows, and pairs that agree in at least half of the
-       slots are confirmed on whole sets like the others. Nothing is capped, so every pair that
-       shares a bucket and is similar ends up in one component.
+    5. Buckets that still hold rows of several components are gone through to the end. Their rows
+       are gathered by what buckets tie together, so a row comes once however many buckets it
+       shares, and compared in squares of ``block`` rows: first by signature (a pair must share a band,
+       and agree in 0.62 of the slots, 0.5 for small sets), then on whole sets, leaving out pairs
+       that links have tied together by then. Only links that tie something come out. Nothing is
+       capped, so every similar pair that shares a bucket ends up in one component.
 
     Any side of a join may be a large part of the rows, so all are joined by sorting, with large
     partitions split; none is broadcast because it happens to be small.
@@ -207,7 +209,7 @@ def link(docs: DataFrame, words: int = 5, percent: int = 80, block: int = 512, c
     edges = materialize(
         places.join(hubs.hint("merge"), "key").filter(F.col("row") != F.col("hub"))
         .filter(F.expr(f"100 * least(n_shingles, hub_size) >= {percent} * greatest(n_shingles, hub_size)"))
-        .select(F.col("hub").alias("a"), F.col("row").alias("b")).distinct(), "candidates",
+        .select(F.least("hub", "row").alias("a"), F.greatest("hub", "row").alias("b")).distinct(), "candidates",
     )
 
     bucketed = places.select("row").distinct()
@@ -215,16 +217,12 @@ def link(docs: DataFrame, words: int = 5, percent: int = 80, block: int = 512, c
     links = materialize(_confirmed(edges, sets, percent), "links")
     found = materialize(components(links), "components")
 
-    labelled = places.join(found.select(F.col("node").alias("row"), "component").hint("merge"), "row", "left").withColumn("component", F.coalesce("component", "row"))
-    open_keys = labelled.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter("low != high").select("key")
-    left_over = materialize(labelled.join(open_keys.hint("merge"), "key").select("key", "row", "n_shingles", "component"), "open")
-    more = _left_over_pairs(left_over, sets, percent, block)
-    more = materialize(more.join(edges, ["a", "b"], "left_anti").join(edges.select(F.col("a").alias("b"), F.col("b").alias("a")), ["a", "b"], "left_anti"), "candidates")
-    if not more.isEmpty():
-        second = materialize(_confirmed(more, sets, percent), "links")
-        if not second.isEmpty():
+    open_rows = _open_rows(places, found)
+    if not open_rows.isEmpty():
+        links = materialize(_left_over_links(open_rows, sets, percent, block), "links")
+        if not links.isEmpty():
             star = found.filter("node != component").select(F.col("component").alias("a"), F.col("node").alias("b"))
-            found = materialize(components(star.unionByName(second)), "components")
+            found = materialize(components(star.unionByName(links)), "components")
 
     # components are named by rows; the name asked for is the smallest doc_id in them
     tied = members.join(found.withColumnRenamed("component", "root").hint("merge"), "node", "left").select("row", F.coalesce("root", "node").alias("root"))
@@ -248,40 +246,59 @@ def dedup(docs: DataFrame, columns: tuple[str, ...], words: int = 5, percent: in
     return found.select(*[F.col(held[c]).alias(c) for c in columns])
 
 
-def _left_over_pairs(left_over: DataFrame, sets: DataFrame, percent: int, block: int) -> DataFrame:
-    """Pairs (a, b) of one bucket, but of different components, whose sizes and signatures allow a link.
+def _open_rows(places: DataFrame, found: DataFrame) -> DataFrame:
+    """The rows of buckets that hold several components: key, row, n_shingles, component."""
+    components = found.select(F.col("node").alias("row"), "component")
+    labelled = places.join(components.hint("merge"), "row", "left").withColumn("component", F.coalesce("component", "row"))
+    open_keys = labelled.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter("low != high").select("key")
+    return materialize(labelled.join(open_keys.hint("merge"), "key").select("key", "row", "n_shingles", "component"), "open")
+
+
+def _left_over_links(open_rows: DataFrame, sets: DataFrame, percent: int, block: int) -> DataFrame:
+    """Links (a, b) between components in open buckets, as few as tie together what is similar.
 
-    A bucket's rows are numbered by blocks through a hash; each pair of blocks is one group, so no
-    task holds more than two blocks of a bucket at once, and only pairs that pass come out.
+    Rows that buckets tie together form a group; it is dealt to blocks by a hash, and each pair
+    of blocks is one task's work, so no task holds more than about two blocks of a group.
     """
-    n_blocks = left_over.groupBy("key").agg(F.ceil(F.count(F.lit(1)) / block).cast("int").alias("blocks"))
-    signed = sets.join(left_over.select("row").distinct().hint("merge"), "row", "left_semi").mapInArrow(_signatures, "row bigint, slots binary")
-    placed = left_over.join(n_blocks.hint("merge"), "key").join(signed.hint("merge"), "row").withColumn("mine", F.pmod(F.xxhash64("row", "key"), F.col("blocks")).cast("int"))
-    spread = placed.withColumn("other", F.explode(F.expr("sequence(0, blocks - 1)"))).select(
-        "key", F.least("mine", "other").alias("x"), F.greatest("mine", "other").alias("y"), "mine", "row", "n_shingles", "component", "slots",
+    edges = open_rows.groupBy("key").agg(F.min("row").alias("first")).join(open_rows.select("key", "row").hint("merge"), "key")
+    groups = components(edges.select(F.col("first").alias("a"), F.col("row").alias("b"))).withColumnRenamed("node", "row").withColumnRenamed("component", "group")
+    groups = materialize(groups, "groups")
+    n_blocks = groups.groupBy("group").agg(F.ceil(F.count(F.lit(1)) / block).cast("int").alias("blocks"))
+    rows = open_rows.select("row", "n_shingles", "component").distinct().join(groups.hint("merge"), "row").join(n_blocks.hint("merge"), "group")
+    placed = sets.join(rows.hint("merge"), "row").withColumn("mine", F.pmod(F.xxhash64("row"), F.col("blocks")).cast("int"))
+    dealt = placed.withColumn("other", F.explode(F.expr("sequence(0, blocks - 1)"))).select(
+        "group", F.least("mine", "other").alias("x"), F.greatest("mine", "other").alias("y"), "mine", "row", "n_shingles", "component", "set",
     )
 
     def compare(group: pa.Table) -> pa.Table:
         x, y = group.column("x")[0].as_py(), group.column("y")[0].as_py()
         mine = group.column("mine").to_numpy()
         row, size, part = (group.column(c).to_numpy() for c in ("row", "n_shingles", "component"))
-        slots = np.stack([np.frombuffer(s.as_buffer(), np.uint32) for s in group.column("slots").combine_chunks()])
-        first = np.flatnonzero(mine == x)
-        second = np.flatnonzero(mine == y)
+        held = [np.frombuffer(s.as_buffer(), np.uint64) for s in group.column("set").combine_chunks()]
+        slots = np.stack([signature(s) for s in held]).astype(np.uint32)
+        parent = {int(p): int(p) for p in np.unique(part)}
+
+        def root(p: int) -> int:
+            while parent[p] != p:
+                parent[p] = p = parent[parent[p]]
+            return p
+
+        first, second = np.flatnonzero(mine == x), np.flatnonzero(mine == y)
         a, b = [], []
         for i in first:
             js = second[row[second] > row[i]] if x == y else second
             js = js[(part[js] != part[i]) & (100 * np.minimum(size[js], size[i]) >= percent * np.maximum(size[js], size[i]))]
-            js = js[2 * (slots[js] == slots[i]).sum(axis=1) >= slots.shape[1]]
-            a += np.minimum(row[i], row[js]).tolist()
-            b += np.maximum(row[i], row[js]).tolist()
+            same = slots[js] == slots[i]
+            shared = same.reshape(len(js), BANDS, ROWS).all(axis=2).any(axis=1)
+            for j in js[shared & (same.sum(axis=1) >= np.where(size[js] < 100, 0.5, 0.62) * slots.shape[1])]:
+                p, q = root(int(part[i])), root(int(part[j]))
+                if p == q:
+                    continue
+                common = len(np.intersect1d(held[i], held[j], assume_unique=True))
+                if 100 * common >= percent * (len(held[i]) + len(held[j]) - common):
+                    parent[p] = q
+                    a.append(int(min(row[i], row[j])))
+                    b.append(int(max(row[i], row[j])))
         return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
-    return spread.groupBy("key", "x", "y").applyInArrow(compare, "a bigint, b bigint").distinct()
-
-
-def _signatures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """row and the low halves of its signature's slots."""
-    for batch in batches:
-        found = [signature(np.frombuffer(s.as_buffer(), np.uint64)).astype(np.uint32).tobytes() for s in batch.column("set")]
-        yield pa.RecordBatch.from_arrays([batch.column("row"), pa.array(found, pa.binary())], ["row", "slots"])
+    return dealt.groupBy("group", "x", "y").applyInArrow(compare, "a bigint, b bigint").distinct()
