@@ -132,6 +132,10 @@ UNION ALL SELECT doc_id, lang || ', of corpus', lang FROM documents""")
 add("tagged_header", """
 SELECT 'corpus/' || lang || '/' || CAST(doc_id AS VARCHAR) AS doc_id, 'http://e/' || CAST(doc_id AS VARCHAR) AS url,
        source AS title, lang AS category, length(text) AS chars FROM documents""")
+add("header_tags", """
+SELECT 'corpus/' || lang || '/' || CAST(doc_id AS VARCHAR) AS doc_id, lang AS category,
+       '<doc id="corpus/' || lang || '/' || CAST(doc_id AS VARCHAR) || '" url="http://e/' || CAST(doc_id AS VARCHAR)
+       || '" title="' || source || '">' AS header FROM documents""")
 add("trip_lines", """
 SELECT count(*) AS lines, count(miles) AS numeric, count_if(incomplete)::BIGINT AS incomplete FROM raw""", TRIPS)
 add("flight_lines", """
@@ -326,6 +330,14 @@ CROSS JOIN (SELECT unnest(['the', 'and', 'des', 'und', 'los']) AS word) w
 LEFT JOIN (SELECT lang, word, sum(tf) AS sum_tf FROM tfs JOIN dict USING (pos) GROUP BY 1, 2) s
   ON s.lang = c.lang AND s.word = w.word""", WORDS)
 
+add("court_averages", """
+SELECT CAST(c.label AS BIGINT) AS label, w.word, round(coalesce(sum_tf, 0) / n_docs, 9) AS avg_tf
+FROM (SELECT label, count(DISTINCT doc_id) AS n_docs FROM terms GROUP BY 1) c
+CROSS JOIN (SELECT unnest(['applicant', 'and', 'attack', 'protein', 'court']) AS word) w
+LEFT JOIN (SELECT label, word, sum(tf) AS sum_tf FROM tfs JOIN dict USING (pos) GROUP BY 1, 2) s
+  ON s.label = c.label AND s.word = w.word""", WORDS)
+add("first_words", "SELECT word, cnt FROM counted ORDER BY word LIMIT 100", WORDS)
+
 QUERY = """
 query_words AS (
   SELECT unnest(string_split(lower(regexp_replace(text, '[^a-zA-Z]+', ' ', 'g')), ' ')) AS word

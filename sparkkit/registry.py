@@ -208,6 +208,12 @@ def tagged_header(spark, folder):
     )
 
 
+@query
+def header_tags(spark, folder):
+    """The header tag of every tagged line."""
+    return posts.posts(tagged_lines(spark, folder)).select("doc_id", "header", "category")
+
+
 @query
 def trip_lines(spark, folder):
     """Trips as 17-field comma lines, read back; counts per rule."""
@@ -568,6 +574,21 @@ def avg_tf_by_class(spark, folder):
     return rounded(averages, 9, "avg_tf")
 
 
+@query
+def court_averages(spark, folder):
+    """Average term frequencies with the class told by the start of the id, English texts in the place of court cases."""
+    corpus, words = docs(spark, folder), _words(spark, folder)
+    named = F.concat(F.when(F.col("lang") == "en", documents.COURT_PREFIX).otherwise("W"), F.col("doc_id").cast("string"))
+    averages = documents.court_averages(corpus.select(named.alias("doc_id"), "text"), words)
+    return long_ints(rounded(averages, 9, "avg_tf"), "label")
+
+
+@query
+def first_words(spark, folder):
+    """The first hundred words in the order of the alphabet, with their counts."""
+    return vocabulary.word_count(docs(spark, folder)).orderBy("word").limit(100)
+
+
 @query
 def knn_vote(spark, folder):
     return _vote(spark, folder, "dot")

@@ -7,19 +7,18 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
+from pyspark.sql.window import Window
 
 from sparkkit.sources import schemas
 
-MOST_BROADCAST_FILES = 100_000
-
 
 def read_lines(spark: SparkSession, path: str | list[str], skip_lines: int = 0) -> DataFrame:
     """Lines of text files (bz2 and gz by extension) as ``value``.
 
-    ``skip_lines`` drops that many lines at the top of every file. A line's place
-    is known from its file, the start of its split and its row id in the task, so
-    one number per file is all that is aggregated and, for a checked number of files,
-    broadcast back.
+    ``skip_lines`` drops that many lines at the top of every file, also where they reach beyond
+    the file's first split. A line's place is known from its split and its row id in the
+    task. The lines of each split are counted, one row per split, and summed up along the
+    file; only splits in which lines are dropped are joined back.
     """
     lines = spark.read.text(path)
     if not skip_lines:
@@ -30,15 +29,12 @@ def read_lines(spark: SparkSession, path: str | list[str], skip_lines: int = 0)
         F.col("_metadata.file_block_start").alias("start"),
         F.monotonically_increasing_id().alias("row"),
     )
-    first = (
-        placed.where("start = 0")
-        .groupBy(F.col("file").alias("first_file"))
-        .agg(F.min("row").alias("first_row"))
-    )
-    if len(lines.inputFiles()) <= MOST_BROADCAST_FILES:
-        first = F.broadcast(first)
-    on_top = (F.col("start") == 0) & (F.col("row") - F.col("first_row") < skip_lines)
-    return placed.join(first, F.col("file") == F.col("first_file")).where(~on_top).select("value")
+    splits = placed.groupBy("file", "start").agg(F.min("row").alias("first"), F.count(F.lit(1)).alias("n"))
+    along = Window.partitionBy("file").orderBy("start").rowsBetween(Window.unboundedPreceding, -1)
+    before = F.coalesce(F.sum("n").over(along), F.lit(0))
+    top = splits.select("file", "start", "first", before.alias("before")).where(F.col("before") < skip_lines)
+    on_top = F.col("first").isNotNull() & (F.col("before") + F.col("row") - F.col("first") < skip_lines)
+    return placed.join(top, ["file", "start"], "left").where(~on_top).select("value")
 
 
 def split_fields(lines: DataFrame, sep: str = ",", min_fields: int = 0) -> DataFrame:

@@ -12,11 +12,13 @@ def as_lines(df: DataFrame, sep: str = ",") -> DataFrame:
     return df.select(F.concat_ws(sep, *fields).alias("value"))
 
 
-def write_report(df: DataFrame, path: str, sep: str = ",", max_rows: int = 100_000) -> None:
-    """Write a small result as one text file; refuses a result of more than ``max_rows``."""
-    if df.limit(max_rows + 1).count() > max_rows:
-        raise ValueError(f"more than {max_rows} rows; use write_parts")
-    as_lines(df, sep).coalesce(1).write.text(path)
+def write_report(df: DataFrame, path: str, sep: str = ",") -> None:
+    """Write a result as one text file, in its order.
+
+    Only the lines pass to the one task that writes; the result is computed once, in as many tasks as it has.
+    """
+    lines = as_lines(df, sep).select("value", F.monotonically_increasing_id().alias("at"))
+    lines.repartition(1).sortWithinPartitions("at").select("value").write.text(path)
 
 
 def write_parts(df: DataFrame, path: str, sep: str = ",", top_lines: tuple[str, ...] = ()) -> None:
