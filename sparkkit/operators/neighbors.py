@@ -1,7 +1,11 @@
-"""Nearest documents to a query text, and the categories they vote for."""
+"""Nearest documents to query texts, and the categories they vote for."""
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -9,7 +13,7 @@ from pyspark.sql.window import Window
 from sparkkit.functions.scalars import ratio
 from sparkkit.functions.tokens import explode_letters
 from sparkkit.operators.grouping import count_by
-from sparkkit.operators.ranking import top_k
+from sparkkit.operators.ranking import top_k, top_k_per_group
 
 
 def query_weights(query: str, words: DataFrame, idf: DataFrame) -> DataFrame:
@@ -43,3 +47,102 @@ def category_vote(
     """``category, num``: how often each category stands among the ``k`` best (document, category) rows."""
     nearest = top_k(scores.join(links, doc), k, "score", [doc, category])
     return top_k(count_by(nearest, [category]), k, "num", [category])
+
+
+def nearest(vectors: DataFrame, weights: DataFrame, k: int, doc: str = "doc_id", metric: str = "dot", block: int = 200) -> DataFrame:
+    """``query, doc, score`` of the ``k`` best documents of every query, by rounded score, then document.
+
+    ``weights`` (``query, pos, weight``) may hold any number of queries; they go through the documents
+    in blocks of ``block``, so what is sent to all tasks is bounded by that and the dictionary.
+    ``vectors`` (``doc, pos, tfidf``) must give a document's rows one after the other, as
+    ``vocabulary.tfidf`` does. A task keeps the k best documents of each query of the block,
+    so no frame of documents times queries is made.
+    """
+    if metric not in ("dot", "cosine"):
+        raise ValueError(f"unknown metric {metric!r}")
+    spark = vectors.sparkSession
+    numbered = weights.select("query").distinct().withColumn("at", F.row_number().over(Window.orderBy("query")) - 1)
+    ids = numbered.select("query", "at")
+    kind = dict(vectors.dtypes)[doc]
+    out = None
+    for first in range(0, numbered.count(), block):
+        part = weights.join(ids.where(F.col("at").between(first, first + block - 1)), "query").select(
+            (F.col("at") - first).alias("at"), "pos", "weight"
+        ).toPandas()
+        shared = spark.sparkContext.broadcast((part["at"].to_numpy(), part["pos"].to_numpy(), part["weight"].to_numpy()))
+        run = _best(shared, k, metric)
+        rows = vectors.select(F.col(doc).alias("doc"), "pos", "tfidf").mapInArrow(run, f"at int, doc {kind}, score double")
+        best = top_k_per_group(rows, ["at"], k, "score", ["doc"]).drop("rank")
+        best = best.join(ids.select("query", (F.col("at") - first).cast("int").alias("at")), "at").select("query", F.col("doc").alias(doc), "score")
+        out = best if out is None else out.unionByName(best)
+    return out if out is not None else spark.createDataFrame([], f"query {dict(weights.dtypes)['query']}, {doc} {kind}, score double")
+
+
+def _best(shared, k: int, metric: str):
+    """For one block of queries: the k best documents of each, among a task's documents."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, pos, weight = shared.value
+        size = int(at.max()) + 1
+        matrix = np.zeros((int(pos.max()) + 2, size))  # the last row stands for words of no query
+        matrix[pos, at] = weight
+        norms = np.sqrt((matrix**2).sum(0))
+        best: list[list[tuple[float, object]]] = [[] for _ in range(size)]
+
+        def take(docs: list, scores: np.ndarray) -> None:
+            scores = np.round(scores, 9)
+            for q in range(size):
+                column = scores[:, q]
+                floor = best[q][-1][0] if len(best[q]) == k else -np.inf
+                rows = np.flatnonzero(column >= floor)
+                if len(rows) > 4 * k:
+                    cut = np.partition(column[rows], len(rows) - k)[len(rows) - k]
+                    rows = rows[column[rows] >= cut]
+                merged = best[q] + [(float(column[r]), docs[r]) for r in rows]
+                best[q] = sorted(merged, key=lambda x: (-x[0], x[1]))[:k]
+
+        waiting = None
+        for batch in batches:
+            if not len(batch):
+                continue
+            rows = pa.Table.from_batches([batch])
+            rows = pa.concat_tables([waiting, rows]).combine_chunks() if waiting is not None else rows
+            docs = rows.column("doc").combine_chunks().dictionary_encode()
+            codes = docs.indices.to_numpy()
+            cut = int(np.flatnonzero(codes == codes[-1])[0])
+            if cut:
+                take(*_scores(rows.slice(0, cut), matrix, norms, metric))
+            waiting = rows.slice(cut)
+        if waiting is not None:
+            take(*_scores(waiting, matrix, norms, metric))
+        found = [(q, doc, score) for q in range(size) for score, doc in best[q]]
+        if found:
+            columns = list(zip(*found))
+            yield pa.RecordBatch.from_arrays([pa.array(columns[0], pa.int32()), pa.array(columns[1]), pa.array(columns[2], pa.float64())], ["at", "doc", "score"])
+
+    return run
+
+
+def _scores(rows: pa.Table, matrix: np.ndarray, norms: np.ndarray, metric: str) -> tuple[list, np.ndarray]:
+    """Documents of a run of rows and their scores under every query."""
+    docs = rows.column("doc").combine_chunks().dictionary_encode()
+    codes, value = docs.indices.to_numpy(), rows.column("tfidf").to_numpy()
+    pos = np.minimum(rows.column("pos").to_numpy(), len(matrix) - 1)
+    first = np.flatnonzero(np.concatenate([[True], codes[1:] != codes[:-1]]))
+    used = np.flatnonzero(matrix.any(1)[pos])
+    scores = np.zeros((len(first), matrix.shape[1]))
+    of = np.searchsorted(first, used, "right") - 1
+    for a in range(0, len(used), 20_000):  # a bounded piece of rows times queries at once
+        np.add.at(scores, of[a : a + 20_000], value[used[a : a + 20_000], None] * matrix[pos[used[a : a + 20_000]]])
+    if metric == "cosine":
+        own = np.sqrt(np.add.reduceat(value * value, first))
+        length = own[:, None] * norms[None, :]
+        scores = np.divide(scores, length, out=np.zeros_like(scores), where=length > 0)
+    names = docs.dictionary.to_pylist()
+    return [names[c] for c in codes[first]], scores
+
+
+def category_votes(found: DataFrame, links: DataFrame, k: int = 10, doc: str = "doc_id", category: str = "category") -> DataFrame:
+    """``query, category, num``: as ``category_vote``, for every query of ``nearest``."""
+    rows = top_k_per_group(found.join(links, doc), ["query"], k, "score", [doc, category]).drop("rank")
+    return top_k_per_group(count_by(rows, ["query", category]), ["query"], k, "num", [category]).drop("rank")

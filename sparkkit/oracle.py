@@ -340,29 +340,37 @@ add("first_words", "SELECT word, cnt FROM counted ORDER BY word LIMIT 100", WORD
 
 QUERY = """
 query_words AS (
-  SELECT unnest(string_split(lower(regexp_replace(text, '[^a-zA-Z]+', ' ', 'g')), ' ')) AS word
-  FROM (SELECT text FROM benchmark ORDER BY item_id LIMIT 1)
+  SELECT item_id AS query, unnest(string_split(lower(regexp_replace(text, '[^a-zA-Z]+', ' ', 'g')), ' ')) AS word FROM benchmark
 ),
-query_counts AS (SELECT pos, count(*) AS n FROM query_words JOIN dict USING (word) GROUP BY pos),
+query_counts AS (SELECT query, pos, count(*) AS n FROM query_words JOIN dict USING (word) GROUP BY 1, 2),
 weights AS (
-  SELECT pos, CAST(n AS DOUBLE) / (SELECT sum(n) FROM query_counts) * idf AS weight FROM query_counts JOIN idfs USING (pos)
+  SELECT query, pos, CAST(n AS DOUBLE) / sum(n) OVER (PARTITION BY query) * idf AS weight FROM query_counts JOIN idfs USING (pos)
 ),
+lengths AS (SELECT query, sqrt(sum(weight * weight)) AS length FROM weights GROUP BY 1),
+products AS (SELECT query, doc_id, sum(tfidf * weight) AS dot FROM vectors JOIN weights USING (pos) GROUP BY 1, 2),
+norms AS (SELECT doc_id, sqrt(sum(tfidf * tfidf)) AS norm FROM vectors GROUP BY 1),
 dots AS (
-  SELECT doc_id, sum(coalesce(tfidf * weight, 0)) AS dot, sqrt(sum(tfidf * tfidf)) AS norm
-  FROM vectors LEFT JOIN weights USING (pos) GROUP BY doc_id
+  SELECT l.query, n.doc_id, coalesce(dot, 0) AS dot, coalesce(dot / nullif(norm * length, 0), 0) AS cosine
+  FROM lengths l CROSS JOIN norms n LEFT JOIN products p ON p.query = l.query AND p.doc_id = n.doc_id
 ),
 links AS (SELECT doc_id, source AS category FROM documents UNION ALL SELECT doc_id, lang FROM documents)
 """
-add("knn_vote", """
-SELECT category, count(*) AS num
-FROM (SELECT category FROM dots JOIN links USING (doc_id) ORDER BY dot DESC, doc_id, category LIMIT 10)
-GROUP BY 1 ORDER BY num DESC, category LIMIT 10""", WORDS, QUERY)
-add("knn_vote_cosine", """
-SELECT category, count(*) AS num
-FROM (SELECT category FROM dots JOIN links USING (doc_id)
-      ORDER BY coalesce(dot / nullif(norm * (SELECT sqrt(sum(weight * weight)) FROM weights), 0), 0) DESC, doc_id, category
-      LIMIT 10)
-GROUP BY 1 ORDER BY num DESC, category LIMIT 10""", WORDS, QUERY)
+
+
+def vote_sql(score: str) -> str:
+    return f"""
+SELECT query, category, num
+FROM (SELECT query, category, num, row_number() OVER (PARTITION BY query ORDER BY num DESC, category) AS place
+      FROM (SELECT query, category, count(*) AS num
+            FROM (SELECT query, category,
+                         row_number() OVER (PARTITION BY query ORDER BY round({score}, 9) DESC, doc_id, category) AS place
+                  FROM dots JOIN links USING (doc_id))
+            WHERE place <= 10 GROUP BY 1, 2))
+WHERE place <= 10"""
+
+
+add("knn_vote", vote_sql("dot"), WORDS, QUERY)
+add("knn_vote_cosine", vote_sql("cosine"), WORDS, QUERY)
 add("labelled_docs", """
 SELECT doc_id, lang, CASE WHEN lang = 'en' THEN 1 ELSE 0 END AS label FROM documents
 WHERE doc_id IN (SELECT doc_id FROM labels)""")

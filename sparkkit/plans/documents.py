@@ -43,6 +43,26 @@ def vote(
     return neighbors.category_vote(scores, links, k, doc)
 
 
+def vote_all(
+    docs: DataFrame,
+    links: DataFrame,
+    queries: DataFrame,
+    k: int = 10,
+    metric: str = "dot",
+    size: int = vocabulary.DICTIONARY_SIZE,
+    doc: str = "doc_id",
+    text: str = "text",
+) -> DataFrame:
+    """``query, category, num``: the vote for every row of ``queries`` (``query, text``) that holds a dictionary word."""
+    words = materialize(vocabulary.dictionary(docs, text, size), "dictionary")
+    idf = materialize(vocabulary.inverse_frequency(vocabulary.document_frequency(docs, words, text), docs.count()), "idf")
+    asked = vocabulary.weigh(vocabulary.term_frequency(vocabulary.counted_terms(queries, words, "query")), idf)
+    weights = materialize(asked.select("query", "pos", F.col("tfidf").alias("weight")), "weights")
+    vectors = vocabulary.weigh(vocabulary.term_frequency(vocabulary.counted_terms(docs, words, doc, text)), idf)
+    found = materialize(neighbors.nearest(vectors, weights, k, doc, metric), "nearest")
+    return neighbors.category_votes(found, links, k, doc)
+
+
 def court_averages(docs: DataFrame, words: DataFrame) -> DataFrame:
     """Average term frequency of five words in court cases and in all other documents."""
     return vocabulary.average_frequency(with_class(docs), words, COURT_WORDS, "label")

@@ -600,8 +600,9 @@ def knn_vote_cosine(spark, folder):
 
 
 def _vote(spark, folder, metric):
-    text = table(spark, folder, "benchmark").orderBy("item_id").first().text
-    return documents.vote(docs(spark, folder), links(spark, folder), text, metric=metric)
+    """Every benchmark text asks."""
+    asked = table(spark, folder, "benchmark").select(F.col("item_id").alias("query"), "text")
+    return documents.vote_all(docs(spark, folder), links(spark, folder), asked, metric=metric)
 
 
 @query

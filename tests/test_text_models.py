@@ -84,6 +84,24 @@ def test_counts_of_runs_across_batches(docs, words, spark):
         spark.conf.set(key, before)
 
 
+@pytest.mark.parametrize("metric", ["dot", "cosine"])
+def test_votes_of_many_queries_match_votes_of_one(docs, spark, metric):
+    asked = [(1, "Court, gene GENE; nothing"), (2, "court"), (3, "zzz"), (4, "gene and the court")]
+    links = docs.select("doc_id", F.explode(F.array(F.lit("all"), F.substring("doc_id", 1, 1))).alias("category"))
+    found = documents.vote_all(docs, links, spark.createDataFrame(asked, "query int, text string"), 4, metric, size=6).collect()
+    for query, text in asked:
+        one = {r.category: r.num for r in documents.vote(docs, links, text, 4, metric, size=6).collect()}
+        many = {r.category: r.num for r in found if r.query == query}
+        assert many == one or (query == 3 and not many)
+
+
+def test_nearest_in_blocks_of_queries(docs, words, vectors, spark):
+    weights = spark.createDataFrame([(q, q % 6, 1.0 + q) for q in range(7)], "query int, pos int, weight double")
+    whole = sorted(map(tuple, neighbors.nearest(vectors, weights, 3).collect()))
+    assert sorted(map(tuple, neighbors.nearest(vectors, weights, 3, block=2).collect())) == whole
+    assert len({r[0] for r in whole}) == 7
+
+
 def test_average_frequency_per_class(docs, words):
     ids, labels, tf, _, _, order = dense()
     got = {(r.label, r.word): r.avg_tf for r in vocabulary.average_frequency(docs, words, ["court", "gene", "zebra"], "label").collect()}
