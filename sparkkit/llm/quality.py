@@ -11,7 +11,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sparkkit.llm.common import SPACE
+from sparkkit.llm.common import SPACE, stored
 from sparkkit.session import materialize
 
 SYMBOLS = "#*$%&|<>"
@@ -160,10 +160,10 @@ def assess(docs: DataFrame, carry: tuple[str, ...] = ("doc_id",), rules: tuple[R
     rows = measured(docs, carry)
     based = rows.withColumns({"words": F.greatest("n_words", F.lit(1)), "chars": F.greatest("word_chars", F.lit(1))})
     kept = [c for c in rows.columns]
-    stored = materialize(based.select(*kept, *[r.vote() for r in rules]), "measures")
+    measures = stored(based.select(*kept, *[r.vote() for r in rules]), "measures")
     failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
-    patterns = materialize(stored.filter(~failed).groupBy(*names).agg(F.count(F.lit(1)).alias("count")), "patterns")
+    patterns = materialize(measures.filter(~failed).groupBy(*names).agg(F.count(F.lit(1)).alias("count")), "patterns")
     prior, right = learn(patterns, names)
-    return stored.select("*", failed.alias("base_failed"), _score(names, prior, right).alias("posterior")).withColumn(
+    return measures.select("*", failed.alias("base_failed"), _score(names, prior, right).alias("posterior")).withColumn(
         "kept", ~F.col("base_failed") & (F.col("posterior") >= threshold)
     )
