@@ -72,24 +72,25 @@ class Renderer:
     after the probe is the template's own. If the longer output does not begin with the shorter
     one, the template has rewritten history.
 
-    Up to ``exact`` turns the whole prefix is rendered. Later, the first turn and the last
-    ``context`` turns stand for the prefix, so that a very long conversation takes time in
-    proportion to its turns; a template may look that far back.
+    The whole prefix is rendered at every length, so a conversation takes time by the square of
+    its turns. Only a template that is ``turn_local``, which gives a turn the same output whatever
+    the turns around it, may be rendered without them; that is the caller's word and not checked.
     """
 
-    def __init__(self, template: Template, exact: int = 32, context: int = 8):
-        self.template, self.exact, self.context = template, exact, context
+    def __init__(self, template: Template, turn_local: bool = False):
+        self.template, self.turn_local = template, turn_local
         self.turns: list[Turn] = []
+        self.before = ""
         self.rewrites = False
 
     def add(self, role: str, text: str) -> tuple[str, int, int] | None:
         """The span, and where the text begins and ends in it; None if history is rewritten."""
-        before = self.template(self.turns) if self.turns else ""
+        before = self.before
         probed = self.template([*self.turns, (role, PROBE)])
-        self.turns.append((role, text))
-        after = self.template(self.turns)
-        if len(self.turns) > self.exact:
-            self.turns = [self.turns[0], *self.turns[-self.context :]]
+        after = self.template([*self.turns, (role, text)])
+        if not self.turn_local:
+            self.turns.append((role, text))
+            self.before = after
         if not after.startswith(before) or not probed.startswith(before):
             self.rewrites = True
             return None
@@ -107,7 +108,7 @@ SCHEMA = (
 )
 
 
-def format_turns(conversations: DataFrame, template: Template = inst_template, loss_roles: tuple[str, ...] = ("assistant",)) -> DataFrame:
+def format_turns(conversations: DataFrame, template: Template = inst_template, loss_roles: tuple[str, ...] = ("assistant",), turn_local: bool = False) -> DataFrame:
     """One row per turn, in order: its place, its rendered span, where its text lies in the span, and whether it counts for the loss.
 
     The rendered spans of a conversation, put together, are the template's output; ``start`` is
@@ -116,8 +117,9 @@ def format_turns(conversations: DataFrame, template: Template = inst_template, l
 
     Turns are sorted by turn, then role, then text, so repeated rows and ties have an order; null
     roles and texts are empty, null turns come first, null conv_ids are one conversation. A
-    task streams through its conversations and keeps a few turns, so a conversation with a
-    large part of all rows is never held. An empty table gives no rows. Other columns are left out.
+    task streams through its conversations and keeps the turns of one, which are rendered anew for
+    each of its turns; with ``turn_local`` (see ``Renderer``) it keeps none. An empty table gives
+    no rows. Other columns are left out.
     """
     small_batches(conversations)
     rows = conversations.select(
@@ -132,7 +134,7 @@ def format_turns(conversations: DataFrame, template: Template = inst_template, l
             out = []
             for conv, role, text in zip(*(batch.column(c).to_pylist() for c in ("conv_id", "role", "text"))):
                 if renderer is None or conv != last:
-                    last, renderer, position, start = conv, Renderer(template), 0, 0
+                    last, renderer, position, start = conv, Renderer(template, turn_local), 0, 0
                 found = None if renderer.rewrites else renderer.add(role, text)
                 span, a, b = found or (None, None, None)
                 out.append((conv, position, role, start if found else None, span, a, b, role in loss_roles, renderer.rewrites))

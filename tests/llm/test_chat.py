@@ -85,6 +85,39 @@ def test_rewritten_history_is_seen(spark):
     assert all((r.rendered is None) == r.rewrites_history for r in rows)
 
 
+def late_templates():
+    """Each with the number of turns after which it rewrites history, of 60. They stand inside, as workers can't import this file."""
+
+    def plain(turns):
+        return "".join(f"<{role}>{text};" for role, text in turns)
+
+    return {
+        "numbering": (lambda turns: "".join(f"<{k}:{role}>{text};" for k, (role, text) in enumerate(turns)), 60),
+        "looking 20 back": (lambda turns: "".join(f"<{turns[k - 20][1] if k >= 20 else ''}>{text};" for k, (_, text) in enumerate(turns)), 60),
+        "late truncating": (lambda turns: plain(turns[-40:]), 40),
+        "late rewriting": (lambda turns: plain([(role, "" if k == 1 and len(turns) >= 45 else text) for k, (role, text) in enumerate(turns)]), 44),
+    }
+
+
+@pytest.mark.parametrize("name", list(late_templates()))
+def test_whole_prefixes_of_long_conversations(spark, name):
+    template, whole = late_templates()[name]
+    turns = [("user" if k % 2 == 0 else "assistant", f"t{k}") for k in range(60)]
+    df = spark.createDataFrame([(1, k, *turn) for k, turn in enumerate(turns)], "conv_id long, turn long, role string, text string")
+    rows = chat.format_turns(df, template).orderBy("position").collect()
+    assert [r.rewrites_history for r in rows] == [False] * whole + [True] * (60 - whole)
+    expected = template(turns[:whole])
+    assert "".join(r.rendered for r in rows[:whole]) == expected
+    assert [expected[r.start + r.text_start : r.start + r.text_end] for r in rows[:whole]] == [text for _, text in turns[:whole]]
+    assert all(r.rendered is None and r.start is None for r in rows[whole:])
+
+
+def test_turn_local_templates_give_the_same_without_prefixes(spark):
+    df = spark.createDataFrame([(c, k, "user" if k % 2 == 0 else "assistant", f"t{k} [INST]") for c, n in ((1, 3), (2, 50)) for k in range(n)], "conv_id long, turn long, role string, text string")
+    whole, local = (chat.format_turns(df, turn_local=flag).orderBy("conv_id", "position").collect() for flag in (False, True))
+    assert whole == local
+
+
 def test_query(spark):
     try:
         given_rows = spark.read.parquet(f"{SMALL}/conversations.parquet").select("conv_id", "turn", "role", "text").collect()
