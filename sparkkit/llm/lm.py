@@ -1,6 +1,11 @@
 """Language-model scores by deleted interpolation.
 
-Words are counted exactly and without limit. The most frequent ones are n-gram classes of their
+``fit_words`` and ``score_words`` count true word pairs, without limit. A word's probability after another is
+
+    l2 * C(v, w) / C(v) + l1 * C(w) / N + l0 * (C(w) + 0.5) / (N + 0.5 * (V + 1))
+
+with weights by how often the context word itself occurs. ``fit`` and ``score`` are a smaller model over classes:
+words are counted exactly and without limit. The most frequent ones are n-gram classes of their
 own, all others share classes by their length, so the pair counts are one small table. A word's
 probability after another is
 
@@ -291,3 +296,183 @@ def _score_rows(row, doc_id, hashes, rare, gain, floor, n_tokens, n_known, base,
     names = [field.split()[0] for field in ROWS.split(", ")]
     columns = [row, doc_id, hashes, np.full(len(row), rare), gain, floor, n_tokens, n_known, base, score]
     return pa.RecordBatch.from_arrays([c if isinstance(c, pa.Array) else pa.array(c) for c in columns], names)
+
+
+# --- true word pairs ---------------------------------------------------------
+
+#: Buckets of context counts by powers of two; 0 holds contexts that never occurred.
+BUCKETS = 64
+_MIX = np.uint64(0x9E3779B97F4A7C15)
+OCCURRENCES = "row bigint, doc_id bigint, key bigint, v bigint, w bigint, cv bigint, cw bigint, n bigint"
+
+
+@dataclass
+class WordModel:
+    words: DataFrame  # hash, size, main, deleted
+    pairs: DataFrame  # key, main, deleted: every pair of neighbours
+    head: tuple[np.ndarray, np.ndarray]  # sorted hashes of the frequent words and their main + deleted
+    least: int  # words from this count on are in the head
+    tokens: int
+    distinct: int
+    weights: np.ndarray  # per bucket of the context's count: l2, l1, l0
+
+
+def _neighbours(hashes: np.ndarray, places: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Context, word and pair key at each place. Each text stands after an end, and keys are mixed from both words' hashes."""
+    after = hashes[places]
+    before = np.concatenate([[END], after[:-1]]) if len(after) else after
+    return before, after, before * _MIX + after
+
+
+def count_pairs(rows: DataFrame, gathered: int = 2_000_000) -> DataFrame:
+    """key, main and deleted of all pairs of neighbours; a task adds up what it reads and hands it on beyond ``gathered`` pairs."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple[np.ndarray, ...]] = []
+        n = 0
+
+        def give() -> Iterator[pa.RecordBatch]:
+            columns = _sum_equal(*(np.concatenate(x) for x in zip(*held)))
+            for a in range(0, len(columns[0]), 100_000):
+                key, main, deleted = (c[a : a + 100_000] for c in columns)
+                yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), pa.array(main), pa.array(deleted)], ["key", "main", "deleted"])
+
+        for block in slices(batches):
+            hashes, _, places, starts = _hashed(block.column("text"))
+            out = np.repeat(block.column("deleted").to_numpy(zero_copy_only=False), np.diff(starts)).astype(np.int64)
+            held.append(_sum_equal(_neighbours(hashes, places)[2], 1 - out, out))
+            n += len(held[-1][0])
+            if n >= gathered:
+                yield from give()
+                held, n = [], 0
+        if held:
+            yield from give()
+
+    return rows.mapInArrow(run, "key bigint, main bigint, deleted bigint").groupBy("key").agg(F.sum("main").alias("main"), F.sum("deleted").alias("deleted"))
+
+
+def _occurrences(rows: DataFrame, head: tuple[np.ndarray, np.ndarray], words: DataFrame, pairs: DataFrame) -> DataFrame:
+    """row, doc_id, n, cv, cw, cvw: the distinct pairs of each text, how often it has them, and the counts of context, word and pair.
+
+    ``head`` holds the counts of frequent words, ``words`` (hash, c) those of all others, ``pairs`` (key, c) those of pairs; 0 if absent. Pairs
+    without a word outside the head go to the joins with ``words`` under keys of their own, so no key is hot. A text's first pair has its doc_id.
+    """
+    shared = rows.sparkSession.sparkContext.broadcast(head)
+    names = [field.split()[0] for field in OCCURRENCES.split(", ")]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known, counts = shared.value
+        number = TaskContext.get().partitionId() << 40
+
+        def count(hashes: np.ndarray) -> np.ndarray:
+            if not len(known):
+                return np.full(len(hashes), -1)
+            at = np.minimum(np.searchsorted(known, hashes), len(known) - 1)
+            return np.where(known[at] == hashes, counts[at], -1)
+
+        for block in slices(batches):
+            hashes, _, places, starts = _hashed(block.column("text"))
+            table = count(hashes)
+            before, after, keys = _neighbours(hashes, places)
+            right = table[places]
+            left = np.concatenate([[table[-1]], right[:-1]])
+            of = np.repeat(np.arange(len(block)), np.diff(starts))
+            order = np.lexsort((keys, of))
+            new = np.ones(len(order), bool)
+            new[1:] = (keys[order][1:] != keys[order][:-1]) | (of[order][1:] != of[order][:-1])
+            first = np.flatnonzero(new)
+            n = np.diff(np.append(first, len(order)))
+            at = order[first]
+            docs, leads = of[at], np.concatenate([[True], of[at][1:] != of[at][:-1]])
+            for a in range(0, len(at), 100_000):
+                b = slice(a, a + 100_000)
+                i = at[b]
+                yield pa.RecordBatch.from_arrays([
+                    pa.array(number + docs[b]), block.column("doc_id").take(pa.array(docs[b], mask=~leads[b])), pa.array(keys[i].view(np.int64)),
+                    pa.array(before[i].view(np.int64), mask=left[i] >= 0), pa.array(after[i].view(np.int64), mask=right[i] >= 0),
+                    pa.array(left[i]), pa.array(right[i]), pa.array(n[b]),
+                ], names)
+            number += len(block)
+
+    own = F.col("key").bitwiseXOR(F.lit(0x5DEECE66D))
+    found = rows.mapInArrow(run, OCCURRENCES).join(pairs.select("key", F.col("c").alias("cvw")).hint("merge"), "key", "left")
+    found = found.select("row", "doc_id", "n", F.coalesce("cvw", F.lit(0)).alias("cvw"), "cv", "cw", F.coalesce("v", own).alias("v"), F.coalesce("w", own).alias("w"))
+    for side in ("v", "w"):
+        other = words.select(F.col("hash").alias(side), F.col("c").alias(f"r{side}"))
+        found = found.join(other.hint("merge"), side, "left").drop(side)
+    counted = [F.when(F.col(f"c{side}") >= 0, F.col(f"c{side}")).otherwise(F.coalesce(f"r{side}", F.lit(0))).alias(f"c{side}") for side in ("v", "w")]
+    return found.select("row", "doc_id", "n", "cvw", *counted)
+
+
+def _bucket(context: Column) -> Column:
+    return F.floor(F.log2(context + 1.0)).cast("int")
+
+
+def learn_weights(seen: DataFrame, rounds: int = 60) -> np.ndarray:
+    """Weights l2, l1, l0 per bucket, by expectation-maximisation on rows (bucket, n, p2, p1, p0) of deleted pairs.
+
+    A bucket without rows takes the weights of the next lower one that has some. Contexts that never occurred have no pair model: l2 is 0.
+    """
+    weights = np.full((BUCKETS, 3), 1 / 3)
+    weights[0] = [0, 0.5, 0.5]
+    present: set[int] = set()
+    for _ in range(rounds):
+        shares = [F.element_at(F.array(*(F.lit(float(x)) for x in weights[:, k])), F.col("bucket") + 1) * F.col(f"p{2 - k}") for k in range(3)]
+        total = F.greatest(shares[0] + shares[1] + shares[2], F.lit(1e-300))
+        sums = seen.groupBy("bucket").agg(*(F.sum(F.col("n") * share / total).alias(f"s{k}") for k, share in enumerate(shares))).collect()
+        for row in sums:
+            gathered = np.array([row.s0, row.s1, row.s2]) + [0.1 * (row.bucket > 0), 0.1, 0.1]
+            weights[row.bucket] = gathered / gathered.sum()
+            present.add(row.bucket)
+        if not sums:
+            break
+    for b in range(BUCKETS):
+        if b > 1 and b not in present:
+            weights[b] = weights[b - 1]
+        weights[b, 1:] = np.maximum(weights[b, 1:], 1e-4)
+        weights[b, 0] = max(weights[b, 0], 1e-4) if b else 0.0
+        weights[b] /= weights[b].sum()
+    return weights
+
+
+def fit_words(docs: DataFrame, deleted: Column, head_words: int = 131_072) -> WordModel:
+    """As ``fit``, over true word pairs: all words and all pairs of neighbours are counted, in the shared folder."""
+    rows = texts_of(docs, F.coalesce(deleted, F.lit(False)).alias("deleted"))
+    words, pairs = materialize(count_words(rows), "words"), materialize(count_pairs(rows), "pairs")
+    numbered = words.withColumn("n", F.col("main") + F.col("deleted"))
+    totals = numbered.agg(
+        F.sum("n").alias("tokens"), F.count(F.lit(1)).alias("distinct"), F.sum("main").alias("main"), F.count_if(F.col("main") > 0).alias("kinds"),
+    ).first()
+    least = _frequent(numbered, head_words)
+    frequent = numbered.filter(F.col("n") >= least).select("hash", "main", "n").toArrow()
+    hashes, main, counts = (frequent.column(c).to_numpy() for c in ("hash", "main", "n"))
+    hashes = hashes.view(np.uint64)
+    order = np.argsort(hashes)
+    hashes, main, counts = hashes[order], main[order], counts[order]
+
+    rare = numbered.filter(F.col("n") < least)
+    met = _occurrences(
+        rows.filter("deleted"), (hashes, main), rare.select("hash", F.col("main").alias("c")), pairs.filter("main > 0").select("key", F.col("main").alias("c")),
+    ).groupBy("cv", "cvw", "cw").agg(F.sum("n").alias("n"))
+    total, kinds = totals.main or 0, totals.kinds
+    seen = met.select(
+        _bucket(F.col("cv")).alias("bucket"), "n", (F.col("cvw") / F.greatest("cv", F.lit(1))).alias("p2"),
+        (F.col("cw") / max(1, total)).alias("p1"), ((F.col("cw") + 0.5) / (total + 0.5 * (kinds + 1))).alias("p0"),
+    )
+    weights = learn_weights(materialize(seen, "deleted-pairs"))
+    return WordModel(words, pairs, (hashes, counts), least, int(totals.tokens or 0), int(totals.distinct), weights)
+
+
+def score_words(docs: DataFrame, model: WordModel) -> DataFrame:
+    """As ``score``, by the true word pairs: doc_id, n_tokens, n_known, train_tokens, base_score and score (log10) of every whole text."""
+    every = F.col("main") + F.col("deleted")
+    met = _occurrences(
+        texts_of(docs), model.head, model.words.filter(every < model.least).select("hash", every.alias("c")), model.pairs.select("key", every.alias("c")),
+    )
+    l2, l1, l0 = (F.element_at(F.array(*(F.lit(float(x)) for x in model.weights[:, k])), _bucket(F.col("cv")) + 1) for k in range(3))
+    base = (F.col("cw") + 0.5) / (model.tokens + 0.5 * (model.distinct + 1))
+    chance = l2 * F.col("cvw") / F.greatest("cv", F.lit(1)) + l1 * F.col("cw") / max(1, model.tokens) + l0 * base
+    return met.groupBy("row").agg(
+        F.max("doc_id").alias("doc_id"), F.sum("n").alias("n_tokens"), F.sum(F.when(F.col("cw") > 0, F.col("n")).otherwise(0)).cast("bigint").alias("n_known"),
+        F.lit(model.tokens).cast("bigint").alias("train_tokens"), F.sum(F.col("n") * F.log10(base)).alias("base_score"), F.sum(F.col("n") * F.log10(chance)).alias("score"),
+    ).drop("row")

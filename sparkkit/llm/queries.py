@@ -50,8 +50,8 @@ def op3_lm_scoring(spark, folder):
     docs = table(spark, folder, "documents")
     held_out = fold("doc_id") == 1
     deleted = fold("doc_id", 25) < 5  # a fifth of the documents of each of the five folds
-    model = lm.fit(docs.filter(~held_out), deleted)
-    found = lm.score(docs, model)
+    model = lm.fit_words(docs.filter(~held_out), deleted)
+    found = lm.score_words(docs, model)
     return found.select("doc_id", held_out.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
 
 

@@ -283,3 +283,76 @@ def test_lm_on_no_rows(no_docs, odd_docs):
     model = lm.fit(no_docs, F.lit(False))
     assert model.tokens == 0 and lm.score(no_docs, model).collect() == []
     assert all(math.isfinite(r.score) and r.n_known == 0 for r in lm.score(odd_docs, model).collect())
+
+
+def expected_scores(rows, train, weights):
+    """Brute force over true word pairs."""
+    kept = [r for r in rows if train(r)]
+    words = Counter(w for r in kept for w in tokens_of(r.text))
+    pairs = Counter(p for r in kept for p in zip([None, *tokens_of(r.text)], tokens_of(r.text)))
+    total = sum(words.values())
+    floor = total + 0.5 * (len(words) + 1)
+    out = []
+    for r in rows:
+        toks, base, score = tokens_of(r.text), 0.0, 0.0
+        for v, w in zip([None, *toks], toks):
+            l2, l1, l0 = weights[int(math.log2(words[v] + 1))]
+            base += math.log10((words[w] + 0.5) / floor)
+            score += math.log10(l2 * pairs[v, w] / max(1, words[v]) + l1 * words[w] / total + l0 * (words[w] + 0.5) / floor)
+        out.append((repr(r.doc_id), len(toks), sum(words[w] > 0 for w in toks), total, base, score))
+    return sorted(out)
+
+
+def expected_weights(rows, deleted, rounds=60):
+    kept, left = [r for r in rows if not deleted(r)], [r for r in rows if deleted(r)]
+    words = Counter(w for r in kept for w in tokens_of(r.text))
+    pairs = Counter(p for r in kept for p in zip([None, *tokens_of(r.text)], tokens_of(r.text)))
+    total = sum(words.values())
+    models = {}
+    for (v, w), n in Counter(p for r in left for p in zip([None, *tokens_of(r.text)], tokens_of(r.text))).items():
+        p = (pairs[v, w] / max(1, words[v]), words[w] / total, (words[w] + 0.5) / (total + 0.5 * (len(words) + 1)))
+        models.setdefault(int(math.log2(words[v] + 1)), []).append((n, p))
+    out = {}
+    for b, met in models.items():
+        n, p = np.array([m[0] for m in met]), np.array([m[1] for m in met]).T
+        prior = np.array([0.1 * (b > 0), 0.1, 0.1])
+        weights = np.where(prior > 0, 1, 0) / np.count_nonzero(prior)
+        for _ in range(rounds):
+            shares = weights[:, None] * p
+            gathered = (n * shares / shares.sum(0)).sum(1) + prior
+            weights = gathered / gathered.sum()
+        weights = np.where(prior > 0, np.maximum(weights, 1e-4), 0)
+        out[b] = weights / weights.sum()
+    return out
+
+
+@pytest.mark.parametrize("head_words", [131_072, 50])
+def test_true_word_pairs(middle, odd_docs, head_words):
+    docs = middle.select("doc_id", "text").limit(300).unionByName(odd_docs.select((F.col("doc_id") + 10**6).alias("doc_id"), "text")).cache()
+    held_out = fold("doc_id") == 1
+    model = lm.fit_words(docs.filter(~held_out), fold("doc_id", 25) < 5, head_words)
+    rows = docs.collect()
+    told = {r.doc_id: r.out for r in docs.select("doc_id", (fold("doc_id", 25) < 5).alias("out")).collect()}
+    weights = expected_weights([r for r in rows if crc(r.doc_id) != 1], lambda r: told[r.doc_id])
+    for b, w in weights.items():
+        assert np.allclose(model.weights[b], w, atol=1e-6)
+    expected = expected_scores(rows, lambda r: crc(r.doc_id) != 1, model.weights)
+    found = sorted((repr(r.doc_id), r.n_tokens, r.n_known, r.train_tokens, r.base_score, r.score) for r in lm.score_words(docs, model).collect())
+    for a, b in zip(found, expected, strict=True):
+        assert a[:4] == b[:4] and abs(a[4] - b[4]) < 1e-6 * max(1, -b[4]) and abs(a[5] - b[5]) < 1e-6 * max(1, -b[5])
+
+
+def test_rare_words_have_pairs_of_their_own(spark):
+    """Two rare words of equal length, each always followed by its own word."""
+    common = " ".join(f"w{k} w{k}" for k in range(600))
+    texts = [common, common] + ["qqa zza", "qqb zzb"] * 20
+    docs = spark.createDataFrame(list(enumerate(texts)) + [(1000, "qqa zza"), (1001, "qqa zzb")], "doc_id long, text string")
+    model = lm.fit_words(docs.filter("doc_id < 1000"), fold("doc_id", 25) < 5)
+    rows = {r.doc_id: r.score for r in lm.score_words(docs, model).collect()}
+    assert rows[1000] > rows[1001] + 0.5
+
+
+def test_word_pairs_on_no_rows(no_docs, odd_docs):
+    model = lm.fit_words(no_docs, F.lit(False))
+    assert model.tokens == 0 and lm.score_words(no_docs, model).collect() == []
+    assert all(math.isfinite(r.score) and r.n_known == 0 for r in lm.score_words(odd_docs, model).collect())
