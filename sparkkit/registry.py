@@ -21,6 +21,8 @@ from sparkkit.sources import delimited, schemas, sinks, tagged
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
+#: Fits at the operators' defaults, which no unrolled SQL can follow; tested against a brute-force version.
+FULL_FITS: dict[str, Query] = {}
 
 
 def query(fn: Query) -> Query:
@@ -28,6 +30,11 @@ def query(fn: Query) -> Query:
     return fn
 
 
+def full_fit(fn: Query) -> Query:
+    FULL_FITS[fn.__name__] = fn
+    return fn
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
@@ -718,9 +725,10 @@ def drawn_categories(spark, folder):
     return long_ints(mixture.top_categories(named, "lang"), "cluster")
 
 
-def _clusters(spark, folder, rounds=5):
+def _clusters(spark, folder):
+    """The sampler at its defaults: 20 clusters, 200 rounds."""
     lines, words = _post_frames(spark, folder)
-    state, assigned = posts.cluster(lines, words, clusters=4, rounds=rounds, seed=7)
+    state, assigned = posts.cluster(lines, words, seed=7)
     return lines, words, state, assigned
 
 
@@ -814,3 +822,31 @@ def logit_split_eval(spark, folder):
     """Fit on the labelled documents, evaluate on all others."""
     _, predicted = documents.classify(labelled(spark, folder), unlabelled(spark, folder), rounds=8)
     return rounded(logistic.f1(logistic.confusion(predicted, "label")), 9, "precision", "recall", "f1")
+
+
+@full_fit
+def logit_full_coefficients(spark, folder):
+    """Coefficients of the dictionary words after 400 rounds or the stop rule."""
+    model, words = _fit(spark, folder)
+    joined = words.select("word", "pos").join(F.broadcast(model.frame(spark)), "pos")
+    return rounded(joined.select("word", "coefficient"), 9, "coefficient")
+
+
+@full_fit
+def logit_full_trace(spark, folder):
+    """Loss, rate and step length of all rounds up to the stop."""
+    trace = _fit(spark, folder)[0].trace_frame(spark)
+    return long_ints(rounded(trace, 6, "loss", "rate", "step"), "round")
+
+
+@full_fit
+def logit_full_top_words(spark, folder):
+    model, words = _fit(spark, folder)
+    return rounded(documents.strongest_words(model, words), 6, "coefficient")
+
+
+@full_fit
+def logit_full_split_eval(spark, folder):
+    """Fit to the end on the labelled documents, evaluate on all others."""
+    _, predicted = documents.classify(labelled(spark, folder), unlabelled(spark, folder))
+    return rounded(logistic.f1(logistic.confusion(predicted, "label")), 9, "precision", "recall", "f1")
