@@ -214,7 +214,7 @@ def sample_labelled(docs: DataFrame, labels: DataFrame, max_docs: int = 10_000)
 
 
 def score(docs: DataFrame, lexicon: Lexicon, threshold: float = 0.5, more: tuple[str, ...] = ()) -> DataFrame:
-    """doc_id, ``score`` (0 to 1), ``predicted`` (1: toxic), ``found`` (entries, at most 100 shown) of every whole text, and the columns ``more``.
+    """doc_id, ``score`` (0 to 1), ``predicted`` (1: toxic), ``found`` (all distinct entries) of every whole text, and the columns ``more``.
 
     Null and empty texts have no match and the lowest score. Repeated rows are scored each, an
     empty table stays empty, columns not named are left out.
@@ -231,7 +231,7 @@ def score(docs: DataFrame, lexicon: Lexicon, threshold: float = 0.5, more: tuple
                 a, b = signals(folded, here)
                 z = max(-500.0, min(500.0, bias + by_sum * a + by_length * b))
                 scores.append(1 / (1 + math.exp(-z)))
-                found.append(sorted({m[3] for m in here})[:100])
+                found.append(sorted({m[3] for m in here}))
             columns = [block.column("doc_id"), pa.array(scores, pa.float64()), pa.array([int(s >= threshold) for s in scores], pa.int32()), pa.array(found, pa.list_(pa.string()))]
             yield pa.RecordBatch.from_arrays([*columns, *(block.column(f"more_{k}") for k in range(len(more)))], ["doc_id", "score", "predicted", "found", *(f"more_{k}" for k in range(len(more)))])
 

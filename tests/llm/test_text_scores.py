@@ -115,6 +115,13 @@ def test_folding():
     assert toxicity.fold_text("1d10t, іdіоt​!") == "  idiot  idiot  ".replace("  idiot  idiot  ", " idiot  idiot  ")
 
 
+def test_all_distinct_entries_are_found(spark):
+    words = [f" {a}{b}{c} " for a in "abcdef" for b in "mnoprs" for c in "tuvwx"]
+    docs = spark.createDataFrame([(1, " ".join(w.strip() for w in words))], "doc_id long, text string")
+    row = toxicity.score(docs, toxicity.Lexicon(dict.fromkeys(words, 1.0))).first()
+    assert len(words) > 100 and row.found == sorted(words)
+
+
 def test_matches_and_exceptions():
     lexicon = toxicity.Lexicon({" scum ": 3.0, " lowe": 2.0}, (" pond scum ",))
     automaton, covers = lexicon.automaton(), frozenset(lexicon.exceptions)
