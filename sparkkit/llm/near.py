@@ -172,7 +172,7 @@ def link(docs: DataFrame, words: int = 5, percent: int = 80, block: int = 512, c
     of their own and are stored once, so that the number stays.
 
     1. Each text gives its set's digest and 40 band keys of a 200-slot signature. At a similarity
-       of 0.8, all 40 bands miss with a chance of about 1e-7.
+       of 0.8, all 40 bands miss with a chance of up to about 1e-5 (a reviewer's simulation).
     2. Rows of equal sets become one class. Buckets are formed over classes only.
     3. In each bucket the class with the largest sum of bucket sizes is the hub, and only the
        pairs (hub, other) are candidates, at most one per bucket row.
@@ -182,7 +182,7 @@ def link(docs: DataFrame, words: int = 5, percent: int = 80, block: int = 512, c
        shares, and compared in squares of ``block`` rows: first by signature (a pair must share a band,
        and agree in 0.62 of the slots, 0.5 for small sets), then on whole sets, leaving out pairs
        that links have tied together by then. Only links that tie something come out. Nothing is
-       capped, so every similar pair that shares a bucket ends up in one component.
+       capped, so every similar pair that shares a bucket and agrees in so many slots ends up in one component.
 
     Any side of a join may be a large part of the rows, so all are joined by sorting, with large
     partitions split; none is broadcast because it happens to be small.
