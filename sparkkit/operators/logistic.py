@@ -7,11 +7,13 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sparkkit.functions.scalars import log1p_exp, ratio, sigmoid
 from sparkkit.operators.regression import BoldDriver
+from sparkkit.operators.vocabulary import by_position
 from sparkkit.session import materialize
 
 
@@ -29,16 +31,9 @@ class LogisticModel:
         return spark.createDataFrame(self.trace, "round int, loss double, rate double, step double")
 
 
-def sparse_rows(vectors: DataFrame, label: str, doc: str = "doc_id", value: str = "tfidf") -> DataFrame:
-    """``doc, label, idx, val``: one row per document, at most one entry per dictionary word."""
-    entries = F.sort_array(F.collect_list(F.struct(F.col("pos").alias("p"), F.col(value).alias("v"))))
-    packed = vectors.groupBy(doc, label).agg(entries.alias("entries"))
-    return packed.select(
-        doc,
-        F.col(label).cast("double").alias("label"),
-        F.col("entries.p").cast("array<int>").alias("idx"),
-        F.col("entries.v").alias("val"),
-    )
+def sparse_rows(rows: DataFrame, label: str, doc: str = "doc_id", value: str = "val") -> DataFrame:
+    """``doc, label, idx, val``: the documents of ``vocabulary.tfidf_rows`` that hold a dictionary word."""
+    return rows.where(F.size("idx") > 0).select(doc, F.col(label).cast("double").alias("label"), "idx", F.col(value).alias("val"))
 
 
 def _gradient_step(size: int, shared):
@@ -110,18 +105,31 @@ def fit(
     return LogisticModel(weights, trace)
 
 
-def linear_scores(
-    vectors: DataFrame, coefficients: DataFrame, label: str, doc: str = "doc_id", docs: DataFrame | None = None
-) -> DataFrame:
-    """``doc, label, z``; the coefficients have at most one row per dictionary word.
+def _dot(weights: np.ndarray):
+    """z of every row: the sum over its positions of value times weight, 0 beyond the weights."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            idx = batch.column("idx")
+            lengths, at = idx.value_lengths().to_numpy(), idx.flatten().to_numpy()
+            known = at < len(weights)
+            weight = np.where(known, weights[np.where(known, at, 0)] if len(weights) else 0.0, 0.0)
+            row = np.repeat(np.arange(len(batch)), lengths)
+            z = np.bincount(row, weights=batch.column("val").flatten().to_numpy() * weight, minlength=len(batch))
+            yield pa.RecordBatch.from_arrays([batch.column("doc"), batch.column("label"), pa.array(z)], ["doc", "label", "z"])
+
+    return run
+
+
+def linear_scores(rows: DataFrame, coefficients: DataFrame, label: str, doc: str = "doc_id") -> DataFrame:
+    """``doc, label, z`` of every row of ``vocabulary.tfidf_rows``; documents without a dictionary word have z = 0.
 
-    With ``docs`` the documents without any dictionary word stay, with z = 0.
+    The coefficients have at most one row per dictionary word and are sent to all tasks.
     """
-    joined = vectors.join(F.broadcast(coefficients), "pos")
-    scores = joined.groupBy(doc, label).agg(F.sum(F.col("tfidf") * F.col("coefficient")).alias("z"))
-    if docs is None:
-        return scores
-    return docs.select(doc, label).join(scores.drop(label), doc, "left").withColumn("z", F.coalesce("z", F.lit(0.0)))
+    kinds = dict(rows.dtypes)
+    named = rows.select(F.col(doc).alias("doc"), F.col(label).alias("label"), "idx", "val")
+    scored = named.mapInArrow(_dot(by_position(coefficients, "coefficient")), f"doc {kinds[doc]}, label {kinds[label]}, z double")
+    return scored.withColumnsRenamed({"doc": doc, "label": label})
 
 
 def log_loss(scores: DataFrame, label: str, z: str = "z") -> DataFrame:

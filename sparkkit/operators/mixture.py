@@ -55,20 +55,9 @@ def initial_state(clusters: int, size: int, alpha: float = 0.1, beta: float = 0.
     return MixtureState(pi, mu, seed)
 
 
-def document_rows(counts: DataFrame, doc: str = "doc_id", docs: DataFrame | None = None) -> DataFrame:
-    """``doc, idx, cnt``: one row per document, at most one entry per dictionary word.
-
-    With ``docs`` the documents without any dictionary word stay, as empty rows.
-    """
-    entries = F.sort_array(F.collect_list(F.struct(F.col("pos").alias("p"), F.col("cnt").alias("c"))))
-    packed = counts.groupBy(doc).agg(entries.alias("entries"))
-    if docs is not None:
-        packed = docs.select(doc).distinct().join(packed, doc, "left")
-    return packed.select(
-        doc,
-        F.coalesce(F.col("entries.p").cast("array<int>"), F.array().cast("array<int>")).alias("idx"),
-        F.coalesce(F.col("entries.c").cast("array<int>"), F.array().cast("array<int>")).alias("cnt"),
-    )
+def document_rows(rows: DataFrame, doc: str = "doc_id") -> DataFrame:
+    """``doc, idx, cnt`` of ``vocabulary.term_rows``: one row per document, also of those without a dictionary word."""
+    return rows.select(doc, "idx", F.col("cnt").cast("array<int>").alias("cnt"))
 
 
 def uniform(seed: int, number: int, doc: str = "doc_id") -> Column:

@@ -55,11 +55,11 @@ def vote_all(
 ) -> DataFrame:
     """``query, category, num``: the vote for every row of ``queries`` (``query, text``) that holds a dictionary word."""
     words = materialize(vocabulary.dictionary(docs, text, size), "dictionary")
-    idf = materialize(vocabulary.inverse_frequency(vocabulary.document_frequency(docs, words, text), docs.count()), "idf")
+    rows = materialize(vocabulary.term_rows(docs, words, doc, text), "term-rows")
+    idf = materialize(vocabulary.inverse_frequency(vocabulary.frequency_from_rows(rows), rows.count()), "idf")
     asked = vocabulary.weigh(vocabulary.term_frequency(vocabulary.counted_terms(queries, words, "query")), idf)
     weights = materialize(asked.select("query", "pos", F.col("tfidf").alias("weight")), "weights")
-    vectors = vocabulary.weigh(vocabulary.term_frequency(vocabulary.counted_terms(docs, words, doc, text)), idf)
-    found = materialize(neighbors.nearest(vectors, weights, k, doc, metric), "nearest")
+    found = neighbors.nearest(vocabulary.weigh_rows(rows, idf), weights, k, doc, metric)
     return neighbors.category_votes(found, links, k, doc)
 
 
@@ -90,11 +90,8 @@ def classify(
     columns = [doc, text, label]
     corpus = both_splits(train.select(*columns), test.select(*columns))
     words = materialize(vocabulary.dictionary(corpus, text, size), "dictionary")
-    vectors = vocabulary.tfidf(corpus, words, corpus.count(), doc, text, keep=[label, "split"])
-    vectors = materialize(vectors.select(doc, label, "split", "pos", "tfidf"), "vectors")
-    rows = logistic.sparse_rows(vectors.where("split = 'train'"), label, doc)
-    model = logistic.fit(rows, size, **fit_options)
-    scores = logistic.linear_scores(
-        vectors.where("split = 'test'"), model.frame(train.sparkSession), label, doc, test
-    )
+    rows = vocabulary.tfidf_rows(corpus, words, corpus.count(), doc, text, keep=[label, "split"])
+    rows = materialize(rows, "vectors")
+    model = logistic.fit(logistic.sparse_rows(rows.where("split = 'train'"), label, doc), size, **fit_options)
+    scores = logistic.linear_scores(rows.where("split = 'test'"), model.frame(train.sparkSession), label, doc)
     return model, logistic.predict(scores, threshold)

@@ -26,14 +26,14 @@ def post_dictionary(docs: DataFrame, size: int = vocabulary.DICTIONARY_SIZE) ->
 
 
 def post_counts(docs: DataFrame, words: DataFrame) -> DataFrame:
-    """``doc_id, pos, cnt``; the stricter tokeniser decides which words of a post count."""
-    return vocabulary.term_counts(docs, words, tokeniser=explode_strict)
+    """``vocabulary.term_rows`` of posts; the stricter tokeniser decides which words of a post count."""
+    return vocabulary.term_rows(docs, words, tokeniser=explode_strict)
 
 
 def post_map(docs: DataFrame, words: DataFrame, doc_id: str, below: int = 100) -> DataFrame:
     """Count map of one post, positions under ``below``."""
     post = docs.where(F.col("doc_id") == doc_id)
-    return vocabulary.count_map(post_counts(post, words), below=below, docs=post)
+    return vocabulary.count_map(post_counts(post, words), below=below)
 
 
 def cluster(
@@ -47,7 +47,7 @@ def cluster(
     size: int = vocabulary.DICTIONARY_SIZE,
 ) -> tuple[mixture.MixtureState, DataFrame]:
     """Mixture weights and the cluster of every post, also of posts without a dictionary word."""
-    rows = mixture.document_rows(post_counts(docs, words), docs=docs)
+    rows = mixture.document_rows(post_counts(docs, words))
     return mixture.gibbs(rows, clusters, size, rounds, alpha, beta, seed)
 
 

@@ -556,7 +556,7 @@ def doc_freq(spark, folder):
 
 @query
 def tf(spark, folder):
-    counts = vocabulary.term_counts(docs(spark, folder), _words(spark, folder))
+    counts = vocabulary.counted_terms(docs(spark, folder), _words(spark, folder))
     return long_ints(vocabulary.term_frequency(counts), "pos")
 
 
@@ -647,7 +647,7 @@ def _post_frames(spark, folder):
 def sparse_counts(spark, folder):
     """Count maps of all posts, positions under 100, as text."""
     lines, words = _post_frames(spark, folder)
-    maps = vocabulary.count_map(posts.post_counts(lines, words), below=100, docs=lines)
+    maps = vocabulary.count_map(posts.post_counts(lines, words), below=100)
     entry = F.transform(
         F.array_sort(F.map_entries("counts")), lambda e: F.concat_ws(":", e["key"].cast("string"), e["value"].cast("string"))
     )
@@ -655,10 +655,10 @@ def sparse_counts(spark, folder):
 
 
 def _language_model(spark, folder):
-    """Counts of the documents, and class and word weights with one smoothed class per language."""
+    """Term rows of the documents, and class and word weights with one smoothed class per language."""
     corpus, words = docs(spark, folder), _words(spark, folder)
-    counts = materialize(vocabulary.term_counts(corpus, words, keep=["lang"]), "term-counts")
-    per_word = counts.groupBy("lang", "pos").agg(F.sum("cnt").alias("n"))
+    counts = materialize(vocabulary.term_rows(corpus, words, keep=["lang"]), "term-rows")
+    per_word = vocabulary.long_form(counts).groupBy("lang", "pos").agg(F.sum("cnt").alias("n"))
     totals = {row.lang: row.n for row in per_word.groupBy("lang").agg(F.sum("n").alias("n")).collect()}
     sizes = {row.lang: row.num for row in grouping.count_by(corpus, ["lang"]).collect()}
     size, every = words.count(), sum(sizes.values())
@@ -679,7 +679,7 @@ def mixture_posterior(spark, folder):
     frame = spark.createDataFrame(list(shares.items()), "cluster string, share double")
     priors = frame.select("cluster", F.ln("share").alias("log_pi"))
     logs = weights.select("cluster", "pos", F.ln("mu").alias("log_mu"))
-    return rounded(mixture.posterior(counts.drop("lang"), logs, priors, docs=docs(spark, folder)), 6, "p")
+    return rounded(mixture.posterior(vocabulary.long_form(counts).select("doc_id", "pos", "cnt"), logs, priors, docs=docs(spark, folder)), 6, "p")
 
 
 def _language_state(weights, shares, size) -> mixture.MixtureState:
@@ -696,7 +696,7 @@ def mixture_draw(spark, folder):
     """One draw of a cluster per document under the language model."""
     counts, words, weights, shares = _language_model(spark, folder)
     state = _language_state(weights, shares, words.count())
-    return long_ints(mixture.assignments(mixture.document_rows(counts, docs=docs(spark, folder)), state), "cluster")
+    return long_ints(mixture.assignments(mixture.document_rows(counts), state), "cluster")
 
 
 @query
@@ -704,7 +704,7 @@ def mixture_sweep(spark, folder):
     """Word counts and sizes of the clusters after one draw."""
     counts, words, weights, shares = _language_model(spark, folder)
     state = _language_state(weights, shares, words.count())
-    return long_ints(mixture.sweep(mixture.document_rows(counts, docs=docs(spark, folder)), state), "cluster", "pos", "n")
+    return long_ints(mixture.sweep(mixture.document_rows(counts), state), "cluster", "pos", "n")
 
 
 @query
@@ -720,7 +720,7 @@ def drawn_categories(spark, folder):
     """Commonest languages of every drawn cluster with their shares."""
     counts, words, weights, shares = _language_model(spark, folder)
     state = _language_state(weights, shares, words.count())
-    drawn = mixture.assignments(mixture.document_rows(counts, docs=docs(spark, folder)), state)
+    drawn = mixture.assignments(mixture.document_rows(counts), state)
     named = drawn.join(docs(spark, folder).select("doc_id", "lang"), "doc_id")
     return long_ints(mixture.top_categories(named, "lang"), "cluster")
 
@@ -759,8 +759,8 @@ def _fixed_coefficients(words: DataFrame) -> DataFrame:
 
 def _fixed_scores(spark, folder) -> DataFrame:
     corpus, words = docs(spark, folder), _words(spark, folder)
-    vectors = vocabulary.tfidf(corpus, words, corpus.count(), keep=["label"])
-    return logistic.linear_scores(vectors, _fixed_coefficients(words), "label", docs=corpus)
+    rows = vocabulary.tfidf_rows(corpus, words, corpus.count(), keep=["label"])
+    return logistic.linear_scores(rows, _fixed_coefficients(words), "label")
 
 
 @query
@@ -791,8 +791,7 @@ def logit_false_positives(spark, folder):
 
 def _fit(spark, folder, **options):
     corpus, words = docs(spark, folder), _words(spark, folder)
-    vectors = vocabulary.tfidf(corpus, words, corpus.count(), keep=["label"])
-    rows = logistic.sparse_rows(vectors, "label")
+    rows = logistic.sparse_rows(vocabulary.tfidf_rows(corpus, words, corpus.count(), keep=["label"]), "label")
     return logistic.fit(rows, vocabulary.DICTIONARY_SIZE, **options), words
 
 

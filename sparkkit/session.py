@@ -59,3 +59,11 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     path = new_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def bounded_batches(df: DataFrame, rows: int = 1000) -> DataFrame:
+    """``df``, after making its session hand at most ``rows`` rows at once to Python: whole texts are long rows."""
+    conf, key = df.sparkSession.conf, "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(conf.get(key)) <= rows:
+        conf.set(key, str(rows))
+    return df

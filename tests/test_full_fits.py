@@ -39,7 +39,7 @@ def brute_force(rows, size):
 def test_logistic_fit_runs_to_its_end(spark, folder):
     corpus = registry.docs(spark, folder)
     words = vocabulary.dictionary(corpus)
-    rows = logistic.sparse_rows(vocabulary.tfidf(corpus, words, corpus.count(), keep=["label"]), "label").collect()
+    rows = logistic.sparse_rows(vocabulary.tfidf_rows(corpus, words, corpus.count(), keep=["label"]), "label").collect()
     _, expected = brute_force(rows, vocabulary.DICTIONARY_SIZE)
     found = registry.FULL_FITS["logit_full_trace"](spark, folder).orderBy("round").collect()
     assert len(found) == len(expected) > 8

@@ -1,10 +1,13 @@
 import math
+import re
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
+from sparkkit.functions import tokens
 from sparkkit.operators import logistic, mixture, neighbors, vocabulary
 from sparkkit.plans import documents, posts
 
@@ -37,6 +40,11 @@ def vectors(docs, words):
     return vocabulary.tfidf(docs, words, docs.count(), keep=["label"]).cache()
 
 
+@pytest.fixture(scope="module")
+def packed(docs, words):
+    return vocabulary.tfidf_rows(docs, words, docs.count(), keep=["label"]).cache()
+
+
 def dense():
     """TF-IDF by plain numpy: ids, labels, matrix, idf, words by position."""
     data = [(d, t.split()) for d, t in corpus()]
@@ -58,6 +66,10 @@ def test_dictionary_order_and_size(docs, words):
 
 def test_vectors_match_dense(vectors, docs, words):
     ids, labels, tf, weights, idf, _ = dense()
+    rows = vocabulary.tfidf_rows(docs, words, docs.count()).collect()
+    assert len(rows) == docs.count() and {(r.doc_id, p): pytest.approx(v) for r in rows for p, v in zip(r.idx, r.val)} == {
+        (r.doc_id, r.pos): r.tfidf for r in vectors.collect()
+    }
     got = {(r.doc_id, r.pos): (r.tf, r.tfidf) for r in vectors.collect()}
     want = {(d, p): (tf[i, p], weights[i, p]) for i, d in enumerate(ids) for p in range(6) if tf[i, p] > 0}
     assert got.keys() == want.keys()
@@ -74,14 +86,61 @@ def test_texts_are_not_shuffled(docs, words, spark):
         assert "hashpartitioning(doc_id" not in df._jdf.queryExecution().executedPlan().toString()
 
 
-def test_counts_of_runs_across_batches(docs, words, spark):
-    key, before = "spark.sql.execution.arrow.maxRecordsPerBatch", spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
-    whole = sorted(map(tuple, vocabulary.counted_terms(docs.coalesce(1), words).collect()))
+def test_counts_in_any_batches_and_without_hints(docs, words, spark):
+    """A document's terms are its own row's: neither batches nor the order of rows nor join plans can change them."""
+    changed = {
+        "spark.sql.execution.arrow.maxRecordsPerBatch": "3", "spark.sql.optimizer.disableHints": "true",
+        "spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+    }
+    frames = lambda: [
+        sorted(map(tuple, vocabulary.counted_terms(docs.coalesce(1), words).collect())),
+        sorted((r.doc_id, r.pos, round(r.tfidf, 12)) for r in vocabulary.tfidf(docs, words, docs.count()).collect()),
+        sorted((r.label, r.word, round(r.avg_tf, 12)) for r in vocabulary.average_frequency(docs, words, ["court", "gene"], "label").collect()),
+    ]
+    whole, before = frames(), {key: spark.conf.get(key, None) for key in changed}
     try:
-        spark.conf.set(key, "3")
-        assert sorted(map(tuple, vocabulary.counted_terms(docs.coalesce(1), words).collect())) == whole
+        for key, value in changed.items():
+            spark.conf.set(key, value)
+        assert frames() == whole
     finally:
-        spark.conf.set(key, before)
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+
+
+def test_term_rows_of_odd_texts(words, spark):
+    texts = [None, "", "12 34", "court", "Court, COURT gene\u212a the thé", "law\x00law", "a" * 3000, "the " * 4000 + "law"]
+    df = spark.createDataFrame([(k, t, [k]) for k, t in enumerate(texts)] + [(3, "law law", [9])], "doc_id int, text string, idx array<int>")
+    place = {r.word: r.pos for r in words.collect()}
+    found = vocabulary.term_rows(df.repartition(3), words).collect()
+    got = sorted((r.doc_id, tuple(zip(r.idx, r.cnt)), r.total) for r in found)
+    want = []
+    for k, t in [*enumerate(texts), (3, "law law")]:
+        held = Counter(place[w.lower()] for w in re.findall("[A-Za-z]+", t or "") if w.lower() in place)
+        want.append((k, tuple(sorted(held.items())), sum(held.values())))
+    assert got == sorted(want)
+    assert vocabulary.term_rows(df.where("false"), words).collect() == []
+    assert {r.doc_id for r in vocabulary.long_form(vocabulary.term_rows(df, words)).collect()} == {w[0] for w in want if w[2]}
+
+
+@pytest.mark.parametrize("tokeniser", [tokens.explode_letters, tokens.explode_trimmed, tokens.explode_strict])
+def test_words_as_rows_arrays_and_splits(spark, tokeniser):
+    texts = [None, "", " ", "Dog; it's 3 birds", "é\u212a\u0130x Ab-cd  (ef) gh\n\tij", "ΣΑΣ don't ...x... <b>y</b> __z1 a b", "one  two\u2003three\x1cfour"]
+    df = spark.createDataFrame([(k, t) for k, t in enumerate(texts)], "k int, text string")
+    per = {k: sorted(r.word for r in tokeniser(df).collect() if r.k == k) for k in range(len(texts))}
+    arrays = {r.k: sorted(r.w or []) for r in df.select("k", tokeniser.words("text").alias("w")).collect()}
+    assert arrays == per
+    if tokeniser.split:
+        whole = pa.array(["skipped", *texts])
+        for column in (pa.array(texts), whole.slice(1), whole.slice(1).cast(pa.large_string())):
+            assert [sorted(w for w in ws if w) for ws in tokeniser.split(column).to_pylist()] == list(per.values())
+    counted = {r.word: r.cnt for r in vocabulary.word_count(df, tokeniser=tokeniser).collect()}
+    assert counted == Counter(w for ws in per.values() for w in ws)
+
+
+def test_too_large_a_dictionary_is_told(docs, words, monkeypatch):
+    monkeypatch.setattr(vocabulary, "LARGEST_DICTIONARY", 5)
+    with pytest.raises(ValueError, match="at most 5 words"):
+        vocabulary.term_rows(docs, words)
 
 
 @pytest.mark.parametrize("metric", ["dot", "cosine"])
@@ -95,11 +154,40 @@ def test_votes_of_many_queries_match_votes_of_one(docs, spark, metric):
         assert many == one or (query == 3 and not many)
 
 
-def test_nearest_in_blocks_of_queries(docs, words, vectors, spark):
-    weights = spark.createDataFrame([(q, q % 6, 1.0 + q) for q in range(7)], "query int, pos int, weight double")
-    whole = sorted(map(tuple, neighbors.nearest(vectors, weights, 3).collect()))
-    assert sorted(map(tuple, neighbors.nearest(vectors, weights, 3, block=2).collect())) == whole
+def test_nearest_in_blocks_of_queries(docs, packed, spark, monkeypatch):
+    weights = spark.createDataFrame([(q, q % 6, 1.0 + q) for q in range(7)] + [(2, 5, 0.5)], "query int, pos int, weight double")
+    whole = sorted(map(tuple, neighbors.nearest(packed, weights, 3).collect()))
+    for limits in ({"queries": 2}, {"words": 3}):
+        assert sorted(map(tuple, neighbors.nearest(packed, weights, 3, **limits).collect())) == whole
+    monkeypatch.setattr(neighbors, "_CELLS", 20)
+    assert sorted(map(tuple, neighbors.nearest(packed, weights, 3).collect())) == whole
     assert len({r[0] for r in whole}) == 7
+    vectors = {r.doc_id: dict(zip(r.idx, r.val)) for r in packed.collect() if r.idx}
+    for q in range(7):
+        asked = {r.pos: r.weight for r in weights.collect() if r["query"] == q}
+        scores = sorted((-round(sum(w * v.get(p, 0) for p, w in asked.items()), 9), d) for d, v in vectors.items())[:3]
+        assert [(r[1], pytest.approx(r[2])) for r in sorted(whole, key=lambda r: (r[0], -r[2], r[1])) if r[0] == q] == [(d, -s) for s, d in scores]
+    assert neighbors.nearest(packed, weights.where("false"), 3).collect() == []
+
+
+def test_votes_read_texts_twice_for_any_number_of_queries(docs, spark, monkeypatch):
+    """Once for the dictionary, once for the terms; three blocks of queries go through stored rows."""
+    read = spark.sparkContext.accumulator(0)
+
+    def seen(batches):
+        for batch in batches:
+            read.add(len(batch))
+            yield batch
+
+    counted = docs.select("doc_id", "text").mapInArrow(seen, "doc_id string, text string")
+    queries = spark.createDataFrame([(q, f"court gene {WORDS[q]}") for q in range(6)], "query int, text string")
+    links = docs.select("doc_id", F.lit("all").alias("category"))
+    blocks = []
+    whole = neighbors._search
+    monkeypatch.setattr(neighbors, "_search", lambda *more: blocks.append(1) or whole(*more))
+    monkeypatch.setattr(neighbors.nearest, "__defaults__", ("doc_id", "dot", 2, 10**6))
+    assert documents.vote_all(counted, links, queries, 4, size=6).count() == 6
+    assert len(blocks) >= 2 and read.value == 2 * docs.count()
 
 
 def test_average_frequency_per_class(docs, words):
@@ -157,9 +245,9 @@ def plain_descent(x, y, rounds, tolerance, size, rate=0.1):
 
 
 @pytest.mark.parametrize("rounds, tolerance", [(25, 1e-4), (60, 0.05)])
-def test_fit_matches_numpy(vectors, rounds, tolerance, spark):
+def test_fit_matches_numpy(packed, rounds, tolerance, spark):
     _, labels, _, weights, _, _ = dense()
-    model = logistic.fit(logistic.sparse_rows(vectors, "label").repartition(3), 6, rounds=rounds, tolerance=tolerance)
+    model = logistic.fit(logistic.sparse_rows(packed, "label").repartition(3), 6, rounds=rounds, tolerance=tolerance)
     w, losses = plain_descent(weights, labels, rounds, tolerance, 6)
     assert len(model.trace) == len(losses)
     assert [t[1] for t in model.trace] == pytest.approx(losses, rel=1e-9)
@@ -167,7 +255,7 @@ def test_fit_matches_numpy(vectors, rounds, tolerance, spark):
     assert model.trace_frame(spark).count() == len(losses)
 
 
-def test_fit_approaches_library_loss(vectors, spark):
+def test_fit_approaches_library_loss(packed, spark):
     from pyspark.ml.classification import LogisticRegression
     from pyspark.ml.linalg import Vectors
 
@@ -175,7 +263,7 @@ def test_fit_approaches_library_loss(vectors, spark):
     rows = spark.createDataFrame([(float(b), Vectors.dense(a)) for a, b in zip(weights, labels)], ["label", "features"])
     best = LogisticRegression(regParam=1e-3, fitIntercept=False, standardization=False, maxIter=200).fit(rows)
     model = logistic.fit(
-        logistic.sparse_rows(vectors, "label"), 6, rate=5.0, rounds=200, tolerance=1e-6, l2=1e-3 * len(labels)
+        logistic.sparse_rows(packed, "label"), 6, rate=5.0, rounds=200, tolerance=1e-6, l2=1e-3 * len(labels)
     )
     assert np.sign(model.coefficients).tolist() == np.sign(best.coefficients.toArray()).tolist()
 
@@ -244,7 +332,7 @@ def test_posterior_matches_numpy(spark, post_frames):
     size = words.count()
     state = mixture.initial_state(3, size, seed=1)
     log_pi, log_mu = state.logs()
-    counts = posts.post_counts(lines, words)
+    counts = vocabulary.long_form(posts.post_counts(lines, words)).select("doc_id", "pos", "cnt")
     weights = spark.createDataFrame([(j, p, float(log_mu[j, p])) for j in range(3) for p in range(size)], "cluster int, pos int, log_mu double")
     priors = spark.createDataFrame([(j, float(log_pi[j])) for j in range(3)], "cluster int, log_pi double")
     got = mixture.posterior(counts, weights, priors).collect()
