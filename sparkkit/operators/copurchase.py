@@ -1,20 +1,17 @@
 """The item pairs most often held by the same owner, exactly and without large-group joins.
 
-The count of a pair is the sum over owners of the product of the two item counts.
-Owners with few items are joined with themselves, which costs at most ``large``
-rows per row. For an owner with more items only two kinds of pair are formed:
-pairs of items that large owners alone could lift to the bar, and pairs that
-smaller owners have already brought close to it.
+The count of a pair is the sum over owners of the product of the two item counts, so it is at most the product of
+the norms of the items' counts. Pairs are formed through owners from small to large (``pairs.top_pairs``): in an owner with very many items
+only between those whose norms over the larger owners can still pass the bar.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sparkkit.operators.grouping import count_by
-from sparkkit.operators.ranking import top_k, top_k_per_group
-from sparkkit.session import materialize
+from sparkkit.operators.pairs import top_pairs
 
 
 def owner_items(rows: DataFrame, owner: str, item: str, distinct: bool = False) -> DataFrame:
@@ -24,80 +21,38 @@ def owner_items(rows: DataFrame, owner: str, item: str, distinct: bool = False)
     return counts.withColumn("n", F.lit(1).cast("bigint")) if distinct else counts
 
 
-def _pairs(left: DataFrame, right: DataFrame) -> DataFrame:
-    """``a, b, na, nb``: an item of ``left`` next to a larger item of ``right`` held by the same owner."""
-    one = left.select("owner", F.col("item").alias("a"), F.col("n").alias("na"))
-    other = right.select("owner", F.col("item").alias("b"), F.col("n").alias("nb"))
-    return one.join(other, "owner").where("a < b")
+class Products:
+    """Items as x, owners as keys; ``rest`` is the norm of an item's counts. Counts are whole numbers, so half of one is room enough."""
 
+    def amount(self) -> Column:
+        return F.sum(F.col("w").cast("double") * F.col("w"))
 
-def _summed(pairs: DataFrame) -> DataFrame:
-    return pairs.groupBy("a", "b").agg(F.sum(F.col("na") * F.col("nb")).alias("num"))
+    def rest(self, total: Column) -> Column:
+        return F.sqrt(total)
 
+    def hopeful(self, bar: float, most: float, strict: bool) -> Column:
+        reach = F.col("rest") * F.lit(most)
+        return reach > bar + 0.5 if strict else reach >= bar - 0.5
 
-def _pair_sums(held: DataFrame) -> DataFrame:
-    """``a, b, num`` over all item pairs a < b of each owner."""
-    held = held.select("owner", "item", "n")
-    return _summed(_pairs(held, held))
+    def fitting(self, bar: float) -> Column:
+        return F.lit(True)
 
+    def score(self, shared: Column) -> Column:
+        return shared
 
-def _bar(k: int, *known: DataFrame) -> tuple[int, object]:
-    """Count and first item of the k-th best of known pairs; no other pair that only
-    equals the count and starts later can be among the k best."""
-    bars = []
-    for pairs in known:
-        best = top_k(pairs, k, "num", ["a", "b"]).collect()
-        if len(best) == k:
-            bars.append((best[-1].num, best[-1].a))
-    highest = max((num for num, _ in bars), default=0)
-    return highest, min((first for num, first in bars if num == highest), default=None)
+    def reach(self, shared: Column, rest_a: Column, rest_b: Column) -> Column:
+        return shared + rest_a * rest_b
 
+    def reaches(self, score: Column, bar: float, strict: bool) -> Column:
+        return score > bar + 0.5 if strict else score >= bar - 0.5
 
-def pair_counts(
-    rows: DataFrame, owner: str, item: str, k: int = 10, distinct: bool = False, large: int = 1000
-) -> DataFrame:
+    def heads(self) -> list[Column]:
+        return [F.desc("w")]
+
+
+def pair_counts(rows: DataFrame, owner: str, item: str, k: int = 10, distinct: bool = False) -> DataFrame:
     """``a, b, num`` of the ``k`` pairs with the largest count; ties go by ``a``, then ``b``."""
-    held = materialize(owner_items(rows, owner, item, distinct), "owner-items")
-    sizes = held.groupBy("owner").agg(F.count(F.lit(1)).alias("items"), F.max("n").alias("most"))
-    big = sizes.where(F.col("items") > large).select("owner", "most")
-    if big.isEmpty():
-        return top_k(_pair_sums(held), k, "num", ["a", "b"])
-
-    big = materialize(big, "large-owners")
-    big_held = materialize(held.join(big, "owner"), "large-owner-items")
-    small_pairs = materialize(_pair_sums(held.join(big, "owner", "left_anti")), "small-owner-pairs")
-
-    # k real counts are known from below: those of the small owners alone, and those
-    # of the leading items of the large owners.
-    heads = top_k_per_group(big_held, ["owner"], k + 1, "n", ["item"])
-    bar, first = _bar(k, small_pairs, _pair_sums(heads))
-
-    # ``lift`` bounds what large owners can add to any pair with the item. They alone
-    # can place a pair only if both lifts pass the bar, or equal it with an early item.
-    lifts = materialize(big_held.groupBy("item").agg(F.sum(F.col("n") * F.col("most")).alias("lift")), "lifts")
-    above = big_held.join(lifts.where(F.col("lift") > bar), "item").select("owner", "item", "n")
-    level = big_held.join(lifts.where(F.col("lift") >= bar), "item").select("owner", "item", "n", "lift")
-    early = F.lit(True) if first is None else F.col("item") <= F.lit(first)
-    partner = level.select("owner", "item", "n").join(
-        lifts.select("item", (F.col("lift") > bar).alias("over")), "item"
-    ).select("owner", F.col("item").alias("b"), F.col("n").alias("nb"), "over")
-    tied = (
-        level.where(early).select("owner", F.col("item").alias("a"), F.col("n").alias("na"), "lift")
-        .join(partner, "owner").where(F.col("a") < F.col("b")).where(~((F.col("lift") > bar) & F.col("over")))
-    )
-    heavy_pairs = _pair_sums(above).unionByName(_summed(tied))
-
-    lift_a = lifts.select(F.col("item").alias("a"), F.col("lift").alias("lift_a"))
-    lift_b = lifts.select(F.col("item").alias("b"), F.col("lift").alias("lift_b"))
-    lifted = small_pairs.join(lift_a, "a", "left").join(lift_b, "b", "left")
-    least = F.least("lift_a", "lift_b")
-    both = F.col("lift_a").isNotNull() & F.col("lift_b").isNotNull()
-    hopeful = lifted.where(F.col("num") + F.when(both, least).otherwise(0) >= bar)
-    formed = (least > bar) | ((least >= bar) & (F.lit(True) if first is None else F.col("a") <= F.lit(first)))
-    hopeful = materialize(hopeful.select("a", "b", "num", (both & ~formed).alias("open")), "hopeful-pairs")
-
-    of_a = big_held.select("owner", F.col("item").alias("a"), F.col("n").alias("na"))
-    of_b = big_held.select("owner", F.col("item").alias("b"), F.col("n").alias("nb"))
-    completed = _summed(hopeful.where("open").select("a", "b").join(of_a, "a").join(of_b, ["owner", "b"]))
-    parts = hopeful.select("a", "b", "num").unionByName(heavy_pairs).unionByName(completed)
-    return top_k(parts.groupBy("a", "b").agg(F.sum("num").alias("num")), k, "num", ["a", "b"])
+    held = owner_items(rows, owner, item, distinct)
+    entries = held.select(F.col("item").alias("x"), F.col("owner").alias("key"), F.col("n").alias("w"), F.lit(0).alias("n"))
+    found = top_pairs(entries, Products(), k)
+    return found.select("a", "b", F.col("score").cast("bigint").alias("num"))

@@ -1,29 +1,22 @@
 """The most similar pairs of item sets, by Jaccard similarity, exactly.
 
-Pairs are never formed from whole groups. A first look at min-hash neighbours
-gives k real similarities; the lowest of them is a bar no result can fall under.
-Two sets reaching the bar must share an item among the rarest items of both, so
-only those *probe* items are joined, and only between sets of fitting sizes. Items
-held by very many sets come last in the order: they are probed only where they
-alone could lift a pair to the bar.
+A first look at min-hash neighbours gives k real similarities; the lowest of them is a bar no result can fall under. Pairs are then formed
+through items from rare to common (``pairs.top_pairs``), only where they can still pass the bar.
 """
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from sparkkit.functions.scalars import ratio
-from sparkkit.operators.ranking import top_k
+from sparkkit.operators.pairs import Bar, top_pairs
 from sparkkit.session import materialize
 
 SIGNATURES = 4
 SEED_PAIRS = 1000
-RARE = 256
-LOW_BAR = 0.25
+_ROOM = 1e-9
 
 
 def item_sets(rows: DataFrame, owner: str, item: str) -> DataFrame:
@@ -70,64 +63,49 @@ def _jaccard(common: Column) -> Column:
     return ratio(common, F.col("na") + F.col("nb") - common)
 
 
-def _bar(sets: DataFrame, described: DataFrame, k: int) -> float:
-    """Similarity of the k-th best seed pair, or 0 when there are fewer."""
+def _bar(sets: DataFrame, described: DataFrame, k: int) -> Bar:
+    """The k-th best seed pair, if there are k."""
     seeds = _seed_pairs(described)
     sizes = described.select("x", "n")
     a_items = sets.join(F.broadcast(seeds), sets.x == seeds.a).select("a", "b", "item")
     b_items = sets.select(F.col("x").alias("b"), "item")
     common = a_items.join(b_items, ["b", "item"]).groupBy("a", "b").agg(F.count(F.lit(1)).alias("common"))
     sized = common.join(sizes.toDF("a", "na"), "a").join(sizes.toDF("b", "nb"), "b")
-    best = sized.select(_jaccard(F.col("common")).alias("j")).orderBy(F.desc("j")).limit(k).collect()
-    return best[-1].j if len(best) == k else 0.0
+    return Bar().raised(sized, _jaccard(F.col("common")), k)
 
 
-def _classed(sets: DataFrame, sizes: DataFrame) -> DataFrame:
-    """``x, item, class, n`` with items ordered from rare to common by class."""
-    spread = F.pmod(F.xxhash64("item"), F.lit(16))
-    held = sets.groupBy("item").agg(F.count(F.lit(1)).alias("df"))
-    classes = held.select("item", (F.floor(F.log2("df") * 4) * 16 + spread).alias("class"))
-    return sets.join(classes, "item").join(sizes, "x")
+class Jaccard:
+    """Sets as x, items as keys; ``rest`` counts items, ``n`` is the size of a set."""
 
+    def __init__(self, least: int):
+        self.least = least
 
-def _band(size: Column) -> Column:
-    return F.floor(F.log2(size.cast("double"))).cast("int")
+    def amount(self) -> Column:
+        return F.count(F.lit(1))
 
+    def rest(self, total: Column) -> Column:
+        return total
 
-def _rare_below(bar: float) -> int:
-    """First class whose items are not probed by default.
+    def hopeful(self, bar: float, most: float, strict: bool) -> Column:
+        """A pair over the bar shares more than bar / (1 + bar) of its added sizes, and the other set is at least ``least`` and bar * n."""
+        n = F.col("n")
+        needed = (n + F.greatest(F.lit(float(self.least)), n * bar)) * bar
+        return F.col("rest") * (1 + bar) > needed + _ROOM if strict else F.col("rest") * (1 + bar) >= needed - _ROOM
 
-    Under a low bar most items must be probed anyway; probing all rare ones then
-    counts nearly every pair in full and leaves few to complete.
-    """
-    return math.floor(math.log2(RARE) * 4) * 16 if bar < LOW_BAR else 0
+    def fitting(self, bar: float) -> Column:
+        return F.least("na", "nb") >= F.greatest("na", "nb") * bar - _ROOM
 
+    def score(self, shared: Column) -> Column:
+        return _jaccard(shared)
 
-def _limits(classed: DataFrame, bar: float) -> DataFrame:
-    """``x, limits``: how far a set must probe to meet the partners of each size band.
+    def reach(self, shared: Column, rest_a: Column, rest_b: Column) -> Column:
+        return _jaccard(F.least(shared + F.least(rest_a, rest_b), F.col("na"), F.col("nb")))
 
-    A pair reaching the bar shares at least bar / (1 + bar) of its added sizes, so the
-    first item it shares stands early enough to leave that many behind it. A limit holds
-    the last class to probe (``cut``) and the number of items after it (``beyond``).
-    """
-    least, most = (size or 1 for size in classed.agg(F.min("n"), F.max("n")).first())
-    per_class = classed.groupBy("x", "class").agg(F.count(F.lit(1)).alias("m"), F.first("n").alias("n"))
-    earlier = Window.partitionBy("x").orderBy("class").rowsBetween(Window.unboundedPreceding, -1)
-    ranked = per_class.withColumn("before", F.coalesce(F.sum("m").over(earlier), F.lit(0)))
-    n = F.col("n")
-    smallest = F.greatest(F.lit(float(least)), n * bar)
-    largest = F.least(F.lit(float(most)), n / bar) if bar else F.lit(float(most))
-    banded = ranked.withColumn("band", F.explode(F.sequence(_band(smallest), _band(largest + 1e-6))))
-    partner = F.greatest(F.pow(F.lit(2.0), "band"), smallest)
-    needed = F.col("before") <= n - F.ceil((n + partner) * (bar / (1 + bar)) - 1e-9)
-    rare = _rare_below(bar)
-    kept = needed | (F.col("class") < rare)
-    limits = banded.groupBy("x", "band").agg(
-        F.greatest(F.coalesce(F.max(F.when(kept, F.col("class"))), F.lit(-1)), F.lit(rare - 1)).alias("cut"),
-        F.coalesce(F.sum(F.when(~kept, F.col("m"))), F.lit(0)).alias("beyond"),
-    )
-    entries = F.collect_list(F.struct("band", F.struct("cut", "beyond")))
-    return limits.groupBy("x").agg(F.map_from_entries(entries).alias("limits"))
+    def reaches(self, score: Column, bar: float, strict: bool) -> Column:
+        return score > bar if strict else score >= bar - _ROOM
+
+    def heads(self) -> list[Column]:
+        return [F.asc("n")]
 
 
 def similar_pairs(rows: DataFrame, owner: str, item: str, k: int = 10, min_items: int = 10) -> DataFrame:
@@ -138,86 +116,7 @@ def similar_pairs(rows: DataFrame, owner: str, item: str, k: int = 10, min_items
     """
     all_sets = materialize(item_sets(rows, owner, item), "item-sets")
     described = materialize(_first_copies(_described(all_sets).where(F.col("n") >= min_items), k), "set-prints")
-    sizes = described.select("x", "n")
-    bar = _bar(all_sets.join(sizes.select("x"), "x"), described, k)
-    classed = materialize(_classed(all_sets, sizes), "classed-items")
-    if classed.where(F.col("class") >= _rare_below(bar)).isEmpty():
-        return top_k(_counted(classed, bar), k, "jaccard", ["a", "b"])
-    met = materialize(_met(classed, _limits(classed, bar), bar), "met-pairs")
-
-    # The probed items alone already prove a similarity; the k-th best of these is a
-    # higher bar, and what lies beyond the cuts is counted only for pairs able to reach it.
-    proven = top_k(met.select("a", "b", _jaccard(F.col("probed")).alias("j")), k, "j", ["a", "b"]).collect()
-    bar = max(bar, proven[-1].j if len(proven) == k else 0.0)
-    candidates = met.where(F.col("reach") * (1 + bar) >= (F.col("na") + F.col("nb")) * bar - 1e-9)
-    return top_k(_completed(candidates, classed), k, "jaccard", ["a", "b"])
-
-
-def _counted(classed: DataFrame, bar: float) -> DataFrame:
-    """``a, b, jaccard`` of all pairs sharing an item; for sets of rare items only."""
-    left = classed.select("item", F.col("x").alias("a"), F.col("n").alias("na"))
-    right = classed.select("item", F.col("x").alias("b"), F.col("n").alias("nb"))
-    met = left.join(right, "item").where((F.col("a") < F.col("b")) & _close(bar))
-    sums = met.groupBy("a", "b").agg(F.count(F.lit(1)).alias("common"), F.max("na").alias("na"), F.max("nb").alias("nb"))
-    return sums.select("a", "b", _jaccard(F.col("common")).alias("jaccard"))
-
-
-def _close(bar: float) -> Column:
-    """Sizes that do not rule the bar out."""
-    return F.least("na", "nb") >= F.greatest("na", "nb") * bar - 1e-9
-
-
-def _met(classed: DataFrame, limits: DataFrame, bar: float) -> DataFrame:
-    """Pairs that share a probed item: ``a, b, na, nb, probed``, the most items they can
-    share (``reach``), and ``x``, the member whose probes end first (at ``cut``), with its partner ``y``.
-
-    Rare items are joined as they are, frequent ones per pair of size bands.
-    """
-    limits = materialize(limits, "probe-limits")
-    within = F.map_filter("limits", lambda band, limit: F.col("class") <= limit["cut"])
-    bands = F.when(F.col("class") < _rare_below(bar), F.array(F.lit(-1))).otherwise(F.map_keys(within))
-    slack = F.array_max(F.transform(F.map_values("limits"), lambda limit: limit["beyond"]))
-    probe = classed.join(limits, "x").select(
-        "x", "n", "item", slack.alias("slack"), F.explode(bands).alias("band")
-    ).withColumn("own", F.when(F.col("band") < 0, -1).otherwise(_band(F.col("n"))))
-    probe = materialize(probe, "probes")
-    left = probe.select("item", F.col("own").alias("i"), F.col("band").alias("j"),
-                        F.col("x").alias("a"), F.col("n").alias("na"), F.col("slack").alias("sa"))
-    right = probe.select("item", F.col("band").alias("i"), F.col("own").alias("j"),
-                         F.col("x").alias("b"), F.col("n").alias("nb"), F.col("slack").alias("sb"))
-    met = left.join(right, ["item", "i", "j"]).where((F.col("a") < F.col("b")) & _close(bar))
-    shared = met.groupBy("a", "b").agg(
-        F.count(F.lit(1)).alias("probed"), *(F.max(c).alias(c) for c in ("na", "nb", "sa", "sb"))
-    )
-
-    def able(common: Column) -> Column:
-        return F.least(common, "na", "nb") * (1 + bar) >= (F.col("na") + F.col("nb")) * bar - 1e-9
-
-    hopeful = shared.where(able(F.col("probed") + F.greatest("sa", "sb"))).drop("sa", "sb")
-    limited = hopeful.join(limits.toDF("a", "limits_a"), "a").join(limits.toDF("b", "limits_b"), "b").select(
-        "a", "b", "na", "nb", "probed",
-        F.element_at("limits_a", _band(F.col("nb"))).alias("la"), F.element_at("limits_b", _band(F.col("na"))).alias("lb"),
-    )
-    a_first = F.col("la.cut") <= F.col("lb.cut")
-    unseen = F.when(a_first, F.col("la.beyond")).otherwise(F.col("lb.beyond"))
-    return limited.withColumn("reach", F.least(F.col("probed") + unseen, "na", "nb")).where(able(F.col("reach"))).select(
-        "a", "b", "na", "nb", "probed", "reach", F.least("la.cut", "lb.cut").alias("cut"),
-        F.when(a_first, F.col("a")).otherwise(F.col("b")).alias("x"),
-        F.when(a_first, F.col("b")).otherwise(F.col("a")).alias("y"),
-    )
-
-
-def _completed(candidates: DataFrame, classed: DataFrame) -> DataFrame:
-    """``a, b, jaccard`` with the items beyond the earlier cut added to the probed ones."""
-    own = classed.select("x", "item", "class")
-    others = classed.select(F.col("x").alias("y"), "item")
-    later = (
-        candidates.select("a", "b", "x", "y", "cut")
-        .join(own, "x")
-        .where("class > cut")
-        .join(others, ["y", "item"])
-        .groupBy("a", "b")
-        .agg(F.count(F.lit(1)).alias("later"))
-    )
-    total = F.col("probed") + F.coalesce("later", F.lit(0))
-    return candidates.join(later, ["a", "b"], "left").select("a", "b", _jaccard(total).alias("jaccard"))
+    chosen = all_sets.join(described.select("x", "n"), "x")
+    bar = _bar(chosen.select("x", "item"), described, k)
+    entries = chosen.select("x", F.col("item").alias("key"), F.lit(1).cast("bigint").alias("w"), "n")
+    return top_pairs(entries, Jaccard(min_items), k, bar).withColumnRenamed("score", "jaccard")

@@ -6,7 +6,7 @@ from itertools import combinations
 import numpy as np
 import pytest
 
-from sparkkit.operators import similarity
+from sparkkit.operators import pairs as pair_join
 from sparkkit.operators.copurchase import pair_counts
 from sparkkit.operators.similarity import similar_pairs
 
@@ -66,10 +66,9 @@ def baskets(kind, seed):
 KINDS = ["plain", "hot item", "copies", "large owner", "few", "nested", "level owner"]
 
 
-@pytest.mark.parametrize("rare", [256, 4])
-@pytest.mark.parametrize("kind", KINDS)
-def test_similar_pairs_are_exact(spark, kind, rare, monkeypatch):
-    monkeypatch.setattr(similarity, "RARE", rare)
+@pytest.mark.parametrize("kind, step", [(kind, 4) for kind in KINDS] + [("hot item", 1), ("nested", 1)])
+def test_similar_pairs_are_exact(spark, kind, step, monkeypatch):
+    monkeypatch.setattr(pair_join, "STEP", step)
     pairs = baskets(kind, KINDS.index(kind))
     got = [(r.a, r.b, r.jaccard) for r in similar_pairs(frame(spark, pairs), "owner", "item", 10, 10).collect()]
     want = brute_jaccard(pairs, 10, 10)
@@ -77,6 +76,56 @@ def test_similar_pairs_are_exact(spark, kind, rare, monkeypatch):
     assert [g[2] for g in got] == pytest.approx([w[2] for w in want])
 
 
+def counting(monkeypatch):
+    """How many rows all calls of ``formed_pairs`` make."""
+    formed, whole = [], pair_join.formed_pairs
+
+    def counted(*more):
+        found = whole(*more)
+        formed.append(found.count())
+        return found
+
+    monkeypatch.setattr(pair_join, "formed_pairs", counted)
+    return formed
+
+
+def with_hot_items(owners):
+    """Every owner holds two hot items and ten of its own; every ninth shares six with the next."""
+    rows = [(o, i) for o in range(owners) for i in (-1, -2)]
+    rows += [(o, 100 * o + i) for o in range(owners) for i in range(10)]
+    return rows + [(o + 1, 100 * o + i) for o in range(0, owners - 1, 9) for i in range(6)]
+
+
+@pytest.mark.parametrize("owners", [400, 800])
+def test_a_hot_item_forms_no_square(spark, owners, monkeypatch):
+    formed = counting(monkeypatch)
+    rows = with_hot_items(owners)
+    got = [(r.a, r.b, r.jaccard) for r in similar_pairs(frame(spark, rows), "owner", "item", 10, 10).collect()]
+    assert [g[:2] for g in got] == [w[:2] for w in brute_jaccard(rows, 10, 10)]
+    assert sum(formed) < 3 * owners  # the square would be half of owners squared, twice
+
+
+@pytest.mark.parametrize("items", [300, 600])
+def test_large_overlapping_owners_form_no_square(spark, items, monkeypatch):
+    """Two owners hold all items three times; small ones hold a few items together more often."""
+    formed = counting(monkeypatch)
+    rows = [(o, i) for o in (900, 901) for i in range(items) for _ in range(3)]
+    rows += [(o, i) for o in range(60) for i in (o % 20, o % 20 + 20) for _ in range(4)]
+    got = pair_counts(frame(spark, rows), "owner", "item", 10).collect()
+    assert [tuple(r) for r in got] == brute_counts(rows, 10)
+    assert sum(formed) < 60 * items
+
+
+@pytest.mark.parametrize("items", [300, 600])
+def test_a_level_owner_forms_no_square(spark, items, monkeypatch):
+    """All pairs tie: only those that start with an early item are formed."""
+    formed = counting(monkeypatch)
+    rows = [(900, i) for i in range(items) for _ in range(3)] + [(901, i) for i in range(0, items, 50)]
+    got = pair_counts(frame(spark, rows), "owner", "item", 5).collect()
+    assert [tuple(r) for r in got] == brute_counts(rows, 5)
+    assert sum(formed) < 20 * items
+
+
 def test_least_size_counts_distinct_items(spark):
     pairs = [(1, i) for i in range(9)] * 3 + [(2, i) for i in range(10)] + [(3, i) for i in range(10)]
     got = similar_pairs(frame(spark, pairs), "owner", "item", 5, 10).collect()
@@ -84,16 +133,23 @@ def test_least_size_counts_distinct_items(spark):
 
 
 @pytest.mark.parametrize(
-    "kind, large, distinct",
-    [(kind, 20, False) for kind in KINDS]
-    + [("plain", 1000, False), ("large owner", 20, True), ("level owner", 20, True), ("level owner", 1, False)],
+    "kind, distinct, step", [(kind, False, 4) for kind in KINDS] + [("large owner", True, 4), ("level owner", True, 1), ("large owner", False, 1)]
 )
-def test_pair_counts_are_exact(spark, kind, large, distinct):
+def test_pair_counts_are_exact(spark, kind, distinct, step, monkeypatch):
+    monkeypatch.setattr(pair_join, "STEP", step)
     pairs = baskets(kind, KINDS.index(kind))
-    got = pair_counts(frame(spark, pairs), "owner", "item", 10, distinct, large).collect()
+    got = pair_counts(frame(spark, pairs), "owner", "item", 10, distinct).collect()
     assert [tuple(r) for r in got] == brute_counts(pairs, 10, distinct)
 
 
+def test_no_shared_key_gives_no_pairs(spark):
+    rows = [(o, 20 * o + i) for o in range(5) for i in range(12)]
+    assert similar_pairs(frame(spark, rows), "owner", "item").collect() == []
+    assert pair_counts(frame(spark, [(1, 1), (2, 2)]), "owner", "item").collect() == []
+    names = spark.createDataFrame([(f"o{o}", f"i{i}") for o in range(4) for i in range(10 + o)], "owner string, item string")
+    assert similar_pairs(names, "owner", "item", 2).first()["a"] == "o2"
+
+
 def test_repeat_purchases_multiply(spark):
     pairs = [(1, 5), (1, 5), (1, 6), (1, 6), (1, 6)]
     assert [tuple(r) for r in pair_counts(frame(spark, pairs), "owner", "item").collect()] == [(5, 6, 6)]
