@@ -82,24 +82,28 @@ class ChunkTable:
     """Ids of distinct chunks, each encoded once, and whole texts put together from them.
 
     ``encode`` takes a list of new chunks and returns their id lists. The table lives as long as
-    the Python worker, over all its tasks; beyond ``most`` chunks it is started anew, which
-    bounds memory and never changes a result.
+    the Python worker, over all its tasks; new chunks that would take it beyond ``most`` drop the older half
+    first, which bounds memory and never changes a result.
     """
 
     def __init__(self, encode: Callable[[list[str]], list[list[int]]], most: int = 500_000):
         self.encode, self.most = encode, most
-        self.clear()
-
-    def clear(self) -> None:
         self.place: dict[str, int] = {}
         self.starts, self.flat = np.zeros(1, np.int64), np.zeros(0, np.int32)
 
+    def _drop(self, n: int) -> None:
+        """Forgets the ``n`` chunks that came first."""
+        self.place = {chunk: k for k, chunk in enumerate(list(self.place)[n:])}
+        self.flat, self.starts = self.flat[self.starts[n] :], self.starts[n:] - self.starts[n]
+
     def ids(self, codes: np.ndarray, chunks: list[str], offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """All ids of a block of texts, and where each text's ids begin (one more at the end)."""
-        if len(self.place) + len(chunks) > self.most:
-            self.clear()
+        new = [c for c in chunks if c not in self.place]
+        if len(self.place) + len(new) > self.most:
+            self._drop(len(self.place) // 2 if len(self.place) // 2 + len(chunks) <= self.most else len(self.place))
+            new = [c for c in chunks if c not in self.place]
         place = self.place
-        if new := [c for c in chunks if c not in place]:
+        if new:
             found = self.encode(new)
             lengths = np.fromiter(map(len, found), np.int64, len(found))
             place.update(zip(new, range(len(place), len(place) + len(new))))

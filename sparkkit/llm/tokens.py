@@ -42,7 +42,8 @@ class WordEncoder:
         word = word.lower()
         if (ids := self.known.get(word)) is None:
             if len(self.known) > 100_000:
-                self.known.clear()
+                for old in list(self.known)[:50_000]:
+                    del self.known[old]
             written = word if word.isascii() else "".join(map(self.letters.__getitem__, word.encode()))
             ids = self.known[word] = [t.id for t in self.model.tokenize(written)]
         return ids

@@ -5,6 +5,7 @@ import zlib
 from collections import defaultdict
 
 import numpy as np
+import pyarrow as pa
 import public_tokenizers
 import pytest
 import sentencepiece
@@ -13,6 +14,7 @@ from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
 from sparkkit.llm import packing, pieces, planes
+from sparkkit.llm.common import ChunkTable, lists_to_codes
 from sparkkit.llm.queries import QUERIES
 
 PIECES = public_tokenizers.path("piece_bpe_32k.model")
@@ -184,3 +186,18 @@ def test_packing_query(spark, tokenizer, small):
     for r in QUERIES["op10_packing"](spark, SMALL).collect():
         ids = texts[r.doc_id][r.start : r.start + r.length]
         assert r.ids_crc32 == zlib.crc32(np.array(ids, "<u4").tobytes()) and r.doc_tokens == len(texts[r.doc_id])
+
+
+@pytest.mark.parametrize("most", [6, 1000])
+def test_chunk_table_drops_the_older_half(most):
+    """New chunks only count; whatever is forgotten is encoded again."""
+    asked = []
+    table = ChunkTable(lambda chunks: asked.extend(chunks) or [[len(c), *c.encode()] for c in chunks], most)
+    draw = np.random.default_rng(2)
+    for _ in range(30):
+        words = [[f"{'c' * x}" for x in draw.integers(0, 12, 4)] for _ in range(3)]
+        lists = pa.array(words)
+        values, offsets = table.ids(*lists_to_codes(lists))
+        assert [values[a:b].tolist() for a, b in zip(offsets, offsets[1:])] == [[i for c in ws for i in [len(c), *c.encode()]] for ws in words]
+        assert len(table.place) <= max(most, len({c for ws in words for c in ws}))
+    assert len(asked) == 12 if most == 1000 else len(asked) > 12
