@@ -3,20 +3,24 @@
 from __future__ import annotations
 
 import math
-import re
+import uuid
 from collections import defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sparkkit.llm.common import slices, split_words, texts_of
+from sparkkit.operators.ranking import top_k_per_group
+from sparkkit.session import materialize
 
 LONGEST = 5
-_LETTERS = re.compile(r"[^\W\d_]+")
+#: Letters in the sense of Unicode's general category, as in fitting: numbers such as ½, ² or ① are none.
+_LETTERS = regex.compile(r"\p{L}+")
 
 
 @dataclass
@@ -29,29 +33,35 @@ class Model:
     floor: tuple[float, ...]
 
 
-def fit(docs: DataFrame, max_docs: int = 5000, max_words: int = 50_000, max_grams: int = 20_000) -> Model:
+def fit(docs: DataFrame, docs_per_language: int = 1500, words_per_language: int = 20_000, grams_per_language: int = 5_000) -> Model:
     """Learns from rows with a text and a language.
 
-    The counts come from a sample of about ``max_docs`` rows, chosen by a hash of doc_id, which
-    the model needs no more of; the model holds the ``max_words`` most frequent words and, of each
-    length up to five, the ``max_grams`` most frequent n-grams of words between bars, so it is
-    small enough to be sent to all tasks. Ties go to the smaller string.
+    Of each language the counts come from a sample of about ``docs_per_language`` rows, chosen by a hash of doc_id, so that a rare
+    language is learned as well as a common one at every size of the table. The model holds each language's
+    ``words_per_language`` most frequent words and, of each length up to five, its ``grams_per_language`` most frequent n-grams of words
+    between bars, so it is small enough to be sent to all tasks. Ties go to the smaller string. The number of
+    languages is taken to be that of a table of languages. The sample's word counts are stored once.
     """
     rows = docs.filter("text IS NOT NULL AND lang IS NOT NULL").select("doc_id", "text", F.col("lang").alias("language"))
-    share = min(1.0, max_docs / max(1, docs.filter("lang IS NOT NULL").count()))
-    rows = rows.filter(F.pmod(F.xxhash64(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))), F.lit(1 << 30)) < int(share * (1 << 30)) + 1)
+    sizes = {r.language: r["count"] for r in rows.groupBy("language").count().collect()}
+    if not sizes:
+        return Model([], {}, [{} for _ in range(LONGEST)], ())
+    shares = [F.lit(x) for language, n in sizes.items() for x in (language, int(min(1.0, docs_per_language / n) * (1 << 30)) + 1)]
+    drawn = F.pmod(F.xxhash64(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))), F.lit(1 << 30))
     words = (
-        rows.select("language", F.explode(F.regexp_extract_all(F.lower("text"), F.lit(r"\p{L}+"), F.lit(0))).alias("gram"))
+        rows.filter(drawn < F.element_at(F.create_map(*shares), F.col("language")))
+        .select("language", F.explode(F.regexp_extract_all(F.lower("text"), F.lit(r"\p{L}+"), F.lit(0))).alias("gram"))
         .groupBy("language", "gram").agg(F.count(F.lit(1)).alias("n"))
     )
-    tables = [_most(words, max_words)]
+    words = materialize(words, "language-words")
+    tables = [_most(words, words_per_language)]
     marked = words.select("language", "n", F.concat(F.lit("|"), "gram", F.lit("|")).alias("marked"))
     for size in range(1, LONGEST + 1):
         starts = f"sequence(1, length(marked) - {size - 1})"
         grams = marked.filter(f"length(marked) >= {size}").select(
             "language", "n", F.expr(f"explode(transform({starts}, i -> substring(marked, i, {size})))").alias("gram")
         )
-        tables.append(_most(grams.groupBy("language", "gram").agg(F.sum("n").alias("n")), max_grams))
+        tables.append(_most(grams.groupBy("language", "gram").agg(F.sum("n").alias("n")), grams_per_language))
     languages = sorted({language for table in tables for counts in table.values() for language in counts})
     logs = [_logs(table, languages) for table in tables]
     floor = tuple(math.log(1e-7) for _ in languages)
@@ -59,9 +69,13 @@ def fit(docs: DataFrame, max_docs: int = 5000, max_words: int = 50_000, max_gram
 
 
 def _most(counts: DataFrame, most: int) -> dict[str, dict[str, int]]:
-    """Counts by language of the most frequent strings; at most ``most`` rows reach the driver."""
-    by_gram = counts.groupBy("gram").agg(F.sum("n").alias("total"), F.map_from_entries(F.collect_list(F.struct("language", "n"))).alias("by"))
-    return {r.gram: dict(r.by) for r in by_gram.orderBy(F.desc("total"), "gram").limit(most).collect()}
+    """Counts by language of the strings that are among the ``most`` most frequent of any language; for each language at
+    most that many rows reach the driver."""
+    chosen = top_k_per_group(counts, ["language"], most, "n", ["gram"]).select("gram").distinct()
+    by: dict[str, dict[str, int]] = defaultdict(dict)
+    for r in counts.join(chosen, "gram").select("gram", "language", "n").collect():
+        by[r.gram][r.language] = r.n
+    return dict(by)
 
 
 def _logs(table: dict[str, dict[str, int]], languages: list[str]) -> dict[str, tuple[float, ...]]:
@@ -92,22 +106,22 @@ def word_score(word: str, model: Model) -> tuple[float, ...]:
 
 
 class Scorer:
-    """Scores of distinct words, each worked out once per worker; started anew beyond ``most`` words."""
+    """Scores of distinct words, each worked out once per worker; new words that would take it beyond ``most`` drop the older half first."""
 
     def __init__(self, model: Model, most: int = 300_000):
         self.model, self.most = model, most
-        self.clear()
-
-    def clear(self) -> None:
         self.place: dict[str, int] = {}
         self.rows = np.zeros((0, len(self.model.languages) + 1))
 
     def sums(self, texts: pa.Array) -> np.ndarray:
         """Per text: summed scores of the languages, and in the last column the words with letters."""
         codes, words, offsets = split_words(texts)
-        if len(self.place) + len(words) > self.most:
-            self.clear()
-        if new := [w for w in words if w not in self.place]:
+        new = [w for w in words if w not in self.place]
+        if len(self.place) + len(new) > self.most:
+            n = len(self.place) // 2 if len(self.place) // 2 + len(words) <= self.most else len(self.place)
+            self.place, self.rows = {w: k for k, w in enumerate(list(self.place)[n:])}, self.rows[n:]
+            new = [w for w in words if w not in self.place]
+        if new:
             self.place.update(zip(new, range(len(self.place), len(self.place) + len(new))))
             self.rows = np.concatenate([self.rows, np.array([self._row(w) for w in new])])
         at = np.fromiter(map(self.place.__getitem__, words), np.int64, len(words))
@@ -118,11 +132,23 @@ class Scorer:
         return sums
 
     def _row(self, word: str) -> list[float]:
-        parts = _LETTERS.findall(word.lower())
+        lower = word.lower()
+        parts = [lower] if lower.isascii() and lower.isalpha() else _LETTERS.findall(lower)
         scores = [word_score(p, self.model) for p in parts]
         return [sum(s[k] for s in scores) for k in range(len(self.model.languages))] + [float(len(parts))]
 
 
+#: The scorer of the model that a Python worker has used last, by the name of the call.
+_SCORERS: dict[str, Scorer] = {}
+
+
+def _scorer(name: str, model: Model) -> Scorer:
+    if name not in _SCORERS:
+        _SCORERS.clear()
+        _SCORERS[name] = Scorer(model)
+    return _SCORERS[name]
+
+
 def identify(docs: DataFrame, model: Model) -> DataFrame:
     """doc_id, ``lang_pred`` and ``score`` of every whole text.
 
@@ -131,11 +157,11 @@ def identify(docs: DataFrame, model: Model) -> DataFrame:
     null, empty or without a letter, or nothing was learned. Repeated rows are judged each,
     an empty table stays empty, other columns are left out.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    shared, name = docs.sparkSession.sparkContext.broadcast(model), uuid.uuid4().hex
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
-        scorer = Scorer(model)
+        scorer = _scorer(name, model)
         for block in slices(batches):
             sums = scorer.sums(block.column("text"))
             known = (sums[:, -1] > 0) & bool(model.languages)

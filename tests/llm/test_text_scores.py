@@ -2,10 +2,12 @@
 
 import math
 import re
+import unicodedata
 import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -177,7 +179,8 @@ def test_toxicity_of_odd_and_no_texts(spark, odd_docs, no_docs):
 def plain_language(text, model):
     sums, n = [0.0] * len(model.languages), 0
     for chunk in re.findall(WORD, text or ""):
-        for word in re.findall(r"[^\W\d_]+", chunk.lower()):
+        letters = "".join(c if unicodedata.category(c)[0] == "L" else " " for c in chunk.lower())
+        for word in letters.split():
             n += 1
             sums = [a + b for a, b in zip(sums, language.word_score(word, model))]
     if not n:
@@ -201,6 +204,32 @@ def test_languages(middle, odd_docs, no_docs):
     assert {(r.lang_pred, r.score) for r in language.identify(odd_docs, empty).collect()} == {("und", 0.0)}
 
 
+def test_numbers_are_no_letters(spark):
+    texts = ["½", "² ①", "Ⅷ ⅔", "12 ½ _ ٣", "ªb", "ʰ", "x²"]
+    df = spark.createDataFrame([(k, t) for k, t in enumerate(texts)], "doc_id long, text string")
+    model = language.Model(["a"], {}, [{}] * 5, (-1.0,))
+    found = {r.doc_id: (r.lang_pred, r.score) for r in language.identify(df, model).collect()}
+    assert [found[k] for k in range(4)] == [("und", 0.0)] * 4 and {found[k][0] for k in (4, 5, 6)} == {"a"}
+
+
+def test_a_rare_language_is_learned(spark):
+    """One row in two thousand, far below the sample's share of the others."""
+    rows = [(k, "the house and the garden are green", "en") for k in range(4000)] + [(9000 + k, "zxo qui zxa mumu zxi", "rare") for k in range(2)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(4)
+    model = language.fit(df, docs_per_language=50, words_per_language=4, grams_per_language=6)
+    assert model.languages == ["en", "rare"] and {"zxa", "mumu", "the", "and"} <= set(model.words) and len(model.words) == 8
+    asked = spark.createDataFrame([(1, "mumu zxa"), (2, "green garden")], "doc_id long, text string")
+    assert {r.doc_id: r.lang_pred for r in language.identify(asked, model).collect()} == {1: "rare", 2: "en"}
+
+
+def test_scorer_drops_the_older_half():
+    model = language.Model(["a", "b"], {f"w{'x' * k}": (-1.0 * k, -2.0) for k in range(40)}, [{}] * 5, (-9.0, -9.0))
+    small, large = language.Scorer(model, most=10), language.Scorer(model)
+    for k in range(0, 40, 3):
+        texts = pa.array([" ".join(f"w{'x' * x}" for x in range(k, k + 4)), None, "w"])
+        assert (small.sums(texts) == large.sums(texts)).all() and len(small.place) <= 10
+
+
 def test_backoff_goes_to_shorter_grams():
     model = language.Model(["a", "b"], {"known": (-1.0, -2.0)}, [{"x": (-3.0, -4.0)}, {"xy": (-5.0, -6.0)}, {}, {}, {}], (-9.0, -9.0))
     assert language.word_score("known", model) == (-1.0, -2.0)
