@@ -290,7 +290,7 @@ def _left_over_links(open_rows: DataFrame, sets: DataFrame, percent: int, block:
             js = js[(part[js] != part[i]) & (100 * np.minimum(size[js], size[i]) >= percent * np.maximum(size[js], size[i]))]
             same = slots[js] == slots[i]
             shared = same.reshape(len(js), BANDS, ROWS).all(axis=2).any(axis=1)
-            for j in js[shared & (same.sum(axis=1) >= np.where(size[js] < 100, 0.5, 0.62) * slots.shape[1])]:
+            for j in js[shared]:
                 p, q = root(int(part[i])), root(int(part[j]))
                 if p == q:
                     continue
