@@ -82,19 +82,25 @@ class ChunkTable:
     """Ids of distinct chunks, each encoded once, and whole texts put together from them.
 
     ``encode`` takes a list of new chunks and returns their id lists. The table lives as long as
-    the Python worker, over all its tasks; new chunks that would take it beyond ``most`` drop the older half
-    first, which bounds memory and never changes a result.
+    the Python worker, over all its tasks; new chunks that would take it beyond ``most`` first drop the half that
+    was not met for longest, which bounds memory and never changes a result.
     """
 
     def __init__(self, encode: Callable[[list[str]], list[list[int]]], most: int = 500_000):
         self.encode, self.most = encode, most
         self.place: dict[str, int] = {}
         self.starts, self.flat = np.zeros(1, np.int64), np.zeros(0, np.int32)
+        self.met, self.blocks = np.zeros(0, np.int32), 0  # the block in which each chunk was met last
 
     def _drop(self, n: int) -> None:
-        """Forgets the ``n`` chunks that came first."""
-        self.place = {chunk: k for k, chunk in enumerate(list(self.place)[n:])}
-        self.flat, self.starts = self.flat[self.starts[n] :], self.starts[n:] - self.starts[n]
+        """Forgets the ``n`` chunks that were not met for longest."""
+        kept = np.sort(np.argsort(self.met, kind="stable")[n:])
+        lengths = np.diff(self.starts)[kept]
+        ends = np.cumsum(lengths)
+        chunks = list(self.place)
+        self.place = {chunks[k]: at for at, k in enumerate(kept.tolist())}
+        self.flat = self.flat[np.repeat(self.starts[kept] - (ends - lengths), lengths) + np.arange(int(lengths.sum()))]
+        self.starts, self.met = np.concatenate([[0], ends]), self.met[kept]
 
     def ids(self, codes: np.ndarray, chunks: list[str], offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """All ids of a block of texts, and where each text's ids begin (one more at the end)."""
@@ -109,7 +115,11 @@ class ChunkTable:
             place.update(zip(new, range(len(place), len(place) + len(new))))
             self.flat = np.concatenate([self.flat, np.fromiter((i for ids in found for i in ids), np.int32, int(lengths.sum()))])
             self.starts = np.concatenate([self.starts, self.starts[-1] + np.cumsum(lengths)])
-        at = np.fromiter(map(place.__getitem__, chunks), np.int64, len(chunks))[codes]
+            self.met = np.concatenate([self.met, np.zeros(len(new), np.int32)])
+        at = np.fromiter(map(place.__getitem__, chunks), np.int64, len(chunks))
+        self.blocks += 1
+        self.met[at] = self.blocks
+        at = at[codes]
         lengths = self.starts[at + 1] - self.starts[at]
         ends = np.cumsum(lengths)
         total = int(ends[-1]) if len(ends) else 0
