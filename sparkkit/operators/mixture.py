@@ -1,26 +1,34 @@
 """Gibbs sampling of a multinomial mixture over sparse document counts.
 
-Documents stay on the executors; the driver holds only the K class weights and the
-K × V word weights. One job per round samples every document's cluster and returns
-the word counts per cluster.
+Documents stay on the executors. One job per round samples every document's cluster, adds
+up the word counts per cluster and draws the next weights, block by block of cells. The driver
+relays the K class weights and K × V word weights to the tasks; their number is checked.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from hashlib import md5
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from sparkkit.operators.grouping import count_by
 from sparkkit.operators.ranking import share_in_group, top_k_per_group
 from sparkkit.session import materialize
 
 SMALLEST = np.finfo(float).tiny
+#: Proposals of a gamma draw; all are rejected with a chance under 1e-20.
+ATTEMPTS = 16
+#: Weights (K × V) that may be sent to all tasks.
+LARGEST_MODEL = 1 << 26
+#: Weights that one task draws at once.
+BLOCK = 1 << 15
 
 
 @dataclass
@@ -43,16 +51,90 @@ class MixtureState:
         return np.log(np.maximum(self.pi, SMALLEST)), np.log(np.maximum(self.mu, SMALLEST))
 
 
-def _draw(seed: int, number: int, cluster: int, concentration: np.ndarray) -> np.ndarray:
-    """A Dirichlet draw that depends on its address only."""
-    return np.random.default_rng([seed, number, cluster]).dirichlet(concentration)
+def log_gammas(shape: np.ndarray, cluster: np.ndarray, pos: np.ndarray, seed: int, number: int) -> np.ndarray:
+    """Logarithms of gamma draws that depend on seed, round, cluster and position only.
 
+    Each proposal has one digest: two numbers make a normal one, the third accepts or rejects. Proposals are for the shape plus one,
+    where few are rejected; a power of the fourth number brings the shape back, so small shapes work too.
+    """
+    d = shape + 2 / 3
+    found, left = np.log(d), np.arange(len(shape))
+    for attempt in range(ATTEMPTS):
+        cells = zip(cluster[left].tolist(), pos[left].tolist())
+        digests = b"".join(md5(f"{seed}:{number}:{c}:{p}:{attempt}".encode()).digest() for c, p in cells)
+        u = (np.frombuffer(digests, ">u4").reshape(-1, 4) + 0.5) / (1 << 32)
+        x = np.sqrt(-2 * np.log(u[:, 0])) * np.cos(2 * np.pi * u[:, 1])
+        cube, of = (1 + x / np.sqrt(9 * d[left])) ** 3, d[left]
+        log_cube = np.log(np.maximum(cube, SMALLEST))
+        accepted = (cube > 0) & (np.log(u[:, 2]) < 0.5 * x * x + of - of * cube + of * log_cube)
+        drawn = np.log(of) + log_cube + np.log(u[:, 3]) / shape[left]
+        found[left[accepted]] = drawn[accepted]
+        left = left[~accepted]
+    return found
+
+
+def _block_drawer(size: int, cells: int, alpha: float, beta: float, seed: int, number: int):
+    """Draws all weights of one block of cells, whose counts are given where they are not zero."""
+
+    def draw(table: pa.Table) -> pa.Table:
+        block = table.column("block")[0].as_py()
+        cell = np.arange(block * BLOCK, min((block + 1) * BLOCK, cells))
+        cluster, pos = cell // (size + 1), cell % (size + 1) - 1
+        shape = np.where(pos < 0, alpha, beta)
+        shape[table.column("cell").to_numpy() - block * BLOCK] += table.column("n").to_numpy()
+        return pa.table({"block": [block], "log_gamma": [log_gammas(shape, cluster, pos, seed, number)]})
+
+    return draw
+
+
+def draw_weights(
+    spark: SparkSession, counted: DataFrame | None, clusters: int, size: int, alpha: float, beta: float, seed: int, number: int
+) -> DataFrame:
+    """``block, log_gamma``: the Dirichlet draws that follow counts ``cluster, pos, n``, before each is divided by its sum.
+
+    The weights of cluster after cluster, its class weight (position -1) first, are cut into blocks of ``BLOCK``; a block is drawn in one task.
+    Repeated counts of a cell are added up; without counts the draw is from the prior.
+    """
+    cells = clusters * (size + 1)
+    if cells > LARGEST_MODEL:
+        raise ValueError(f"a mixture has at most {LARGEST_MODEL} weights")
+    blocks = -(-cells // BLOCK)
+    parts = spark.range(blocks).select((F.col("id") * BLOCK).alias("cell"), F.lit(0).cast("bigint").alias("n"))
+    if counted is not None:
+        cell = F.col("cluster").cast("bigint") * (size + 1) + F.col("pos") + 1
+        parts = parts.unionByName(counted.select(cell.alias("cell"), "n"))
+    dealt = parts.withColumn("block", F.floor(F.col("cell") / BLOCK)).repartition(blocks, "block")
+    summed = dealt.groupBy("block", "cell").agg(F.sum("n").alias("n"))
+    draw = _block_drawer(size, cells, alpha, beta, seed, number)
+    return summed.groupBy("block").applyInArrow(draw, "block bigint, log_gamma array<double>")
+
+
+def _shares(logs: np.ndarray) -> np.ndarray:
+    """Rows of logarithms as shares of their sum."""
+    parts = np.exp(logs - logs.max(axis=-1, keepdims=True, initial=-np.inf))
+    return parts / parts.sum(axis=-1, keepdims=True)
+
+
+def _state_of(drawn: DataFrame, clusters: int, size: int, seed: int, number: int) -> MixtureState:
+    table = drawn.toArrow().sort_by("block").combine_chunks()
+    logs = pc.list_flatten(table.column("log_gamma")).to_numpy().reshape(clusters, size + 1)
+    return MixtureState(_shares(logs[:, 0]), _shares(logs[:, 1:]), seed, number)
 
-def initial_state(clusters: int, size: int, alpha: float = 0.1, beta: float = 0.1, seed: int = 0) -> MixtureState:
+
+def initial_state(spark: SparkSession, clusters: int, size: int, alpha: float = 0.1, beta: float = 0.1, seed: int = 0) -> MixtureState:
     """Class and word weights drawn from their priors."""
-    pi = _draw(seed, 0, clusters, np.full(clusters, alpha))
-    mu = np.stack([_draw(seed, 0, j, np.full(size, beta)) for j in range(clusters)])
-    return MixtureState(pi, mu, seed)
+    return _state_of(draw_weights(spark, None, clusters, size, alpha, beta, seed, 0), clusters, size, seed, 0)
+
+
+def next_state(rows: DataFrame, state: MixtureState, alpha: float = 0.1, beta: float = 0.1, doc: str = "doc_id") -> MixtureState:
+    """One round: a cluster per document under ``state``, then new weights given the counts. A cluster without documents draws from the prior."""
+    clusters, size = state.mu.shape
+    shared = rows.sparkSession.sparkContext.broadcast(state.logs())
+    counted = _sampled(rows, state, doc, shared, False)
+    drawn = draw_weights(rows.sparkSession, counted, clusters, size, alpha, beta, state.seed, state.round + 1)
+    found = _state_of(drawn, clusters, size, state.seed, state.round + 1)
+    shared.destroy()
+    return found
 
 
 def document_rows(rows: DataFrame, doc: str = "doc_id") -> DataFrame:
@@ -149,12 +231,8 @@ def assignments(rows: DataFrame, state: MixtureState, doc: str = "doc_id") -> Da
 def sweep(rows: DataFrame, state: MixtureState, doc: str = "doc_id") -> DataFrame:
     """``cluster, pos, n`` after drawing every document's cluster: word counts per
     cluster, and at position -1 its number of documents."""
-    return _counted(rows, state, doc, rows.sparkSession.sparkContext.broadcast(state.logs()))
-
-
-def _counted(rows: DataFrame, state: MixtureState, doc: str, shared) -> DataFrame:
-    parts = _sampled(rows, state, doc, shared, False)
-    return parts.groupBy("cluster", "pos").agg(F.sum("n").alias("n"))
+    shared = rows.sparkSession.sparkContext.broadcast(state.logs())
+    return _sampled(rows, state, doc, shared, False).groupBy("cluster", "pos").agg(F.sum("n").alias("n"))
 
 
 def gibbs(
@@ -173,21 +251,11 @@ def gibbs(
     """
     rows = materialize(rows, "mixture-documents")
     held = rows.persist()
-    state = initial_state(clusters, size, alpha, beta, seed)
+    state = initial_state(rows.sparkSession, clusters, size, alpha, beta, seed)
     before = state
     try:
-        for number in range(1, rounds + 1):
-            before = state
-            shared = rows.sparkSession.sparkContext.broadcast(state.logs())
-            sums = _counted(held, state, doc, shared).toPandas()
-            shared.destroy()
-            sizes, words = np.zeros(clusters), np.zeros((clusters, size))
-            whole, body = sums[sums.pos == -1], sums[sums.pos >= 0]
-            sizes[whole.cluster.to_numpy()] = whole.n.to_numpy()
-            words[body.cluster.to_numpy(), body.pos.to_numpy()] = body.n.to_numpy()
-            pi = _draw(seed, number, clusters, alpha + sizes)
-            mu = np.stack([_draw(seed, number, j, beta + words[j]) for j in range(clusters)])
-            state = MixtureState(pi, mu, seed, number)
+        for _ in range(rounds):
+            before, state = state, next_state(held, state, alpha, beta, doc)
     finally:
         held.unpersist()
     return state, assignments(rows, before, doc)

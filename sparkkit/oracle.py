@@ -419,6 +419,43 @@ add("mixture_sweep", """
 SELECT cluster, pos, CAST(sum(cnt) AS BIGINT) AS n FROM terms JOIN drawn USING (doc_id) GROUP BY 1, 2
 UNION ALL SELECT cluster, -1, count(*) FROM drawn GROUP BY 1""", WORDS, LANGUAGES, DRAWN)
 
+
+
+def weights_sql(number: int) -> str:
+    """CTEs from ``shapes`` (``cluster, pos, a``) to the weights of that round: the first of 16 proposals that is not rejected."""
+    digits = ", ".join(
+        f"(CAST('0x' || substr(h, {8 * i + 1}, 8) AS BIGINT) + 0.5::DOUBLE) / 4294967296.0::DOUBLE AS u{i}" for i in range(4)
+    )
+    return f"""
+digests AS (SELECT cluster, pos, a, k, md5(concat_ws(':', '7', '{number}', cluster, pos, k)) AS h FROM shapes, range(16) AS t(k)),
+units AS (SELECT cluster, pos, a, k, a + 2::DOUBLE / 3 AS d, {digits} FROM digests),
+normals AS (SELECT *, sqrt(-2 * ln(u0)) * cos(2 * pi() * u1) AS x FROM units),
+cubes AS (SELECT *, pow(1 + x / sqrt(9 * d), 3) AS v FROM normals),
+proposals AS (
+  SELECT cluster, pos, k, d, CASE WHEN v > 0 AND ln(u2) < 0.5::DOUBLE * x * x + d - d * v + d * ln(CASE WHEN v > 0 THEN v END)
+                                  THEN ln(d * CASE WHEN v > 0 THEN v END) + ln(u3) / a END AS g
+  FROM cubes),
+gammas AS (SELECT cluster, pos, coalesce(arg_min(g, k) FILTER (g IS NOT NULL), ln(any_value(d))) AS g FROM proposals GROUP BY 1, 2),
+parts AS (SELECT *, CASE WHEN pos < 0 THEN -1 ELSE cluster END AS draw FROM gammas),
+drawn_weights AS (
+  SELECT cluster, pos, exp(g - most) / sum(exp(g - most)) OVER (PARTITION BY draw) AS weight
+  FROM (SELECT *, max(g) OVER (PARTITION BY draw) AS most FROM parts))
+"""
+
+
+WEIGHTS = "SELECT CAST(cluster AS BIGINT) AS cluster, CAST(pos AS BIGINT) AS pos, round(weight, 9) AS weight FROM drawn_weights"
+add("mixture_start", WEIGHTS, WORDS, """
+places AS (SELECT pos FROM dict UNION ALL SELECT -1),
+shapes AS (SELECT cluster, pos, 0.1::DOUBLE AS a FROM places, range(20) AS c(cluster))
+""", weights_sql(0))
+add("mixture_weights", WEIGHTS, WORDS, LANGUAGES, DRAWN, """
+swept AS (
+  SELECT cluster, pos, sum(cnt) AS n FROM terms JOIN drawn USING (doc_id) GROUP BY 1, 2
+  UNION ALL SELECT cluster, -1, count(*) FROM drawn GROUP BY 1),
+places AS (SELECT pos FROM dict UNION ALL SELECT -1),
+cells AS (SELECT cluster, pos FROM places, range((SELECT count(DISTINCT lang) FROM docs)) AS c(cluster)),
+shapes AS (SELECT cluster, pos, 0.1::DOUBLE + coalesce(n, 0)::DOUBLE AS a FROM cells LEFT JOIN swept USING (cluster, pos))
+""", weights_sql(1))
 add("language_words", """
 SELECT cluster, word, round(exp(log_mu), 9) AS mu, CAST(rank AS INTEGER) AS rank
 FROM (SELECT cluster, word, log_mu,

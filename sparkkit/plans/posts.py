@@ -44,11 +44,14 @@ def cluster(
     alpha: float = 0.1,
     beta: float = 0.1,
     seed: int = 0,
-    size: int = vocabulary.DICTIONARY_SIZE,
+    size: int | None = None,
 ) -> tuple[mixture.MixtureState, DataFrame]:
-    """Mixture weights and the cluster of every post, also of posts without a dictionary word."""
+    """Mixture weights and the cluster of every post, also of posts without a dictionary word.
+
+    ``size`` is the number of words with a weight, by default all of ``words``.
+    """
     rows = mixture.document_rows(post_counts(docs, words))
-    return mixture.gibbs(rows, clusters, size, rounds, alpha, beta, seed)
+    return mixture.gibbs(rows, clusters, words.count() if size is None else size, rounds, alpha, beta, seed)
 
 
 def cluster_words(state: mixture.MixtureState, words: DataFrame, k: int = 50) -> DataFrame:

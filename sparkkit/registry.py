@@ -9,6 +9,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -707,6 +708,30 @@ def mixture_sweep(spark, folder):
     return long_ints(mixture.sweep(mixture.document_rows(counts), state), "cluster", "pos", "n")
 
 
+def _weights(spark, state) -> DataFrame:
+    """All weights of a state: ``cluster, pos, weight``, class weights at position -1."""
+    clusters, size = state.mu.shape
+    table = pd.DataFrame({
+        "cluster": np.repeat(np.arange(clusters), size + 1), "pos": np.tile(np.arange(-1, size), clusters),
+        "weight": np.column_stack([state.pi, state.mu]).ravel(),
+    })
+    return rounded(spark.createDataFrame(table, "cluster bigint, pos bigint, weight double"), 9, "weight")
+
+
+@query
+def mixture_start(spark, folder):
+    """The sampler's start: class and word weights of 20 clusters drawn from their priors, one word weight per dictionary word."""
+    return _weights(spark, mixture.initial_state(spark, 20, _words(spark, folder).count(), seed=7))
+
+
+@query
+def mixture_weights(spark, folder):
+    """Class and word weights drawn after one draw of a cluster per document under the language model."""
+    counts, words, weights, shares = _language_model(spark, folder)
+    state = _language_state(weights, shares, words.count())
+    return _weights(spark, mixture.next_state(mixture.document_rows(counts), state))
+
+
 @query
 def language_words(spark, folder):
     """Heaviest words of every language under its smoothed weights."""

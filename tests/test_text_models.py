@@ -330,7 +330,7 @@ def test_clusters_find_topics_for_any_partitioning(spark, post_frames):
 def test_posterior_matches_numpy(spark, post_frames):
     lines, words = post_frames
     size = words.count()
-    state = mixture.initial_state(3, size, seed=1)
+    state = mixture.initial_state(spark, 3, size, seed=1)
     log_pi, log_mu = state.logs()
     counts = vocabulary.long_form(posts.post_counts(lines, words)).select("doc_id", "pos", "cnt")
     weights = spark.createDataFrame([(j, p, float(log_mu[j, p])) for j in range(3) for p in range(size)], "cluster int, pos int, log_mu double")
@@ -356,6 +356,30 @@ def test_empty_cluster_draws_from_the_prior(spark, post_frames):
     assert np.isfinite(mixture.MixtureState(np.array([1.0]), np.array([[1.0, 0.0]]), 0).logs()[1]).all()
 
 
+@pytest.mark.parametrize("shape", [0.1, 1.0, 7.5])
+def test_log_gammas_have_mean_and_variance_of_the_shape(shape):
+    size = 20000
+    drawn = np.exp(mixture.log_gammas(np.full(size, shape), np.zeros(size, int), np.arange(size), 3, 1))
+    assert abs(drawn.mean() - shape) < 5 * np.sqrt(shape / size) and drawn.var() == pytest.approx(shape, rel=0.1)
+
+
+def test_weights_do_not_depend_on_blocks(spark, monkeypatch):
+    counted = spark.createDataFrame([(0, -1, 3), (1, 4, 2), (1, 4, 5), (2, 0, 1)], "cluster int, pos int, n bigint")
+    states = []
+    for block in (1 << 15, 4):
+        monkeypatch.setattr(mixture, "BLOCK", block)
+        states.append(mixture._state_of(mixture.draw_weights(spark, counted, 3, 5, 0.1, 0.1, 9, 2), 3, 5, 9, 2))
+    assert np.array_equal(states[0].pi, states[1].pi) and np.array_equal(states[0].mu, states[1].mu)
+    states[0].check()
+    assert states[0].mu[1].argmax() == 4 and states[0].pi.argmax() == 0
+
+
+def test_weights_of_no_words_and_of_too_many(spark):
+    assert mixture.initial_state(spark, 3, 0).mu.shape == (3, 0)
+    with pytest.raises(ValueError, match="at most"):
+        mixture.initial_state(spark, 1000, 1_000_000)
+
+
 def test_uniform_is_spread_and_fixed(spark):
     df = spark.range(2000).select(F.col("id").alias("doc_id"))
     values = [r.u for r in df.select(mixture.uniform(1, 2).alias("u")).collect()]
