@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Iterator
+from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -63,7 +64,7 @@ def lists_to_codes(lists: pa.ListArray) -> tuple[np.ndarray, list[str], np.ndarr
     """Positions in a table of distinct strings, that table, and where each list begins (one more at the end)."""
     offsets = lists.offsets.to_numpy().astype(np.int64)
     encoded = lists.values.slice(offsets[0], offsets[-1] - offsets[0]).dictionary_encode()
-    return encoded.indices.to_numpy(), encoded.dictionary.to_pylist(), offsets - offsets[0]
+    return encoded.indices.to_numpy(), encoded.dictionary.to_numpy(zero_copy_only=False).tolist(), offsets - offsets[0]
 
 
 def split_words(texts: pa.Array) -> tuple[np.ndarray, list[str], np.ndarray]:
@@ -104,19 +105,21 @@ class ChunkTable:
 
     def ids(self, codes: np.ndarray, chunks: list[str], offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """All ids of a block of texts, and where each text's ids begin (one more at the end)."""
-        new = [c for c in chunks if c not in self.place]
+        at = np.fromiter(map(self.place.get, chunks, repeat(-1)), np.int64, len(chunks))
+        new = np.flatnonzero(at < 0)
         if len(self.place) + len(new) > self.most:
             self._drop(len(self.place) // 2 if len(self.place) // 2 + len(chunks) <= self.most else len(self.place))
-            new = [c for c in chunks if c not in self.place]
-        place = self.place
-        if new:
-            found = self.encode(new)
+            at = np.fromiter(map(self.place.get, chunks, repeat(-1)), np.int64, len(chunks))
+            new = np.flatnonzero(at < 0)
+        if len(new):
+            unmet = list(map(chunks.__getitem__, new.tolist()))
+            found = self.encode(unmet)
             lengths = np.fromiter(map(len, found), np.int64, len(found))
-            place.update(zip(new, range(len(place), len(place) + len(new))))
-            self.flat = np.concatenate([self.flat, np.fromiter((i for ids in found for i in ids), np.int32, int(lengths.sum()))])
+            at[new] = len(self.place) + np.arange(len(new))
+            self.place.update(zip(unmet, at[new].tolist()))
+            self.flat = np.concatenate([self.flat, np.fromiter(chain.from_iterable(found), np.int32, int(lengths.sum()))])
             self.starts = np.concatenate([self.starts, self.starts[-1] + np.cumsum(lengths)])
             self.met = np.concatenate([self.met, np.zeros(len(new), np.int32)])
-        at = np.fromiter(map(place.__getitem__, chunks), np.int64, len(chunks))
         self.blocks += 1
         self.met[at] = self.blocks
         at = at[codes]
