@@ -3,12 +3,12 @@
 A file is a run of sections, each ended by a line feed:
 
 * a section for each block of ids: the block's planes, each compressed with zstandard;
-* a section with the documents: their ids and lengths as zstandard frames of 64-bit numbers;
+* after every so many documents, and at the end, a section with these documents: their ids and lengths as zstandard frames of 64-bit numbers;
 * the footer: the chunk index as JSON, its length as ten digits, and the mark ``TKPLANE1``.
 
 All blocks of a file but the last hold the same number of ids. The index gives, for every block,
 its place, its number of ids, and the lengths of its compressed planes (0: the plane has no bit
-set and is not stored). Planes above the highest bit in use are left out. Documents lie in
+set and is not stored); for every section of documents, its place, its two lengths and its number of documents. Planes above the highest bit in use are left out. Documents lie in
 ascending order of their ids, within a file and from file to file.
 """
 
@@ -29,6 +29,8 @@ from sparkkit.llm.tokens import encode_texts
 
 MAGIC = b"TKPLANE1"
 BLOCK = 65_536
+#: Bytes of text that one file should hold at most. Files are read as single values, and theirs are a fraction of this.
+FILE_BYTES = 128 << 20
 SECTION = "part binary"
 
 
@@ -61,11 +63,12 @@ def join_planes(planes: list[bytes], count: int, kind: str = "bit") -> np.ndarra
 class PlaneFile:
     """Turns documents' ids into the sections of one file."""
 
-    def __init__(self, kind: str, block: int, level: int):
-        self.kind, self.block, self.packer = kind, block, zstandard.ZstdCompressor(level=level)
+    def __init__(self, kind: str, block: int, level: int, doc_block: int = BLOCK):
+        self.kind, self.block, self.doc_block, self.packer = kind, block, doc_block, zstandard.ZstdCompressor(level=level)
         self.waiting: list[np.ndarray] = []
-        self.held = self.at = 0
+        self.held = self.at = self.n_docs = self.n_ids = 0
         self.index: list[list] = []
+        self.docs: list[list] = []
         self.doc_ids: list[int] = []
         self.lengths: list[int] = []
 
@@ -76,10 +79,22 @@ class PlaneFile:
         self.at += len(body) + 1
         return body
 
+    def _docs(self) -> bytes:
+        n = min(self.doc_block, len(self.doc_ids))
+        ids, lengths = (self.packer.compress(np.asarray(x[:n], "<i8").tobytes()) for x in (self.doc_ids, self.lengths))
+        self.docs.append([self.at, len(ids), len(lengths), n])
+        self.at += len(ids) + len(lengths) + 1
+        del self.doc_ids[:n], self.lengths[:n]
+        return ids + lengths
+
     def add(self, doc_ids: list[int], lengths: list[int], ids: np.ndarray) -> Iterator[bytes]:
-        """Takes documents that follow each other; yields the sections of blocks that are full."""
+        """Takes documents that follow each other; yields the sections that are full."""
         self.doc_ids += doc_ids
         self.lengths += lengths
+        self.n_docs += len(doc_ids)
+        self.n_ids += len(ids)
+        while len(self.doc_ids) >= self.doc_block:
+            yield self._docs()
         self.waiting.append(ids)
         self.held += len(ids)
         if self.held >= self.block:
@@ -92,9 +107,10 @@ class PlaneFile:
     def end(self) -> Iterator[bytes]:
         if self.held:
             yield self._section(np.concatenate(self.waiting))
-        docs = [self.packer.compress(np.asarray(x, "<i8").tobytes()) for x in (self.doc_ids, self.lengths)]
-        yield docs[0] + docs[1]
-        footer = json.dumps({"kind": self.kind, "block": self.block, "blocks": self.index, "docs": [self.at, *map(len, docs)], "n_docs": len(self.doc_ids), "n_ids": sum(self.lengths)}, separators=(",", ":")).encode()
+        if self.doc_ids:
+            yield self._docs()
+        about = {"kind": self.kind, "block": self.block, "blocks": self.index, "docs": self.docs, "n_docs": self.n_docs, "n_ids": self.n_ids}
+        footer = json.dumps(about, separators=(",", ":")).encode()
         yield footer + f"{len(footer):010d}".encode() + MAGIC
 
 
@@ -116,31 +132,37 @@ def read_block(data: bytes, index: dict, k: int) -> np.ndarray:
     return join_planes(planes, count, index["kind"])
 
 
-def read_docs(data: bytes, index: dict) -> tuple[np.ndarray, np.ndarray]:
-    """The document ids and their numbers of token ids."""
-    at, first, second = index["docs"]
+def read_docs(data: bytes, index: dict, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """The document ids of section ``k`` of documents alone, and their numbers of token ids."""
+    at, first, second, _ = index["docs"][k]
     unpacker = zstandard.ZstdDecompressor()
     return (np.frombuffer(unpacker.decompress(data[at : at + first]), "<i8"), np.frombuffer(unpacker.decompress(data[at + first : at + first + second]), "<i8"))
 
 
-def write_planes(docs: DataFrame, path: str, tokenizer: str, end_id: int = 2, files: int | None = None, kind: str = "bit", block: int = BLOCK, level: int = 3) -> None:
+def file_count(docs: DataFrame, file_bytes: int = FILE_BYTES) -> int:
+    """Files for all texts of ``docs`` at about ``file_bytes`` of text each; the session's shuffle partitions at least, so that all cores work."""
+    size = docs.agg(F.sum(F.octet_length("text")).alias("size")).first().size or 0
+    return max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-size // file_bytes))
+
+
+def write_planes(docs: DataFrame, path: str, tokenizer: str, end_id: int = 2, files: int | None = None, kind: str = "bit", block: int = BLOCK, level: int = 3, doc_block: int = BLOCK) -> None:
     """Encodes all texts, each followed by ``end_id``, and writes them below ``path``.
 
-    Documents are dealt by ranges of doc_id, so a file is one task's documents in ascending
+    Documents are dealt by ranges of doc_id (rows of one id further by a hash of the text), so a file is one task's documents in ascending
     order and the names of the files follow the ranges. A task hands on its sections one by
     one; Spark's own text writer joins them with line feeds and commits the files, so they may
     lie in any store that Spark can write, and a task that is run again leaves one copy.
-    ``files`` defaults to the session's shuffle partitions.
+    ``files`` defaults to ``file_count``: it grows with the bytes of text, so that a file stays small however much there is. A file's documents
+    are listed in sections of ``doc_block``, so what a task holds does not grow with its file.
 
     Null and empty texts have the end id alone, null ids come first, written as -2^63. Repeated rows are
     written each. An empty table gives files without documents, or none.
     """
-    spark = docs.sparkSession
-    files = files or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    files = files or file_count(docs)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        file = PlaneFile(kind, block, level)
+        file = PlaneFile(kind, block, level, doc_block)
 
         def rows(sections):
             for section in sections:
@@ -154,7 +176,7 @@ def write_planes(docs: DataFrame, path: str, tokenizer: str, end_id: int = 2, fi
             yield from rows(file.add(doc_ids, (lengths + 1).tolist(), ended))
         yield from rows(file.end())
 
-    ordered = texts_of(docs).repartitionByRange(files, "doc_id").sortWithinPartitions("doc_id")
+    ordered = texts_of(docs).repartitionByRange(files, "doc_id", F.xxhash64("text")).sortWithinPartitions("doc_id")
     ordered.mapInArrow(run, SECTION).select(F.col("part").cast("string")).write.text(path)
 
 
@@ -186,28 +208,27 @@ def read_planes(spark: SparkSession, path: str) -> DataFrame:
 
 
 def _documents(name: pa.Scalar, data: bytes, at_once: int = 1 << 20) -> Iterator[pa.RecordBatch]:
-    """The documents of a file, block after block; ids wait only for the end of their document."""
+    """The documents of a file, about ``at_once`` ids (one document at least) at a time; blocks and lists of documents are unpacked as they are needed."""
     index = read_index(data)
-    doc_ids, lengths = read_docs(data, index)
-    ends = np.cumsum(lengths)
-    waiting, held, first, given = [], 0, 0, 0
-    for k in range(len(index["blocks"])):
-        waiting.append(read_block(data, index, k))
-        held += len(waiting[-1])
-        last = k + 1 == len(index["blocks"])
-        if held < at_once and not last:
-            continue
-        ids = np.concatenate(waiting)
-        done = int(np.searchsorted(ends, given + len(ids), "right"))
-        if done > first:
-            stops = np.concatenate([[given], ends[first:done]]) - given
+    ids, block, given = np.zeros(0, np.uint32), 0, 0
+    for k in range(len(index["docs"])):
+        doc_ids, lengths = read_docs(data, index, k)
+        ends = np.concatenate([[0], np.cumsum(lengths)])
+        first = 0
+        while first < len(doc_ids):
+            done = max(first + 1, int(np.searchsorted(ends, ends[first] + at_once, "right")) - 1)
+            stops = ends[first : done + 1] - ends[first]
+            parts, held = [ids], len(ids)
+            while held < stops[-1]:
+                parts.append(read_block(data, index, block))
+                held += len(parts[-1])
+                block += 1
+            ids = np.concatenate(parts)
             yield pa.RecordBatch.from_arrays(
                 [
-                    pa.array([name.as_py()] * (done - first), pa.string()), pa.array(doc_ids[first:done]),
-                    pa.array(ends[first:done] - lengths[first:done]),
+                    pa.array([name.as_py()] * (done - first), pa.string()), pa.array(doc_ids[first:done]), pa.array(given + stops[:-1]),
                     pa.Array.from_buffers(pa.binary(), done - first, [None, pa.py_buffer((stops * 4).astype(np.int32)), pa.py_buffer(ids[: stops[-1]].astype("<u4"))]),
                 ],
                 ["path", "doc_id", "within", "ids"],
             )
-            ids, given, first = ids[stops[-1] :], int(ends[done - 1]), done
-        waiting, held = [ids], len(ids)
+            ids, given, first = ids[stops[-1] :], given + int(stops[-1]), done

@@ -1,6 +1,7 @@
 """SentencePiece, plane files and packing against the libraries themselves."""
 
 import hashlib
+import math
 import zlib
 from collections import defaultdict
 
@@ -11,6 +12,7 @@ import pytest
 import sentencepiece
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from sparkkit.llm import packing, pieces, planes
@@ -136,6 +138,38 @@ def documents_of(windows, size):
     return pieces_of
 
 
+def test_planes_list_documents_in_sections_read_one_by_one(small, tmp_path):
+    spark = small.sparkSession
+    path = str(tmp_path / "p")
+    planes.write_planes(small, path, WORDS, files=1, block=256, doc_block=10)
+    data = next((tmp_path / "p").glob("part-*")).read_bytes()
+    index = planes.read_index(data)
+    listed = [planes.read_docs(data, index, k) for k in range(len(index["docs"]))]
+    expected = sorted(r.doc_id for r in small.collect())
+    assert np.concatenate([ids for ids, _ in listed]).tolist() == expected and index["n_docs"] == len(expected)
+    assert len(listed) == math.ceil(len(expected) / 10)
+    assert all(len(ids) == entry[3] for (ids, _), entry in zip(listed, index["docs"])) and sum(n.sum() for _, n in listed) == index["n_ids"]
+    for at_once in (1, 700, 1 << 20):
+        parts = list(planes._documents(pa.scalar("x"), data, at_once))
+        assert [i for p in parts for i in p.column("doc_id").to_pylist()] == expected
+        assert all(len(p) == 1 or sum(map(len, p.column("ids").to_pylist())) <= 4 * at_once for p in parts)
+        ids = b"".join(b for p in parts for b in p.column("ids").to_pylist())
+        assert ids == b"".join(r.ids for r in planes.read_planes(spark, path).orderBy("start").collect())
+
+
+def test_planes_files_grow_with_the_text_and_one_id_is_dealt_to_several(small, tmp_path):
+    spark = small.sparkSession
+    least = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    size = small.agg(F.sum(F.octet_length("text"))).first()[0]
+    assert planes.file_count(small) == least and planes.file_count(small.limit(0)) == least
+    assert planes.file_count(small, 1000) == max(least, math.ceil(size / 1000))
+    same = small.select(F.lit(7).alias("doc_id"), "text")
+    planes.write_planes(same, str(tmp_path / "p"), WORDS, files=4)
+    found = planes.read_planes(spark, str(tmp_path / "p")).select("file_no", "doc_id", "start", F.octet_length("ids").alias("size")).orderBy("start").collect()
+    assert len(found) == small.count() and {r.doc_id for r in found} == {7} and len({r.file_no for r in found}) > 1
+    assert [r.start for r in found] == [0, *np.cumsum([r["size"] // 4 for r in found])[:-1].tolist()]
+
+
 @pytest.mark.parametrize("size", [16, 2048])
 def test_packing_loses_no_id(tokenizer, small, size):
     windows = packing.pack(small, WORDS, 1, size).collect()
