@@ -1,19 +1,11 @@
 """Language-model scores by deleted interpolation.
 
-``fit_words`` and ``score_words`` count true word pairs, without limit. A word's probability after another is
+All words and all pairs of neighbours are counted, without limit. A word's probability after another is
 
     l2 * C(v, w) / C(v) + l1 * C(w) / N + l0 * (C(w) + 0.5) / (N + 0.5 * (V + 1))
 
-with weights by how often the context word itself occurs. ``fit`` and ``score`` are a smaller model over classes:
-words are counted exactly and without limit. The most frequent ones are n-gram classes of their
-own, all others share classes by their length, so the pair counts are one small table. A word's
-probability after another is
-
-    (l2 * C(v, w) / C(v) + l1 * C(w) / N) * c / C(w) + l0 * (c + 0.5) / (N + 0.5 * (V + 1))
-
-with v and w the classes, C their counts and pair counts, c the word's own count. The weights l2, l1,
-l0 depend on how often the context class occurs, and come from expectation-maximisation on
-documents that were left out of the counts.
+with weights by how often the context word itself occurs, which come from expectation-maximisation on documents
+that were left out of the counts.
 """
 
 from __future__ import annotations
@@ -24,39 +16,16 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark import Broadcast, TaskContext
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sparkkit.llm.common import slices, split_words, texts_of
 from sparkkit.session import materialize
 
-#: Classes: 0 the end of a document, then frequent words, then lengths in bytes.
-SHORTLIST, LENGTHS = 511, 32
-CLASSES = 1 + SHORTLIST + LENGTHS
 END = np.uint64(xxhash.xxh3_64_intdigest(b""))
 
 
-@dataclass
-class Head:
-    """The frequent words: sorted hashes, their counts, and their classes."""
-
-    hashes: np.ndarray
-    counts: np.ndarray
-    classes: np.ndarray
-
-
-@dataclass
-class Model:
-    words: DataFrame  # hash, size, main, deleted: every word of the training texts
-    rare: DataFrame  # hash, n: the words outside the head
-    head: Head
-    tokens: int
-    distinct: int
-    pairs: np.ndarray  # class pairs, context first
-    weights: np.ndarray  # per class as context: l2, l1, l0
-
-
 def _hashed(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Table of distinct words (hash, length; the last is the end), the texts as one run of places in it, and where each begins.
 
@@ -126,180 +95,6 @@ def _frequent(words: DataFrame, most: int) -> int:
     return least if least is not None else 2**62
 
 
-def _classes(sizes: np.ndarray) -> np.ndarray:
-    return 1 + SHORTLIST + np.minimum(sizes, LENGTHS - 1)
-
-
-def _look_up(head: Head, hashes: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Class and count of each word; count -1: not in the head."""
-    if not len(head.hashes):
-        return np.where(hashes == END, 0, _classes(sizes)), np.full(len(hashes), -1)
-    at = np.minimum(np.searchsorted(head.hashes, hashes), len(head.hashes) - 1)
-    found = head.hashes[at] == hashes
-    classes = np.where(found, head.classes[at], _classes(sizes))
-    classes[hashes == END] = 0
-    return classes, np.where(found, head.counts[at], -1)
-
-
-def _count_pairs(docs: DataFrame, shared: Broadcast) -> np.ndarray:
-    """Class pairs by (deleted, context, word), added up in tasks, then by pair; at most 2 * CLASSES^2 numbers come to the driver."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = np.zeros(2 * CLASSES * CLASSES, np.int64)
-        for block in slices(batches):
-            hashes, sizes, places, starts = _hashed(block.column("text"))
-            classes = _look_up(shared.value, hashes, sizes)[0][places]
-            before = np.concatenate([[0], classes[:-1]])
-            part = np.repeat(block.column("deleted").to_numpy(zero_copy_only=False), np.diff(starts)).astype(np.int64)
-            cells, n = np.unique((part * CLASSES + before) * CLASSES + classes, return_counts=True)
-            counts[cells] += n
-        cells = np.flatnonzero(counts)
-        for a in range(0, len(cells), 100_000):
-            yield pa.RecordBatch.from_arrays([pa.array(cells[a : a + 100_000]), pa.array(counts[cells[a : a + 100_000]])], ["cell", "n"])
-
-    summed = docs.mapInArrow(run, "cell bigint, n bigint").groupBy("cell").agg(F.sum("n").alias("n")).toArrow()
-    out = np.zeros(2 * CLASSES * CLASSES, np.int64)
-    out[summed.column("cell").to_numpy()] = summed.column("n").to_numpy()
-    return out.reshape(2, CLASSES, CLASSES)
-
-
-def mixture_weights(main: np.ndarray, deleted: np.ndarray, unseen: np.ndarray, base: np.ndarray, rounds: int = 60) -> np.ndarray:
-    """Weights l2, l1, l0 of each context class, learned per bucket of equally frequent contexts.
-
-    ``main`` and ``deleted`` are pair counts; ``unseen`` is the share of deleted words of each class that
-    main texts lack, which only the base can explain, and ``base`` the base's share of each class.
-    Buckets are powers of two of the context's count; each starts from equal weights.
-    """
-    contexts, total = main.sum(1), max(1, main.sum())
-    single = main.sum(0) / total
-    bucket = np.log2(contexts + 1.0).astype(int)
-    v, w = np.nonzero(deleted)
-    n = deleted[v, w]
-    seen, lost = n * (1 - unseen[w]), n * unseen[w]
-    pair = main[v, w] / np.maximum(contexts[v], 1)
-    models = np.stack([pair, single[w], base[w]])
-    out = np.full((len(contexts), 3), 1 / 3)
-    for b in np.unique(bucket):
-        here = bucket[v] == b
-        weights = np.full(3, 1 / 3)
-        if here.any():
-            for _ in range(rounds):
-                shares = weights[:, None] * models[:, here]
-                shares /= np.maximum(shares.sum(0), 1e-300)
-                gathered = (shares * seen[here]).sum(1) + np.array([0, 0, lost[here].sum()]) + 0.1
-                weights = gathered / gathered.sum()
-        out[bucket == b] = np.maximum(weights, 1e-4) / np.maximum(weights, 1e-4).sum()
-    return out
-
-
-def fit(docs: DataFrame, deleted: Column, head_words: int = 131_072) -> Model:
-    """Learns from all rows of ``docs``; those for which ``deleted`` is true teach the weights, all of them the counts.
-
-    Every word is counted, in the shared folder. The words that ``head_words`` leaves room for are sent to
-    all tasks (hash, count and class of each). Null texts are empty: an end alone.
-    """
-    spark = docs.sparkSession
-    rows = texts_of(docs, F.coalesce(deleted, F.lit(False)).alias("deleted"))
-    words = materialize(count_words(rows), "words")
-    numbered = words.withColumn("n", F.col("main") + F.col("deleted"))
-    totals = numbered.agg(F.sum("n").alias("tokens"), F.count(F.lit(1)).alias("distinct")).first()
-    least, short = _frequent(numbered, head_words), _frequent(numbered, SHORTLIST)
-    frequent = numbered.filter(F.col("n") >= least).select("hash", "size", "n").toArrow()
-    hashes, sizes, counts = (frequent.column(c).to_numpy() for c in ("hash", "size", "n"))
-    hashes = hashes.view(np.uint64)
-    order = np.argsort(hashes)
-    hashes, sizes, counts = hashes[order], sizes[order], counts[order]
-    classes = _classes(sizes)
-    own = np.flatnonzero(counts >= short)
-    classes[own] = 1 + np.arange(len(own))
-    classes[hashes == END] = 0
-    head = Head(hashes, counts, classes)
-
-    by_size = numbered.filter(F.col("n") < short).groupBy(F.least("size", F.lit(LENGTHS - 1)).alias("size")).agg(
-        F.sum("deleted").alias("deleted"), F.sum(F.when(F.col("main") == 0, F.col("deleted")).otherwise(0)).alias("unseen"),
-        F.sum(F.when(F.col("main") > 0, 1).otherwise(0)).alias("distinct"),
-    ).collect()
-    unseen, distinct = np.zeros(CLASSES), np.ones(CLASSES)
-    for row in by_size:
-        unseen[1 + SHORTLIST + row["size"]] = row.unseen / max(1, row.deleted)
-        distinct[1 + SHORTLIST + row["size"]] = row.distinct
-    shared = spark.sparkContext.broadcast(head)
-    main, left_out = _count_pairs(rows, shared)
-    shared.destroy()
-    base = (main.sum(0) + 0.5 * distinct) / (max(1, main.sum()) + 0.5 * (distinct.sum() + 1))
-    weights = mixture_weights(main, left_out, unseen, base)
-    rare = numbered.filter(F.col("n") < least).select("hash", "n")
-    return Model(words, rare, head, int(totals.tokens or 0), int(totals.distinct), main + left_out, weights)
-
-
-ROWS = "row bigint, doc_id bigint, hash bigint, rare boolean, gain double, floor double, n_tokens bigint, n_known bigint, base double, score double"
-
-
-def score(docs: DataFrame, model: Model) -> DataFrame:
-    """doc_id, n_tokens, n_known, train_tokens, base_score and score (log10) of every whole text.
-
-    Frequent words are scored where the text is. An occurrence of any other word goes by its hash to
-    the word's count, carrying its share of the pair model and of the base; what comes of it
-    is added up by text. No word there is frequent, so no key is hot, and texts don't move.
-
-    Null and empty texts are an end alone; repeated rows are scored each; an empty table stays
-    empty; other columns are left out.
-    """
-    pairs = model.pairs
-    contexts, singles = np.maximum(pairs.sum(1), 1), pairs.sum(0)
-    w2, w1, w0 = model.weights.T
-    gains = (w2[:, None] * pairs / contexts[:, None] + w1[:, None] * singles / max(1, model.tokens)) / np.maximum(singles, 1)
-    bottom = model.tokens + 0.5 * (model.distinct + 1)
-    shared = docs.sparkSession.sparkContext.broadcast((model.head, gains, w0))
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        head, gains, w0 = shared.value
-        number = TaskContext.get().partitionId() << 40
-        for block in slices(batches):
-            hashes, sizes, places, starts = _hashed(block.column("text"))
-            classes, counts = _look_up(head, hashes, sizes)
-            own, counts = classes[places], counts[places]
-            before = np.concatenate([[0], own[:-1]])
-            gain, floor = gains[before, own], w0[before] / bottom
-            frequent = counts >= 0
-            safe = np.where(frequent, counts, 0)
-            logs = np.where(frequent, np.log10(gain * safe + floor * (safe + 0.5)), 0.0)
-            bases = np.where(frequent, np.log10((safe + 0.5) / bottom), 0.0)
-            n = len(block)
-            rows = number + np.arange(n, dtype=np.int64)
-            number += n
-            first = starts[:-1]
-            spread = (rows * np.int64(-7046029254386353131)) ^ np.int64(0x5DEECE66D)  # texts' own rows meet no word
-            yield _score_rows(
-                rows, block.column("doc_id"), spread, False, np.zeros(n), np.zeros(n), np.diff(starts),
-                np.add.reduceat((frequent & (counts > 0)).astype(np.int64), first), np.add.reduceat(bases, first), np.add.reduceat(logs, first),
-            )
-            rare = np.flatnonzero(~frequent)
-            of = rows[np.searchsorted(starts, rare, "right") - 1]
-            zero, none = np.zeros(len(rare), np.int64), np.zeros(len(rare))
-            yield _score_rows(of, pa.nulls(len(rare), pa.int64()), hashes[places[rare]].view(np.int64), True, gain[rare], floor[rare], zero, zero, none, none)
-
-    rows = texts_of(docs).mapInArrow(run, ROWS)
-    joined = rows.join(model.rare.hint("merge"), "hash", "left")
-    count = F.coalesce("n", F.lit(0)).cast("double")
-    rare = F.col("rare")
-    return joined.groupBy("row").agg(
-        F.max("doc_id").alias("doc_id"), F.sum("n_tokens").alias("n_tokens"),
-        F.sum(F.when(rare & (count > 0), F.lit(1)).otherwise(F.col("n_known"))).cast("bigint").alias("n_known"),
-        F.lit(model.tokens).cast("bigint").alias("train_tokens"),
-        F.sum(F.when(rare, F.log10((count + 0.5) / bottom)).otherwise(F.col("base"))).alias("base_score"),
-        F.sum(F.when(rare, F.log10(F.col("gain") * count + F.col("floor") * (count + 0.5))).otherwise(F.col("score"))).alias("score"),
-    ).drop("row")
-
-
-def _score_rows(row, doc_id, hashes, rare, gain, floor, n_tokens, n_known, base, score) -> pa.RecordBatch:
-    names = [field.split()[0] for field in ROWS.split(", ")]
-    columns = [row, doc_id, hashes, np.full(len(row), rare), gain, floor, n_tokens, n_known, base, score]
-    return pa.RecordBatch.from_arrays([c if isinstance(c, pa.Array) else pa.array(c) for c in columns], names)
-
-
-# --- true word pairs ---------------------------------------------------------
-
 #: Buckets of context counts by powers of two; 0 holds contexts that never occurred.
 BUCKETS = 64
 _MIX = np.uint64(0x9E3779B97F4A7C15)
@@ -436,7 +231,12 @@ def learn_weights(seen: DataFrame, rounds: int = 60) -> np.ndarray:
 
 
 def fit_words(docs: DataFrame, deleted: Column, head_words: int = 131_072) -> WordModel:
-    """As ``fit``, over true word pairs: all words and all pairs of neighbours are counted, in the shared folder."""
+    """Learns from all rows of ``docs``; those for which ``deleted`` is true teach the weights, all of them the counts.
+
+    Every word and every pair of neighbours is counted, in the shared folder. The words that ``head_words`` leaves room for are sent to all
+    tasks (hash and count of each). Null and empty texts are an end alone; a null ``deleted`` is false; repeated rows count each; an empty
+    table gives a model whose scores are still finite; other columns are left out.
+    """
     rows = texts_of(docs, F.coalesce(deleted, F.lit(False)).alias("deleted"))
     words, pairs = materialize(count_words(rows), "words"), materialize(count_pairs(rows), "pairs")
     numbered = words.withColumn("n", F.col("main") + F.col("deleted"))
@@ -464,7 +264,11 @@ def fit_words(docs: DataFrame, deleted: Column, head_words: int = 131_072) -> Wo
 
 
 def score_words(docs: DataFrame, model: WordModel) -> DataFrame:
-    """As ``score``, by the true word pairs: doc_id, n_tokens, n_known, train_tokens, base_score and score (log10) of every whole text."""
+    """doc_id, n_tokens, n_known, train_tokens, base_score and score (log10) of every whole text.
+
+    A text's distinct pairs go to the counts of words and pairs by key and are added up by text. Null and empty texts are an end alone; repeated
+    rows are scored each; an empty table stays empty; other columns are left out.
+    """
     every = F.col("main") + F.col("deleted")
     met = _occurrences(
         texts_of(docs), model.head, model.words.filter(every < model.least).select("hash", every.alias("c")), model.pairs.select("key", every.alias("c")),

@@ -243,84 +243,13 @@ def tokens_of(text):
     return re.findall(WORD, re.sub("[A-Z]", lambda m: m[0].lower(), text or "")) + [None]
 
 
-@pytest.mark.parametrize("head_words", [131_072, 50])
-def test_lm_scores(middle, odd_docs, head_words):
-    docs = middle.select("doc_id", "text").unionByName(odd_docs.select((F.col("doc_id") + 10**6).alias("doc_id"), "text"))
-    held_out = fold("doc_id") == 1
-    model = lm.fit(docs.filter(~held_out), fold("doc_id", 25) < 5, head_words)
-    rows = docs.collect()
-    counts = Counter(w for r in rows if crc(r.doc_id) != 1 for w in tokens_of(r.text))
-    total, distinct = sum(counts.values()), len(counts)
-    assert (model.tokens, model.distinct) == (total, distinct)
-    floor = total + 0.5 * (distinct + 1)
-
-    def of(word):
-        if word is None:
-            return 0
-        h = np.array([lm.xxhash.xxh3_64_intdigest(word.encode())], np.uint64)
-        return int(lm._look_up(model.head, h, np.array([len(word.encode())]))[0][0])
-
-    pairs, singles = model.pairs, model.pairs.sum(0)
-    assert pairs.sum() == total
-    expected = []
-    for r in rows:
-        toks = tokens_of(r.text)
-        base = score = 0.0
-        before = 0
-        for w in toks:
-            c, k = counts[w], of(w)
-            l2, l1, l0 = model.weights[before]
-            p2 = pairs[before, k] / max(1, pairs[before].sum())
-            share = c / singles[k] if singles[k] else 0.0
-            base += math.log10((c + 0.5) / floor)
-            score += math.log10((l2 * p2 + l1 * singles[k] / total) * share + l0 * (c + 0.5) / floor)
-            before = k
-        expected.append((repr(r.doc_id), len(toks), sum(counts[w] > 0 for w in toks), base, score))
-    found = sorted((repr(r.doc_id), r.n_tokens, r.n_known, r.base_score, r.score) for r in lm.score(docs, model).collect())
-    for a, b in zip(found, sorted(expected), strict=True):
-        assert a[:3] == b[:3] and abs(a[3] - b[3]) < 1e-6 * max(1, -b[3]) and abs(a[4] - b[4]) < 1e-6 * max(1, -b[4])
-
-
-def test_lm_probabilities_sum_to_one(middle):
-    """Over all known words and one unknown one, after any context."""
-    model = lm.fit(middle.limit(100), fold("doc_id", 25) < 5, 10**6)
-    singles = model.pairs.sum(0)
-    c, k = model.head.counts, model.head.classes
-    floor = model.tokens + 0.5 * (model.distinct + 1)
-    for v in (0, 1, 300, lm.CLASSES - 20):
-        l2, l1, l0 = model.weights[v]
-        n = model.pairs[v].sum()
-        p = (l2 * model.pairs[v, k] / max(1, n) + l1 * singles[k] / model.tokens) * c / singles[k] + l0 * (c + 0.5) / floor
-        assert abs(p.sum() + l0 * 0.5 / floor - (1 if n else 1 - l2)) < 1e-6
-
-
 def test_lm_learns_from_context_and_is_better_than_the_base(middle):
     held_out = fold("doc_id") == 1
-    model = lm.fit(middle.filter(~held_out), fold("doc_id", 25) < 5)
-    row = lm.score(middle.filter(held_out), model).agg(F.sum("score").alias("score"), F.sum("base_score").alias("base")).first()
+    model = lm.fit_words(middle.filter(~held_out), fold("doc_id", 25) < 5)
+    row = lm.score_words(middle.filter(held_out), model).agg(F.sum("score").alias("score"), F.sum("base_score").alias("base")).first()
     assert row.score > row.base
 
 
-def test_mixture_weights_follow_what_explains_the_deleted_counts():
-    rng = np.random.default_rng(1)
-    n = 30
-    chains = rng.permutation(n)
-    main = np.ones((n, n), int)
-    main[np.arange(n), chains] = 1000
-    base = np.full(n, 1 / n)
-    told = lm.mixture_weights(main, main // 10, np.zeros(n), base)
-    assert (told[:, 0] > 0.9).all()
-    lost = lm.mixture_weights(main, main // 10, np.ones(n), base)
-    assert (lost[:, 2] > 0.9).all()
-    assert np.allclose(told.sum(1), 1)
-
-
-def test_lm_on_no_rows(no_docs, odd_docs):
-    model = lm.fit(no_docs, F.lit(False))
-    assert model.tokens == 0 and lm.score(no_docs, model).collect() == []
-    assert all(math.isfinite(r.score) and r.n_known == 0 for r in lm.score(odd_docs, model).collect())
-
-
 def expected_scores(rows, train, weights):
     """Brute force over true word pairs."""
     kept = [r for r in rows if train(r)]
