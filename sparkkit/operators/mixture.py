@@ -19,8 +19,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sparkkit.operators.grouping import count_by
+from sparkkit.operators.packed import flat, stored_packed
 from sparkkit.operators.ranking import share_in_group, top_k_per_group
-from sparkkit.session import materialize
 
 SMALLEST = np.finfo(float).tiny
 #: Proposals of a gamma draw; all are rejected with a chance under 1e-20.
@@ -29,6 +29,8 @@ ATTEMPTS = 16
 LARGEST_MODEL = 1 << 26
 #: Weights that one task draws at once.
 BLOCK = 1 << 15
+#: Dictionary positions whose weights are looked up at once.
+LOOKUPS = 1 << 11
 
 
 @dataclass
@@ -74,19 +76,29 @@ def log_gammas(shape: np.ndarray, cluster: np.ndarray, pos: np.ndarray, seed: in
 
 
 def _block_drawer(size: int, cells: int, alpha: float, beta: float, seed: int, number: int):
-    """Draws all weights of one block of cells, whose counts are given where they are not zero."""
+    """Draws all weights of one block of cells; lists of counts (``at`` in the block, ``n``) are added up."""
 
     def draw(table: pa.Table) -> pa.Table:
         block = table.column("block")[0].as_py()
         cell = np.arange(block * BLOCK, min((block + 1) * BLOCK, cells))
         cluster, pos = cell // (size + 1), cell % (size + 1) - 1
-        shape = np.where(pos < 0, alpha, beta)
-        shape[table.column("cell").to_numpy() - block * BLOCK] += table.column("n").to_numpy()
+        counts = np.zeros(len(cell), np.int64)
+        for at, n in zip(table.column("at").chunks, table.column("n").chunks):
+            np.add.at(counts, at.flatten().to_numpy(), n.flatten().to_numpy())
+        shape = np.where(pos < 0, alpha, beta) + counts
         return pa.table({"block": [block], "log_gamma": [log_gammas(shape, cluster, pos, seed, number)]})
 
     return draw
 
 
+def _in_blocks(counted: DataFrame, size: int) -> DataFrame:
+    """Counts ``cluster, pos, n`` as ``block, at, n``."""
+    cell = F.col("cluster").cast("bigint") * (size + 1) + F.col("pos") + 1
+    entry = F.struct((cell % BLOCK).cast("int").alias("at"), F.col("n").cast("bigint").alias("n"))
+    lists = counted.groupBy(F.floor(cell / BLOCK).alias("block")).agg(F.collect_list(entry).alias("e"))
+    return lists.select("block", "e.at", "e.n")
+
+
 def draw_weights(
     spark: SparkSession, counted: DataFrame | None, clusters: int, size: int, alpha: float, beta: float, seed: int, number: int
 ) -> DataFrame:
@@ -95,18 +107,22 @@ def draw_weights(
     The weights of cluster after cluster, its class weight (position -1) first, are cut into blocks of ``BLOCK``; a block is drawn in one task.
     Repeated counts of a cell are added up; without counts the draw is from the prior.
     """
+    return _drawn(spark, None if counted is None else _in_blocks(counted, size), clusters, size, alpha, beta, seed, number)
+
+
+def _drawn(
+    spark: SparkSession, lists: DataFrame | None, clusters: int, size: int, alpha: float, beta: float, seed: int, number: int
+) -> DataFrame:
+    """``draw_weights`` for counts ``block, at, n``."""
     cells = clusters * (size + 1)
     if cells > LARGEST_MODEL:
         raise ValueError(f"a mixture has at most {LARGEST_MODEL} weights")
     blocks = -(-cells // BLOCK)
-    parts = spark.range(blocks).select((F.col("id") * BLOCK).alias("cell"), F.lit(0).cast("bigint").alias("n"))
-    if counted is not None:
-        cell = F.col("cluster").cast("bigint") * (size + 1) + F.col("pos") + 1
-        parts = parts.unionByName(counted.select(cell.alias("cell"), "n"))
-    dealt = parts.withColumn("block", F.floor(F.col("cell") / BLOCK)).repartition(blocks, "block")
-    summed = dealt.groupBy("block", "cell").agg(F.sum("n").alias("n"))
+    parts = spark.range(blocks).select(F.col("id").alias("block"), F.expr("cast(array() as array<int>) AS at"), F.expr("cast(array() as array<bigint>) AS n"))
+    if lists is not None:
+        parts = parts.unionByName(lists)
     draw = _block_drawer(size, cells, alpha, beta, seed, number)
-    return summed.groupBy("block").applyInArrow(draw, "block bigint, log_gamma array<double>")
+    return parts.repartition(blocks, "block").groupBy("block").applyInArrow(draw, "block bigint, log_gamma array<double>")
 
 
 def _shares(logs: np.ndarray) -> np.ndarray:
@@ -131,7 +147,7 @@ def next_state(rows: DataFrame, state: MixtureState, alpha: float = 0.1, beta: f
     clusters, size = state.mu.shape
     shared = rows.sparkSession.sparkContext.broadcast(state.logs())
     counted = _sampled(rows, state, doc, shared, False)
-    drawn = draw_weights(rows.sparkSession, counted, clusters, size, alpha, beta, state.seed, state.round + 1)
+    drawn = _drawn(rows.sparkSession, counted, clusters, size, alpha, beta, state.seed, state.round + 1)
     found = _state_of(drawn, clusters, size, state.seed, state.round + 1)
     shared.destroy()
     return found
@@ -174,43 +190,52 @@ def posterior(
     return powers.select(doc, F.explode(entries).alias("e")).select(doc, "e.cluster", "e.p")
 
 
+def _log_sums(log_mu: np.ndarray, lengths: np.ndarray, idx: np.ndarray, cnt: np.ndarray) -> np.ndarray:
+    """Per row and cluster the sum of counts times weights; ``log_mu`` has a row per word, so one look-up serves all clusters."""
+    out, ends = np.zeros((len(lengths), log_mu.shape[1])), np.cumsum(lengths)
+    starts, ends = (ends - lengths).tolist(), ends.tolist()
+    idx, cnt, first = idx.astype(np.int64), cnt.astype(np.float64), 0
+    while first < len(starts):  # rows of some LOOKUPS entries, which stay in the processor's cache
+        begin, last = starts[first], first + 1
+        while last < len(starts) and ends[last] - begin <= LOOKUPS:
+            last += 1
+        weights = log_mu.take(idx[begin : ends[last - 1]], axis=0)
+        for i in range(first, last):
+            np.dot(cnt[starts[i] : ends[i]], weights[starts[i] - begin : ends[i] - begin], out=out[i])
+        first = last
+    return out
+
+
 def _sampler(shared, assign: bool):
-    """Sample a cluster per document; emit the assignments, or this task's counts per
-    (cluster, word) with cluster sizes at word -1."""
+    """Sample a cluster per document; emit the assignments, or this task's counts of (cluster, word) cells in blocks, with
+    cluster sizes at word -1."""
 
-    def sample(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def sample(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         log_pi, log_mu = shared.value
         clusters, size = log_mu.shape
-        totals = np.zeros(clusters * (size + 1))
+        by_word = np.ascontiguousarray(log_mu.T)
+        totals = np.zeros(0 if assign else clusters * (size + 1), np.int64)
         for batch in batches:
-            if batch.empty:
+            if not len(batch):
                 continue
-            lengths = batch["idx"].str.len().to_numpy()
-            idx = np.concatenate(batch["idx"].to_numpy())
-            cnt = np.concatenate(batch["cnt"].to_numpy())
-            row = np.repeat(np.arange(len(batch)), lengths)
-            log_p = np.empty((len(batch), clusters))
-            for j in range(clusters):
-                log_p[:, j] = log_pi[j] + np.bincount(row, weights=cnt * log_mu[j][idx], minlength=len(batch))
+            lengths, idx = flat(batch.column("idx"), np.int32)
+            cnt = flat(batch.column("cnt"), np.int32)[1]
+            log_p = log_pi + _log_sums(by_word, lengths, idx, cnt)
             p = np.exp(log_p - log_p.max(axis=1, keepdims=True))
             edges = np.cumsum(p / p.sum(axis=1, keepdims=True), axis=1)
-            chosen = np.sum(batch["u"].to_numpy()[:, None] >= edges[:, :-1], axis=1)
+            chosen = np.sum(batch.column("u").to_numpy()[:, None] >= edges[:, :-1], axis=1)
             if assign:
-                yield pd.DataFrame({"doc": batch["doc"], "cluster": chosen})
+                yield pa.RecordBatch.from_arrays([batch.column("doc"), pa.array(chosen.astype(np.int32))], ["doc", "cluster"])
             else:
                 cells = chosen * (size + 1)
-                totals += np.bincount(cells[row] + idx, weights=cnt, minlength=len(totals))
-                totals += np.bincount(cells + size, minlength=len(totals))
-        if not assign:
-            cell = np.flatnonzero(totals)
-            word = cell % (size + 1)
-            yield pd.DataFrame(
-                {
-                    "cluster": cell // (size + 1),
-                    "pos": np.where(word == size, -1, word),
-                    "n": totals[cell].astype("int64"),
-                }
-            )
+                np.add.at(totals, np.repeat(cells + 1, lengths) + idx, cnt.astype(np.int64))
+                np.add.at(totals, cells, 1)
+        for block in range(-(-len(totals) // BLOCK)):
+            part = totals[block * BLOCK : (block + 1) * BLOCK]
+            at = np.flatnonzero(part)
+            if len(at):
+                lists = pa.array([at.astype(np.int32)]), pa.array([part[at]])
+                yield pa.RecordBatch.from_arrays([pa.array([block], pa.int64()), *lists], ["block", "at", "n"])
 
     return sample
 
@@ -218,8 +243,8 @@ def _sampler(shared, assign: bool):
 def _sampled(rows: DataFrame, state: MixtureState, doc: str, shared, assign: bool) -> DataFrame:
     with_u = rows.select(F.col(doc).alias("doc"), "idx", "cnt", uniform(state.seed, state.round + 1, doc).alias("u"))
     kind = rows.schema[doc].dataType.simpleString()
-    schema = f"doc {kind}, cluster int" if assign else "cluster int, pos int, n bigint"
-    return with_u.mapInPandas(_sampler(shared, assign), schema)
+    schema = f"doc {kind}, cluster int" if assign else "block bigint, at array<int>, n array<bigint>"
+    return with_u.mapInArrow(_sampler(shared, assign), schema)
 
 
 def assignments(rows: DataFrame, state: MixtureState, doc: str = "doc_id") -> DataFrame:
@@ -232,7 +257,11 @@ def sweep(rows: DataFrame, state: MixtureState, doc: str = "doc_id") -> DataFram
     """``cluster, pos, n`` after drawing every document's cluster: word counts per
     cluster, and at position -1 its number of documents."""
     shared = rows.sparkSession.sparkContext.broadcast(state.logs())
-    return _sampled(rows, state, doc, shared, False).groupBy("cluster", "pos").agg(F.sum("n").alias("n"))
+    width = state.mu.shape[1] + 1
+    entries = _sampled(rows, state, doc, shared, False).select("block", F.inline(F.arrays_zip("at", "n")))
+    cell = F.col("block") * BLOCK + F.col("at")
+    counted = entries.select(F.floor(cell / width).cast("int").alias("cluster"), (cell % width - 1).cast("int").alias("pos"), "n")
+    return counted.groupBy("cluster", "pos").agg(F.sum("n").alias("n"))
 
 
 def gibbs(
@@ -249,7 +278,7 @@ def gibbs(
 
     A cluster that drew no document takes its next weights from the prior.
     """
-    rows = materialize(rows, "mixture-documents")
+    rows = stored_packed(rows.select(doc, "idx", "cnt"), "mixture-documents", idx=np.int32, cnt=np.int32)
     held = rows.persist()
     state = initial_state(rows.sparkSession, clusters, size, alpha, beta, seed)
     before = state
