@@ -6,15 +6,17 @@ from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sparkkit.functions.scalars import log1p_exp, ratio, sigmoid
+from sparkkit.operators.packed import added, flat, row_sums, sliced, stored_packed
 from sparkkit.operators.regression import BoldDriver
 from sparkkit.operators.vocabulary import by_position
-from sparkkit.session import materialize
+
+#: Numbers of a gradient that one task adds up.
+PART = 1 << 12
 
 
 @dataclass
@@ -37,27 +39,24 @@ def sparse_rows(rows: DataFrame, label: str, doc: str = "doc_id", value: str = "
 
 
 def _gradient_step(size: int, shared):
-    """Partial loss and gradient of one task's rows; the loss stands at position -1."""
+    """Partial loss and gradient of one task's rows, in parts of ``PART`` numbers; the loss stands first."""
 
-    def partial(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         weights = shared.value
-        gradient = np.zeros(size)
-        loss = 0.0
+        sums = np.zeros(1 + size)
         for batch in batches:
-            if batch.empty:
+            if not len(batch):
                 continue
-            lengths = batch["idx"].str.len().to_numpy()
-            idx = np.concatenate(batch["idx"].to_numpy())
-            val = np.concatenate(batch["val"].to_numpy())
-            row = np.repeat(np.arange(len(batch)), lengths)
-            label = batch["label"].to_numpy()
-            z = np.bincount(row, weights=val * weights[idx], minlength=len(batch))
+            lengths, idx = flat(batch.column("idx"), np.int32)
+            val = flat(batch.column("val"), np.float64)[1]
+            label = batch.column("label").to_numpy(zero_copy_only=False)
+            at = idx.astype(np.int64)
+            z = row_sums(val * weights[at], lengths)
             small = np.exp(-np.abs(z))
             chance = np.where(z >= 0, 1.0, small) / (1.0 + small)
-            loss += float(np.sum(np.maximum(z, 0.0) + np.log1p(small) - label * z))
-            gradient += np.bincount(idx, weights=val * (chance - label)[row], minlength=size)
-        at = np.flatnonzero(gradient)
-        yield pd.DataFrame({"pos": np.append(at, -1), "g": np.append(gradient[at], loss)})
+            sums[0] += np.sum(np.maximum(z, 0.0) + np.log1p(small) - label * z)
+            sums[1:] += np.bincount(at, weights=val * np.repeat(chance - label, lengths), minlength=size)
+        yield sliced(sums, PART)
 
     return partial
 
@@ -79,20 +78,18 @@ def fit(
     round on, is shorter than ``tolerance``.
     """
     spark = rows.sparkSession
-    rows = materialize(rows.select("label", "idx", "val"), "training-rows").persist()
+    rows = rows.select("label", F.col("idx").cast("array<int>").alias("idx"), F.col("val").cast("array<double>").alias("val"))
+    rows = stored_packed(rows, "training-rows", idx=np.int32, val=np.float64).persist()
     weights = np.full(size, start)
     driver = BoldDriver(rate, shrink_on_tie=True)
     trace = []
     try:
         for number in range(1, rounds + 1):
             shared = spark.sparkContext.broadcast(weights)
-            parts = rows.mapInPandas(_gradient_step(size, shared), "pos int, g double")
-            sums = parts.groupBy("pos").agg(F.sum("g").alias("g")).toPandas()
+            parts = rows.mapInArrow(_gradient_step(size, shared), "part bigint, numbers array<double>")
+            found = added(parts, 1 + size, PART)
             shared.destroy()
-            gradient = np.zeros(size)
-            body = sums[sums.pos >= 0]
-            gradient[body.pos.to_numpy()] = body.g.to_numpy()
-            loss = float(sums.g[sums.pos == -1].sum()) + float(np.sqrt(np.sum(weights**2)))
+            gradient, loss = found[1:], float(found[0]) + float(np.sqrt(np.sum(weights**2)))
             step = driver.rate * (gradient + l2 * weights)
             weights = weights - step
             driver.observe(loss)
