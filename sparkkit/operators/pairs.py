@@ -5,7 +5,8 @@ their weights add up. Keys are taken in classes, from those that few hold to tho
 sums so far raise a bar. An x forms pairs in a class only if its own keys from there on could still lift a pair over the bar, so what the
 commonest keys would tie together is formed only where it can matter. In the end the few pairs that are near the
 bar and were not followed through all classes are counted again in full. Pairs that only equal the bar matter only if
-they come early in the order of ties; they are formed from the few x that are early enough.
+they come early in the order of ties; they are formed from the few x that are early enough. What is shuffled is lists of
+partners, one for each x and key; the pairs are unfolded and added up where the lists of an x meet.
 """
 
 from __future__ import annotations
@@ -22,6 +23,10 @@ from sparkkit.session import materialize, new_path
 
 #: A class holds the keys with 2^(STEP * class) to 2^(STEP * (class + 1)) - 1 entries.
 STEP = 4
+#: Holders of a key in one list, about.
+LIST = 256
+#: Pairs that one task adds up in memory, about.
+PAIRS = 1 << 21
 
 
 class Measure(Protocol):
@@ -69,53 +74,68 @@ class Bar:
         return F.lit(True) if self.first is None else F.col(x) <= F.lit(self.first)
 
 
-def classed_entries(entries: DataFrame, measure: Measure) -> tuple[DataFrame, DataFrame, list[tuple[int, float]]]:
+def classed_entries(entries: DataFrame, measure: Measure) -> tuple[DataFrame, DataFrame, list[tuple[int, float, float]]]:
     """The entries whose key at least two x hold, stored by ``class``; per x and class its ``rest`` and what is ``later`` than the
-    class; the classes in ascending order, each with its largest rest."""
+    class; the classes in ascending order, each with its largest rest and the number of pairs that all its keys would form."""
     held = entries.groupBy("key").agg(F.count(F.lit(1)).alias("held")).where("held > 1")
-    classes = held.select("key", F.floor(F.log2("held") / STEP + 1e-9).cast("int").alias("class"))
+    classes = held.select("key", F.floor(F.log2("held") / STEP + 1e-9).cast("int").alias("class"), "held")
     path = new_path(entries.sparkSession, "entries")
     entries.select("x", "key", "w", "n").join(classes, "key").write.partitionBy("class").parquet(path)
     kinds = dict(entries.dtypes)
-    stored = entries.sparkSession.read.schema(", ".join(f"{name} {kinds[name]}" for name in ("x", "key", "w", "n")) + ", class int").parquet(path)
+    stored = entries.sparkSession.read.schema(", ".join(f"{name} {kinds[name]}" for name in ("x", "key", "w", "n")) + ", held bigint, class int").parquet(path)
     per = stored.groupBy("x", "class").agg(measure.amount().alias("amount"), F.max("n").alias("n"))
     down = Window.partitionBy("x").orderBy(F.desc("class"))
     after = F.coalesce(F.sum("amount").over(down.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     ladder = per.select("x", "class", "n", measure.rest(F.sum("amount").over(down)).alias("rest"), measure.rest(after).alias("later"))
     ladder = materialize(ladder, "rests")
     numbers = ladder.groupBy("class").agg(F.max("rest").alias("most")).orderBy("class").collect()
-    return stored, ladder, [(r["class"], float(r.most)) for r in numbers]
+    counts = {r["class"]: r.pairs for r in stored.groupBy("class").agg((F.sum(F.col("held") - 1.0) / 2).alias("pairs")).collect()}
+    return stored.drop("held"), ladder, [(r["class"], float(r.most), counts[r["class"]]) for r in numbers]
 
 
-def _side(entries: DataFrame, name: str) -> DataFrame:
-    columns = {"x": name, "w": f"w{name}", "n": f"n{name}", "later": f"l{name}", "strict": f"strict_{name}"}
-    return entries.select("key", *columns).withColumnsRenamed(columns)
+def _listed(entries: DataFrame, chunks: int, early: Column) -> DataFrame:
+    """``a, chunk, na, la`` and lists ``b, shared, nb, lb``: x next to the later holders of one of its keys, some hundred of them at most on average.
 
+    What belongs to x is stated once for all of them. ``lb`` is null where not both are strictly hopeful.
+    """
+    own = entries.withColumn("chunk", F.pmod(F.xxhash64("x"), F.lit(chunks)).cast("int"))
+    held = own.groupBy("key", "chunk").agg(F.collect_list(F.struct("x", "w", "n", "later", "strict")).alias("held"))
+    if chunks == 1:
+        met = held.select("chunk", "held", F.inline("held"))
+    else:
+        met = entries.select("key", "x", "w", "n", "later", "strict").join(held, "key")
+    kept = F.filter("held", lambda e: (e["x"] > F.col("x")) & ((F.col("strict") & e["strict"]) | early))
+    met = met.select(F.col("x").alias("a"), "chunk", "w", F.col("n").alias("na"), F.col("later").alias("la"), "strict", kept.alias("held")).where(F.size("held") > 0)
+    return met.select(
+        "a", "chunk", "na", "la", F.col("held.x").alias("b"), F.transform("held", lambda e: F.col("w") * e["w"]).alias("shared"),
+        F.col("held.n").alias("nb"), F.transform("held", lambda e: F.when(F.col("strict") & e["strict"], e["later"])).alias("lb"),
+    )
 
-def formed_pairs(entries: DataFrame, measure: Measure, bar: Bar, most: float) -> DataFrame:
-    """``a, b, na, nb, wa, wb, la, lb``: a row for each key of a class that two hopeful x share, and what they hold later.
 
-    Pairs that could only equal the bar are not always followed; they have no ``la`` and ``lb``.
+def formed_pairs(entries: DataFrame, measure: Measure, bar: Bar, most: float, chunks: int = 1, parts: int = 1, known: DataFrame | None = None) -> DataFrame:
+    """``a, chunk, b, shared, na, nb, la, lb``: a row for each key of a class that two hopeful x share, and what they hold later; the pairs
+    ``known`` are among them.
+
+    Pairs that could only equal the bar are not always followed; they have no ``la`` and ``lb``. All rows of a pair are in the same of
+    ``parts`` partitions: lists of partners are moved there and unfolded, so that no row per pair is shuffled.
     """
     own = entries.withColumn("strict", measure.hopeful(bar.score, most, True))
-    strict, able = own.where("strict"), own.where(measure.hopeful(bar.score, most, False))
-    over = _side(strict, "a").join(_side(strict, "b"), "key").where("a < b")
-    columns = ["a", "b", "na", "nb", "wa", "wb"]
-    formed = over.select(*columns, "la", "lb")
-    if bar.first is not None:
-        level = _side(able.where(bar.early("x")), "a").join(_side(able, "b"), "key").where("a < b AND NOT (strict_a AND strict_b)")
-        formed = formed.unionByName(level.select(columns), allowMissingColumns=True)
+    able = own.where("strict") if bar.first is None else own.where(measure.hopeful(bar.score, most, False))
+    lists = _listed(able, chunks, F.lit(False) if bar.first is None else bar.early("x"))
+    if known is not None:
+        chunk = F.pmod(F.xxhash64("b"), F.lit(chunks)).cast("int").alias("chunk")
+        lists = lists.unionByName(known.select("a", chunk, "na", "la", *(F.array(name).alias(name) for name in ("b", "shared", "nb", "lb"))))
+    unfolded = F.inline(F.arrays_zip("b", "shared", "nb", "lb"))
+    formed = lists.repartition(parts, "a", "chunk").select("a", "chunk", "na", F.col("la").alias("later"), unfolded)
+    formed = formed.withColumn("la", F.when(F.col("lb").isNotNull(), F.col("later"))).drop("later")
     return formed.where(measure.fitting(bar.score))
 
 
-def _merged(pairs: DataFrame) -> DataFrame:
-    return pairs.groupBy("a", "b").agg(
+def _summed(formed: DataFrame) -> DataFrame:
+    summed = formed.groupBy("a", "chunk", "b").agg(
         F.sum("shared").alias("shared"), F.max("na").alias("na"), F.max("nb").alias("nb"), F.min("la").alias("la"), F.min("lb").alias("lb")
     )
-
-
-def _summed(formed: DataFrame) -> DataFrame:
-    return _merged(formed.withColumn("shared", F.col("wa") * F.col("wb")))
+    return summed.drop("chunk")
 
 
 def _open_to(best: Column, measure: Measure, bar: Bar) -> Column:
@@ -139,16 +159,17 @@ def top_pairs(entries: DataFrame, measure: Measure, k: int, bar: Bar | None = No
     if not classes:
         return entries.sparkSession.createDataFrame([], f"a {kind}, b {kind}, score double")
     bar, pairs, history = bar or Bar(), None, []
-    for number, most in classes:
+    least = entries.sparkSession.sparkContext.defaultParallelism
+    for number, most, count in classes:
+        chunks, parts = max(1, 2 ** (STEP * (number + 1)) // LIST), max(least, int(count // PAIRS) + 1)
         of_class = F.col("class") == number
         own = stored.where(of_class).drop("class").join(ladder.where(of_class).select("x", "rest", "later"), "x")
         if 2 ** (STEP * number) >= 4 * (k + 1):  # a part of the pairs first, where it is a small part
             order = Window.partitionBy("key").orderBy(*measure.heads(), "x")
             heads = own.withColumn("place", F.row_number().over(order)).where(F.col("place") <= k + 1).drop("place")
-            bar = bar.raised(_summed(formed_pairs(heads, measure, bar, float("inf"))), measure.score(F.col("shared")), k)
+            bar = bar.raised(_summed(formed_pairs(heads, measure, bar, float("inf"), 1, least)), measure.score(F.col("shared")), k)
         history.append((number, bar.score, most))
-        met = _summed(formed_pairs(own, measure, bar, most))
-        met = met if pairs is None else _merged(pairs.unionByName(met))
+        met = _summed(formed_pairs(own, measure, bar, most, chunks, parts, pairs))
         best = measure.reach(F.col("shared"), F.col("la"), F.col("lb"))
         pairs = materialize(met.where(F.col("la").isNull() | _open_to(best, measure, bar)), "met-pairs")
         bar = bar.raised(pairs, measure.score(F.col("shared")), k)

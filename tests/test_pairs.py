@@ -1,5 +1,6 @@
 """Exact pair operators against brute force, with hot items, hot owners and copies."""
 
+import re
 from collections import Counter
 from itertools import combinations
 
@@ -8,7 +9,7 @@ import pytest
 
 from sparkkit.operators import pairs as pair_join
 from sparkkit.operators.copurchase import pair_counts
-from sparkkit.operators.similarity import similar_pairs
+from sparkkit.operators.similarity import Jaccard, similar_pairs
 
 
 def frame(spark, pairs):
@@ -154,3 +155,19 @@ def test_repeat_purchases_multiply(spark):
     pairs = [(1, 5), (1, 5), (1, 6), (1, 6), (1, 6)]
     assert [tuple(r) for r in pair_counts(frame(spark, pairs), "owner", "item").collect()] == [(5, 6, 6)]
     assert [tuple(r) for r in pair_counts(frame(spark, pairs), "owner", "item", distinct=True).collect()] == [(5, 6, 1)]
+
+
+@pytest.mark.parametrize("chunks", [1, 3])
+def test_no_row_per_pair_is_shuffled(spark, chunks):
+    """Lists of partners are; the sums of a pair need no further exchange, and earlier pairs are added to them."""
+    rows = [(f"k{k}", x, 1, 3, 3, 0) for k in range(3) for x in range(20) if x % 4 != k]
+    entries = spark.createDataFrame(rows, "key string, x long, w long, n long, rest long, later long")
+    known = spark.createDataFrame([(0, 3, 7, 3, 3, 0, 0)], "a long, b long, shared long, na long, nb long, la long, lb long")
+    sums = pair_join._summed(pair_join.formed_pairs(entries, Jaccard(1), pair_join.Bar(), 3.0, chunks, 4, known))
+    exchanges = re.findall(r"hashpartitioning\((.*?)\)", sums._jdf.queryExecution().executedPlan().toString())
+    assert exchanges and not any(re.search(r"\bb#", keys) for keys in exchanges)
+    found = {(r.a, r.b): r.shared for r in sums.collect()}
+    held = {x: {k for k in range(3) if x % 4 != k} for x in range(20)}
+    want = {(a, b): len(held[a] & held[b]) for a, b in combinations(range(20), 2)}
+    want[0, 3] += 7
+    assert found == want
