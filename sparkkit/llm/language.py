@@ -19,6 +19,8 @@ from sparkkit.operators.ranking import top_k_per_group
 from sparkkit.session import materialize
 
 LONGEST = 5
+#: New words scored at once.
+AT_ONCE = 20_000
 #: Letters in the sense of Unicode's general category, as in fitting: numbers such as ½, ² or ① are none.
 _LETTERS = regex.compile(r"\p{L}+")
 
@@ -105,11 +107,48 @@ def word_score(word: str, model: Model) -> tuple[float, ...]:
     return tuple(x / len(marked) for x in total)
 
 
+class Longest(dict):
+    """For a stretch of a marked word the number of the longest known n-gram that begins it, or else of the floor: a row of ``logs``.
+
+    Each stretch is looked for once; at most ``most`` are kept.
+    """
+
+    def __init__(self, model: Model, most: int = 100_000):
+        super().__init__()
+        known = [gram for grams in model.grams for gram in grams]
+        self.number, self.most = {gram: k for k, gram in enumerate(known)}, most
+        self.logs = np.array([x for grams in model.grams for x in grams.values()] + [model.floor]).reshape(-1 if model.languages else len(known) + 1, len(model.languages))
+
+    def __missing__(self, stretch: str) -> int:
+        if len(self) >= self.most:
+            self.clear()
+        found = (self.number.get(stretch[:size]) for size in range(len(stretch), 0, -1))
+        self[stretch] = number = next((k for k in found if k is not None), len(self.number))
+        return number
+
+
+def word_scores(words: list[str], model: Model, longest: Longest) -> np.ndarray:
+    """``word_score`` of each word."""
+    scores = np.zeros((len(words), len(model.languages)))
+    new = []
+    for k, word in enumerate(words):
+        if (known := model.words.get(word)) is not None:
+            scores[k] = known
+        else:
+            new.append(k)
+    if new:
+        lengths = np.array([len(words[k]) + 2 for k in new])
+        marked = [f"|{words[k]}|" for k in new]
+        places = [longest[word[at : at + LONGEST]] for word in marked for at in range(len(word))]
+        scores[new] = np.add.reduceat(longest.logs[places], np.cumsum(lengths) - lengths, axis=0) / lengths[:, None]
+    return scores
+
+
 class Scorer:
     """Scores of distinct words, each worked out once per worker; new words that would take it beyond ``most`` drop the older half first."""
 
     def __init__(self, model: Model, most: int = 300_000):
-        self.model, self.most = model, most
+        self.model, self.most, self.longest = model, most, Longest(model)
         self.place: dict[str, int] = {}
         self.rows = np.zeros((0, len(self.model.languages) + 1))
 
@@ -123,7 +162,7 @@ class Scorer:
             new = [w for w in words if w not in self.place]
         if new:
             self.place.update(zip(new, range(len(self.place), len(self.place) + len(new))))
-            self.rows = np.concatenate([self.rows, np.array([self._row(w) for w in new])])
+            self.rows = np.concatenate([self.rows, *(self._rows(new[k : k + AT_ONCE]) for k in range(0, len(new), AT_ONCE))])
         at = np.fromiter(map(self.place.__getitem__, words), np.int64, len(words))
         sums = np.zeros((len(offsets) - 1, self.rows.shape[1]))
         filled = np.flatnonzero(np.diff(offsets))
@@ -131,11 +170,14 @@ class Scorer:
             sums[filled] = np.add.reduceat(self.rows[at[codes]], offsets[filled], axis=0)
         return sums
 
-    def _row(self, word: str) -> list[float]:
-        lower = word.lower()
-        parts = [lower] if lower.isascii() and lower.isalpha() else _LETTERS.findall(lower)
-        scores = [word_score(p, self.model) for p in parts]
-        return [sum(s[k] for s in scores) for k in range(len(self.model.languages))] + [float(len(parts))]
+    def _rows(self, words: list[str]) -> np.ndarray:
+        lowered = [word.lower() for word in words]
+        parts = [[lower] if lower.isascii() and lower.isalpha() else _LETTERS.findall(lower) for lower in lowered]
+        rows = np.zeros((len(words), len(self.model.languages) + 1))
+        rows[:, -1] = [len(of_word) for of_word in parts]
+        scores = word_scores([part for of_word in parts for part in of_word], self.model, self.longest)
+        np.add.at(rows[:, :-1], np.repeat(np.arange(len(words)), rows[:, -1].astype(np.int64)), scores)
+        return rows
 
 
 #: The scorer of the model that a Python worker has used last, by the name of the call.

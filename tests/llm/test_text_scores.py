@@ -321,3 +321,29 @@ def test_word_pairs_on_no_rows(no_docs, odd_docs):
     model = lm.fit_words(no_docs, F.lit(False))
     assert model.tokens == 0 and lm.score_words(no_docs, model).collect() == []
     assert all(math.isfinite(r.score) and r.n_known == 0 for r in lm.score_words(odd_docs, model).collect())
+
+
+def test_language_looks_for_a_stretch_once():
+    """The scores are those of a plain search at every position; n-grams of a stretch that was met before are not looked up again."""
+    grams = [{x: (-1.0 - k, -2.0) for k, x in enumerate("abc|")}, {"ab": (-0.1, -0.3)}, {}, {"abca": (-0.7, -0.2)}, {}]
+    model = language.Model(["x", "y"], {"abc": (-9.0, -8.0)}, grams, (-16.0, -16.0))
+    scorer = language.Scorer(model)
+    found = scorer.sums(pa.array(["abcabcabc zab", "abc abcabcabca", None]))
+    met = dict(scorer.longest)
+    again = scorer.sums(pa.array(["bcabcabc zab", "abcabcabcab"]))
+    assert len(scorer.longest) - len(met) < 8 and len(met) < 20
+
+    def plain(word):
+        marked, total = f"|{word}|", np.zeros(2)
+        for at in range(len(marked)):
+            pieces = [marked[at : at + n] for n in range(5, 0, -1) if at + n <= len(marked)]
+            total += next((g[p] for p in pieces for g in [grams[len(p) - 1]] if p in g), model.floor)
+        return total / len(marked)
+
+    want = [plain("abcabcabc") + plain("zab"), np.array([-9.0, -8.0]) + plain("abcabcabca"), np.zeros(2)]
+    assert np.allclose(found[:, :-1], want) and np.allclose(again[:, :-1], [plain("bcabcabc") + plain("zab"), plain("abcabcabcab")])
+    small = language.Longest(model, most=2)
+    words = ["abcabcabc", "abc", "zab", ""]
+    scores = language.word_scores(words, model, small)
+    assert np.allclose(scores, [language.word_score(w, model) for w in words]) and np.allclose(scores[0], plain("abcabcabc")) and len(small) <= 2
+    assert language.Scorer(language.Model([], {}, [{}] * 5, ())).sums(pa.array(["ab c1d", "1"])).tolist() == [[3.0], [0.0]]
