@@ -323,6 +323,45 @@ def test_word_pairs_on_no_rows(no_docs, odd_docs):
     assert all(math.isfinite(r.score) and r.n_known == 0 for r in lm.score_words(odd_docs, model).collect())
 
 
+def test_no_row_per_pair_is_shuffled(middle):
+    """Pairs reach an exchange packed, a row for each bucket that a unit of texts asks."""
+    docs = middle.limit(100).cache()
+    scores = lm.score_words(docs, lm.fit_words(docs, fold("doc_id") == 0))
+    keys = set(re.findall(r"hashpartitioning\((\w+)#", scores._jdf.queryExecution().executedPlan().toString()))
+    assert keys == {"bucket", "unit"} and scores.count() == 100
+
+
+@pytest.mark.parametrize("head_words", [131_072, 50])
+def test_units_and_buckets_change_no_score(middle, odd_docs, head_words):
+    docs = middle.select("doc_id", "text").limit(60).unionByName(odd_docs.select("doc_id", "text")).repartition(2).cache()
+    frames = []
+    for gathered, size in ((lm.UNIT, lm.BUCKET_BYTES), (1000, 5000)):
+        model = lm.fit_words(docs.filter(fold("doc_id") != 1), fold("doc_id", 25) < 5, head_words, gathered, size)
+        assert (model.buckets > 5) == (size == 5000)
+        frames.append((model.weights, sorted(map(tuple, lm.score_words(docs, model, gathered).collect()), key=repr)))
+    (weights, rows), (other_weights, other_rows) = frames
+    assert np.allclose(weights, other_weights, atol=1e-9)
+    for a, b in zip(rows, other_rows, strict=True):
+        assert a[:4] == b[:4] and np.allclose(a[4:], b[4:], rtol=1e-9)
+
+
+@pytest.mark.parametrize("size", [1, 2, 50, 1500])
+def test_keys_tell_pairs_apart_and_fill_buckets(size):
+    head = lm.Head(np.arange(size, dtype=np.uint64), np.zeros(size, np.int64), np.zeros(size, np.int64))
+    v, w = (x.ravel() for x in np.meshgrid(np.arange(size), np.arange(size)))
+    keys = np.sort(head.keys(v, w))
+    assert len(np.unique(keys)) == size * size and keys[-1] < lm._PAIR
+    buckets = head.buckets(keys, 7)
+    assert (np.diff(buckets) >= 0).all() and buckets[-1] < 7
+    if size == 1500:
+        assert np.bincount(buckets).max() < 2 * size * size / 7
+    assert (lm.unpack_keys(lm.pack_keys(keys)) == keys).all()
+    hashed = np.sort(np.random.default_rng(1).integers(0, 2**63, 1000, dtype=np.uint64) | lm._PAIR)
+    counts = [np.bincount(head.buckets(hashed[hashed >> np.uint64(62) == top], 7), minlength=7) for top in (2, 3)]
+    assert min(map(min, counts)) > 30 and (lm.unpack_keys(lm.pack_keys(hashed)) == hashed).all()
+    assert lm.unpack(lm.pack(np.zeros(0, np.int64))).tolist() == [] and lm.unpack(lm.pack(np.array([-1, 2**40]))).tolist() == [-1, 2**40]
+
+
 def test_language_looks_for_a_stretch_once():
     """The scores are those of a plain search at every position; n-grams of a stretch that was met before are not looked up again."""
     grams = [{x: (-1.0 - k, -2.0) for k, x in enumerate("abc|")}, {"ab": (-0.1, -0.3)}, {}, {"abca": (-0.7, -0.2)}, {}]
